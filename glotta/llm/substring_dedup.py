@@ -42,7 +42,7 @@ _ONE, _TWO, _RUN = Rolling(0x5851F42D4C957F2D), Rolling(0x14057B7EF767814F), Rol
 _SKETCH = pa.schema([("block", pa.int32()), ("once", pa.binary()), ("more", pa.binary())])
 _CANDIDATES = pa.schema([("bucket", pa.int32()), ("kind", pa.int8()), ("payload", pa.binary())])
 _FLAGS = pa.schema([("doc_id", pa.int64()), ("hashes", pa.binary())])
-_OUT = pa.schema([("row_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
+_OUT = pa.schema([("row_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
 
 
 def _cells(keys: np.ndarray, cells: int) -> list[np.ndarray]:
@@ -213,45 +213,46 @@ def _judge(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], schema=_FLAGS)
 
 
-def _remove(k: int, with_text: bool):
+def _lost(texts: pa.Array, flags: list, k: int) -> dict[int, np.ndarray]:
+    """For each text with flagged windows, which of its words go."""
+    marked = [i for i, f in enumerate(flags) if f]
+    lost = {}
+    if marked:
+        w = _Windows(texts.take(pa.array(marked)), k)
+        one = w.one()
+        edge = np.searchsorted(w.doc, np.arange(len(marked) + 1))
+        for j, i in enumerate(marked):
+            s = slice(edge[j], edge[j + 1])
+            hit = w.at[s][np.isin(one[s], np.frombuffer(b"".join(flags[i]), np.uint64))] - w.words.first[j]
+            n = w.words.first[j + 1] - w.words.first[j]
+            d = np.zeros(n + 1, np.int64)
+            np.add.at(d, hit, 1)
+            np.add.at(d, np.minimum(hit + k, n), -1)
+            lost[i] = np.cumsum(d[:n]) > 0
+    return lost
+
+
+def _digest(k: int):
     def run(batches):
         for b in text_slices(batches, 1):
             buf, offs = flat_bytes(b.column(1))
             raw = buf.tobytes()
-            flags = b.column(2).to_pylist()
-            n_words, n_removed, sha, kept_text = [], [], [], []
-            marked = [i for i, f in enumerate(flags) if f]
-            lost = {}
-            if marked:
-                w = _Windows(b.column(1).take(pa.array(marked)), k)
-                one = w.one()
-                edge = np.searchsorted(w.doc, np.arange(len(marked) + 1))
-                for j, i in enumerate(marked):
-                    s = slice(edge[j], edge[j + 1])
-                    hit = w.at[s][np.isin(one[s], np.frombuffer(b"".join(flags[i]), np.uint64))] - w.words.first[j]
-                    n = w.words.first[j + 1] - w.words.first[j]
-                    d = np.zeros(n + 1, np.int64)
-                    np.add.at(d, hit, 1)
-                    np.add.at(d, np.minimum(hit + k, n), -1)
-                    lost[i] = np.cumsum(d[:n]) > 0
+            lost = _lost(b.column(1), b.column(2).to_pylist(), k)
+            n_words, n_removed, sha = [], [], []
             for i in range(b.num_rows):
                 words = raw[offs[i] : offs[i + 1]].split()
                 n_words.append(len(words))
-                gone = lost.get(i)
-                if gone is not None:
-                    words = [words[j] for j in np.flatnonzero(~gone)]
-                text = b" ".join(words)
+                if i in lost:
+                    words = [words[j] for j in np.flatnonzero(~lost[i])]
                 n_removed.append(n_words[-1] - len(words))
-                sha.append(hashlib.sha256(text).hexdigest())
-                kept_text.append(text.decode("utf-8", "replace") if with_text else None)
-            yield batch(_OUT, b.column(0), n_words, n_removed, sha, kept_text)
+                sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
+            yield batch(_OUT, b.column(0), n_words, n_removed, sha)
 
     return run
 
 
-def remove_repeats(docs: DataFrame, k: int = WINDOW, cells: int = CELLS, with_text: bool = False) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 and, with ``with_text``, kept: the
-    words left, joined by one space."""
+def _repeats(docs: DataFrame, k: int, cells: int) -> DataFrame:
+    """(doc_id, hashes) of the windows that each document loses."""
     spark = docs.sparkSession
     ship(spark)
     docs = plain(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -259,7 +260,40 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, cells: int = CELLS, with_te
     buckets = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     found = docs.mapInArrow(_candidates(k, cells, bits, buckets), "bucket int, kind byte, payload binary")
     flags = materialize(found.groupBy("bucket").applyInArrow(_judge, "doc_id long, hashes binary"), "repeats")
-    flags = flags.groupBy("doc_id").agg(F.collect_list("hashes").alias("hashes"))
-    out = docs.join(flags, "doc_id", "left").select("doc_id", "text", "hashes").mapInArrow(_remove(k, with_text), "row_id long, n_words long, n_removed long, kept_sha256 string, kept string")
-    out = out.withColumnRenamed("row_id", "doc_id")
-    return out if with_text else out.drop("kept")
+    return flags.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("hashes").alias("_hashes"))
+
+
+def remove_repeats(docs: DataFrame, k: int = WINDOW, cells: int = CELLS) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 (of the words left, joined by
+    one space) for every row."""
+    flags = _repeats(docs, k, cells)
+    docs = plain(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    joined = docs.join(flags, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "_hashes")
+    return joined.mapInArrow(_digest(k), "row_id long, n_words long, n_removed long, kept_sha256 string").withColumnRenamed("row_id", "doc_id")
+
+
+def without_repeats(docs: DataFrame, k: int = WINDOW, cells: int = CELLS) -> DataFrame:
+    """``docs`` with the repeated words gone from ``text``.  A text that loses
+    none stays as it is, white space included; one that loses all of its words
+    becomes empty.  An ``n_chars`` follows the text."""
+    flags = _repeats(docs, k, cells)
+    names = docs.columns
+    text = names.index("text")
+
+    def run(batches):
+        for b in text_slices(batches, text):
+            col = b.column(text)
+            lost = _lost(col, b.column(len(names)).to_pylist(), k)
+            if lost:
+                values = col.to_pylist()
+                for i, gone in lost.items():
+                    words = values[i].encode().split()
+                    values[i] = b" ".join(words[j] for j in np.flatnonzero(~gone)).decode()
+                col = pa.array(values, col.type)
+            yield pa.RecordBatch.from_arrays([col if i == text else b.column(i) for i in range(len(names))], names=names)
+
+    joined = docs.join(flags, F.col("doc_id") == F.col("_id"), "left").select(*[docs[c] for c in names], "_hashes")
+    out = joined.mapInArrow(run, docs.schema)
+    if "n_chars" in names:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out
