@@ -234,3 +234,64 @@ def batch(schema: pa.Schema, *cols) -> pa.RecordBatch:
 def plain(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns; extra columns never reach an operator."""
     return df.select(*[F.col(f"`{n}`") for n in names])
+
+
+# ------------------------------------------------------------ id membership
+
+#: Bits of a membership filter: its size, whatever the input.
+FILTER_BITS = 1 << 26
+_FILTER_BLOCK = 1 << 16
+
+
+def _bit_positions(ids: np.ndarray, bits: int) -> list[np.ndarray]:
+    return [(mix(ids.view(np.uint64) + np.uint64(31 * r + 7)) % np.uint64(bits)).astype(np.int64) for r in range(2)]
+
+
+def membership(ids: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """A Bloom filter of a long column as packed bits, ``bits / 8`` bytes.  It
+    has every id; when it fills up it only lets more others through."""
+
+    def mark(batches):
+        seen = np.zeros(bits, bool)
+        for b in batches:
+            for at in _bit_positions(b.column(0).to_numpy(zero_copy_only=False).astype(np.int64), bits):
+                seen[at] = True
+        used = np.flatnonzero(seen)
+        block = used // _FILTER_BLOCK
+        head = np.flatnonzero(np.diff(block, prepend=-1))
+        if len(used):
+            parts = [blob((used[a:b] % _FILTER_BLOCK).astype("<u2")) for a, b in zip(head, np.append(head[1:], len(used)), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(block[head].astype(np.int32)), pa.array(parts, pa.binary())], names=["block", "at"])
+
+    def merge(batches):
+        have: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i, at in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                have.setdefault(i, np.zeros(_FILTER_BLOCK, bool))[np.frombuffer(at, "<u2")] = True
+        if have:
+            yield pa.RecordBatch.from_arrays([pa.array(list(have), pa.int32()), pa.array([blob(np.packbits(x, bitorder="little")) for x in have.values()], pa.binary())], names=["block", "bits"])
+
+    out = np.zeros(bits // 8, np.uint8)
+    marked = ids.mapInArrow(mark, "block int, at binary").repartition("block").mapInArrow(merge, "block int, bits binary")
+    for r in marked.toLocalIterator():
+        out[r.block * _FILTER_BLOCK // 8 :][: _FILTER_BLOCK // 8] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def only_members(df: DataFrame, column: str, ids: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """``df`` without most rows whose ``column`` isn't in ``ids``; before a join
+    on it, this keeps the others' wide rows out of the shuffle."""
+    sent = df.sparkSession.sparkContext.broadcast(membership(ids, bits))
+    k = df.columns.index(column)
+
+    def run(batches):
+        has = sent.value
+        for b in batches:
+            x = b.column(k)
+            keep = x.is_valid().to_numpy(zero_copy_only=False)
+            for at in _bit_positions(pc.fill_null(x, 0).to_numpy(zero_copy_only=False).astype(np.int64), bits):
+                keep = keep & ((has[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0)
+            if keep.any():
+                yield b.filter(pa.array(keep))
+
+    return df.mapInArrow(run, df.schema)

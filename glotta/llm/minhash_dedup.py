@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, batch, blob, materialize, mix, plain, ship, text_slices
+from .common import Words, batch, blob, materialize, mix, only_members, plain, ship, text_slices
 from .components import connected_components
 
 SHINGLE = 3
@@ -252,7 +252,8 @@ def classes(docs: DataFrame, share: int = SHARE, block: int = BLOCK) -> DataFram
 
     sizes = candidates.groupBy("component").agg(F.count("*").alias("size"))
     members = _in_blocks(candidates.join(sizes, "component").withColumnRenamed("node", "rep"), "component", "size", block)
-    texts = members.join(docs, members.rep == docs.doc_id).select("group", "i", "j", "rep", "text")
+    some = only_members(docs, "doc_id", candidates.select("node"))
+    texts = members.join(some, members.rep == some.doc_id).select("group", "i", "j", "rep", "text")
     links = texts.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "rep").mapInArrow(_verify(share), "u long, v long")
     components = connected_components(links)
 
