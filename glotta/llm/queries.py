@@ -4,8 +4,9 @@ parameters, to its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash_dedup, packing, pii, substring_dedup, toxicity
+from . import minhash_dedup, packing, permutation_ann, pii, substring_dedup, toxicity
 from .common import read_table
 
 
@@ -17,6 +18,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op3_permutation_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_ann.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans(read_table(spark, sf_dir, "documents"))
 
@@ -31,5 +36,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_toxicity, op6_pii, op7_minhash_dedup, op10_packing)
+    for f in (op1_substring_dedup, op2_toxicity, op3_permutation_ann, op6_pii, op7_minhash_dedup, op10_packing)
 }
