@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kneser_ney, minhash_dedup, packing, permutation_ann, pii, substring_dedup, toxicity
+from . import kneser_ney, minhash_dedup, packing, permutation_ann, pii, progressive_jpeg, substring_dedup, toxicity
 from .common import read_table
 
 
@@ -30,6 +30,10 @@ def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.classes(read_table(spark, sf_dir, "documents"))
 
 
+def op8_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return progressive_jpeg.digests(progressive_jpeg.store(read_table(spark, sf_dir, "documents")))
+
+
 def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.score(read_table(spark, sf_dir, "documents"))
 
@@ -40,5 +44,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_toxicity, op3_permutation_ann, op6_pii, op7_minhash_dedup, op9_kneser_ney, op10_packing)
+    for f in (op1_substring_dedup, op2_toxicity, op3_permutation_ann, op6_pii, op7_minhash_dedup, op8_progressive_jpeg, op9_kneser_ney, op10_packing)
 }
