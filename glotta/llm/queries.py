@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kneser_ney, minhash_dedup, packing, permutation_ann, pii, progressive_jpeg, substring_dedup, toxicity
+from . import kneser_ney, minhash_dedup, packing, permutation_ann, pii, progressive_jpeg, substring_dedup, toxicity, wrapper_induction
 from .common import read_table
 
 
@@ -22,6 +22,10 @@ def op3_permutation_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_ann.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op4_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrapper_induction.main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans(read_table(spark, sf_dir, "documents"))
 
@@ -44,5 +48,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_toxicity, op3_permutation_ann, op6_pii, op7_minhash_dedup, op8_progressive_jpeg, op9_kneser_ney, op10_packing)
+    for f in (op1_substring_dedup, op2_toxicity, op3_permutation_ann, op4_wrapper_induction, op6_pii, op7_minhash_dedup, op8_progressive_jpeg, op9_kneser_ney, op10_packing)
 }
