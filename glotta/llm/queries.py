@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import kneser_ney, minhash_dedup, packing, permutation_ann, pii, progressive_jpeg, substring_dedup, toxicity, wrapper_induction
+from . import kneser_ney, minhash_dedup, packing, permutation_ann, pii, progressive_jpeg, sentence_pieces, substring_dedup, toxicity, wrapper_induction
 from .common import read_table
 
 
@@ -26,6 +26,10 @@ def op4_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrapper_induction.main_text(read_table(spark, sf_dir, "pages"))
 
 
+def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.digests(read_table(spark, sf_dir, "documents"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans(read_table(spark, sf_dir, "documents"))
 
@@ -48,5 +52,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_toxicity, op3_permutation_ann, op4_wrapper_induction, op6_pii, op7_minhash_dedup, op8_progressive_jpeg, op9_kneser_ney, op10_packing)
+    for f in (op1_substring_dedup, op2_toxicity, op3_permutation_ann, op4_wrapper_induction, op5_sentence_pieces, op6_pii, op7_minhash_dedup, op8_progressive_jpeg, op9_kneser_ney, op10_packing)
 }
