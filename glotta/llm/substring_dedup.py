@@ -292,7 +292,7 @@ def without_repeats(docs: DataFrame, k: int = WINDOW, cells: int = CELLS) -> Dat
                 col = pa.array(values, col.type)
             yield pa.RecordBatch.from_arrays([col if i == text else b.column(i) for i in range(len(names))], names=names)
 
-    joined = docs.join(flags, F.col("doc_id") == F.col("_id"), "left").select(*[docs[c] for c in names], "_hashes")
+    joined = docs.join(flags, docs["doc_id"] == flags["_id"], "left").select(*[docs[c] for c in names], flags["_hashes"])
     out = joined.mapInArrow(run, docs.schema)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
