@@ -567,10 +567,10 @@ _PEAK = "list_max(list_transform(x, lambda v: abs(v)))"
 def _ends(x: Column) -> list[Column]:
     """Length, ends and weighted sum of an array, to compare it by."""
     weighted = F.aggregate(F.transform(x, lambda v, i: v * (i + 1)), F.lit(0.0), lambda s, v: s + v)
-    return [F.size(x).cast("long").alias("n"), F.round(F.try_element_at(x, F.lit(1)), 6).alias("first"), F.round(F.try_element_at(x, F.lit(-1)), 6).alias("last"), F.round(weighted, 4).alias("weighted")]
+    return [F.size(x).cast("long").alias("n"), (F.round(F.try_element_at(x, F.lit(1)), 6) + 0.0).alias("first"), (F.round(F.try_element_at(x, F.lit(-1)), 6) + 0.0).alias("last"), F.round(weighted, 4).alias("weighted")]
 
 
-_ENDS = "len(y)::BIGINT AS n, round(y[1]::DOUBLE, 6) AS first, round(y[-1]::DOUBLE, 6) AS last, round(coalesce(list_sum(list_transform(y, lambda v, i: v * i)), 0)::DOUBLE, 4) AS weighted"
+_ENDS = "len(y)::BIGINT AS n, round(y[1]::DOUBLE, 6) + 0.0::DOUBLE AS first, round(y[-1]::DOUBLE, 6) + 0.0::DOUBLE AS last, round(coalesce(list_sum(list_transform(y, lambda v, i: v * i)), 0)::DOUBLE, 4) AS weighted"
 
 
 def _ended(view: str, expression: str) -> tuple[str, str]:

@@ -66,9 +66,26 @@ def is_audio(path: Column) -> Column:
 
 
 def audio_listing(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
-    """path, stem and size of audio files; contents aren't read."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(folder)
-    return df.where(is_audio(F.col("path"))).select("path", T.stem(F.col("path")).alias("stem"), F.col("length").alias("size"))
+    """path, stem and size of audio files.  Contents aren't read; the listing
+    is the filesystem's own, as Spark's readers pass over files of no bytes."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, recursive)
+    rows = []
+    while found.hasNext():
+        f = found.next()
+        rows.append((f.getPath().toString(), f.getLen()))
+    df = spark.createDataFrame(rows, "path string, size long").where(is_audio(F.col("path")))
+    return df.select("path", T.stem(F.col("path")).alias("stem"), "size")
+
+
+def probed(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
+    """The listing with duration_s, sample_rate, channels and audio_err."""
+    listing = audio_listing(spark, folder, recursive)
+    data = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(folder).select("path", "content")
+    headers = data.where(is_audio(F.col("path"))).select("path", wav_probe("content").alias("p"))
+    nothing = F.when(F.col("size") == 0, "fichier vide (0 octets)")
+    return listing.join(headers, "path", "left").select("path", "stem", "size", "p.duration_s", "p.sample_rate", "p.channels", F.coalesce("p.audio_err", nothing).alias("audio_err"))
 
 
 def manifest_order(lines: DataFrame, files: DataFrame, value: str = "value", on: str = "name") -> DataFrame:
