@@ -208,7 +208,10 @@ def _merge(folder: Folder, parts: int):
         head = _heads(g, context, token)
         g, context, token, n = g[head], context[head], token[head], np.add.reduceat(n, head)
         folder.save(f"gram-{part}", g)
-        folder.save(f"count-{part}", n.astype(np.uint32))
+        # one byte a count; the few of 255 and more are listed apart
+        wide = np.flatnonzero(n >= 255)
+        folder.save(f"count-{part}", np.minimum(n, 255).astype(np.uint8))
+        folder.save(f"wide-{part}", np.stack([wide, n[wide]], axis=1).astype(np.uint64))
         rows = [], [], []
         own = np.stack([n, n == 1, n == 2, n > 2], axis=1).astype(np.int64)
         last = np.stack([n, np.ones_like(n)], axis=1).astype(np.int64)
@@ -308,7 +311,11 @@ class Reader:
                 continue
             at = np.minimum(np.searchsorted(have, key[i]), len(have) - 1)
             hit = have[at] == key[i]
-            out[i[hit]] = values[at[hit]].reshape(-1, width)
+            found = np.asarray(values[at[hit]]).reshape(-1, width).astype(np.int64)
+            if kind is np.uint8 and (full := found[:, 0] == 255).any():
+                wide = self._map("wide", int(part[i[0]]), np.uint64, 2)
+                found[full, 0] = wide[np.searchsorted(wide[:, 0], at[hit][full].astype(np.uint64)), 1]
+            out[i[hit]] = found
         return out
 
     def score(self, texts: pa.Array) -> tuple[np.ndarray, ...]:
@@ -327,7 +334,7 @@ class Reader:
         else:
             lower = np.full(len(word), 1 / (m.words + 1))
         g, at, of_gram = np.unique(gram(context, token), return_index=True, return_inverse=True)
-        own = self._look(part_of(context[at], token[at], m.parts), g, ("gram", "count"), np.uint32, 1)[:, 0]
+        own = self._look(part_of(context[at], token[at], m.parts), g, ("gram", "count"), np.uint8, 1)[:, 0]
         before, of_before = np.unique(context[at], return_inverse=True)
         c = self._look((mix(before) % np.uint64(m.parts)).astype(np.int64), before, ("context", "context_sums"), np.int64, 4)[of_before]
         d = np.array(m.grams)

@@ -190,3 +190,19 @@ def test_kneser_ney(spark):
     only = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 7 == 2)
     df = spark.createDataFrame([(only, "a b")], "doc_id long, text string")
     assert kneser_ney.score(df, 3).first().score == pytest.approx(0)
+
+
+def test_kneser_ney_wide_counts(spark):
+    """Counts of 255 and more are kept apart from the others."""
+    texts = ["a b " * 254, "a b " * 255, "c d " * 300, "e f"]
+    ids = [i for i in range(50) if zlib.crc32(str(i).encode()) % 7 != 2][:4]
+    df = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    model = kneser_ney.train(df, 2)
+    reader = kneser_ney.Reader(model)
+    import pyarrow as pa
+
+    context, token, _ = kneser_ney._tokens(pa.array(["a b a", "c d", "e f"]))
+    g = kneser_ney.gram(context, token)
+    got = reader._look(kneser_ney.part_of(context, token, 2), g, ("gram", "count"), __import__("numpy").uint8, 1)[:, 0].tolist()
+    # start a, a b, b a, a end; start c, c d, d end; start e, e f, f end
+    assert got == [2, 509, 507, 0, 1, 300, 1, 1, 1, 1]
