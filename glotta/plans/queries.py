@@ -14,6 +14,7 @@ from ..operators import manifest as M
 from ..operators import models, ordering, reports, validate
 from ..operators import segments as G
 from ..sources import readers
+from ..sources.tables import spread, table
 from ..streaming import dictation
 from . import fixtures as X
 
@@ -33,7 +34,7 @@ def query(sql: str | None = None, *views: str) -> Callable[[Query], Query]:
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return X.table(spark, d, "documents")
+    return spread(table(spark, d, "documents"))
 
 
 # ------------------------------------------------------------------ sources
@@ -304,7 +305,7 @@ def exists_semi(spark, d):
 
 @query(", a AS (SELECT stem, row_number() OVER (ORDER BY pos) AS pos FROM files), b AS (SELECT item_id, row_number() OVER (ORDER BY item_id) AS pos FROM benchmark) SELECT pos, stem, item_id FROM a JOIN b USING (pos)", "clips", "files")
 def positional_zip(spark, d):
-    return M.positional_zip(X.files(spark, d).select(F.col("pos").alias("k"), "stem"), X.table(spark, d, "benchmark").select("item_id"), "k", "item_id").select("pos", "stem", "item_id")
+    return M.positional_zip(X.files(spark, d).select(F.col("pos").alias("k"), "stem"), table(spark, d, "benchmark").select("item_id"), "k", "item_id").select("pos", "stem", "item_id")
 
 
 @query(", n AS (SELECT pos, row_number() OVER (ORDER BY pos) AS i FROM clips WHERE length(transcription) > 200) SELECT n.pos, 'audio_' || printf('%03d', i) AS stem, 'expr_' || printf('%03d', i) AS id FROM n JOIN files f ON f.pos = i", "clips", "files")
@@ -451,7 +452,7 @@ def dataset_summary(spark, d):
 @query("SELECT conv_id, coalesce(string_agg(t, '. ' ORDER BY turn) FILTER (t <> ''), '') || '.' AS text FROM (SELECT conv_id, turn, regexp_replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '\\.+$', '') AS t FROM conversations) GROUP BY conv_id")
 def combine_transcripts(spark, d):
     turns = F.sort_array(F.collect_list(F.struct("turn", "text")))
-    c = X.table(spark, d, "conversations").groupBy("conv_id").agg(turns.alias("turns"))
+    c = table(spark, d, "conversations").groupBy("conv_id").agg(turns.alias("turns"))
     return c.select("conv_id", T.combine_transcripts(F.transform("turns", lambda x: x["text"])).alias("text"))
 
 
@@ -627,7 +628,7 @@ def silence_pad(spark, d):
 
 @query("SELECT label, len(y)::BIGINT AS n, round(y[1], 6) AS first, round(list_sum(y), 3) AS total FROM (SELECT label, flatten(list(CASE WHEN k = 1 THEN x ELSE list_transform(range(32), lambda i: 0.0::DOUBLE) || x END ORDER BY vec_id)) AS y FROM (SELECT e.label, s.vec_id, s.x, row_number() OVER (PARTITION BY e.label ORDER BY s.vec_id) AS k FROM signals s JOIN embeddings e ON s.vec_id = e.vec_id) GROUP BY label)", "signals")
 def concat_arrays(spark, d):
-    e = X.table(spark, d, "embeddings").select("label", "vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    e = table(spark, d, "embeddings").select("label", "vec_id", F.col("embedding").cast("array<double>").alias("x"))
     clips = F.transform(F.sort_array(F.collect_list(F.struct("vec_id", "x"))), lambda c: c["x"])
     y = e.groupBy("label").agg(clips.alias("clips")).select("label", S.joined(F.col("clips"), S.silence(64, 500)).alias("y"))
     return y.select("label", F.size("y").cast("long").alias("n"), F.round(F.col("y")[0], 6).alias("first"), F.round(S.total(F.col("y")), 3).alias("total"))
@@ -664,7 +665,7 @@ def energy_vad(spark, d):
 @query("SELECT event_id, (epoch_us(ts) // 1000 * 22050) // 16000 AS i FROM events")
 def rescale_index(spark, d):
     # whole numbers throughout: doubles would lose the last digits
-    return X.table(spark, d, "events").select("event_id", F.expr("div(div(unix_micros(cast(ts as timestamp)), 1000) * 22050, 16000)").alias("i"))
+    return table(spark, d, "events").select("event_id", F.expr("div(div(unix_micros(cast(ts as timestamp)), 1000) * 22050, 16000)").alias("i"))
 
 
 _LABELS = "list_concat([50258, 50265], list_transform(string_split(substr(text, 1, 60), ''), lambda c: unicode(c)), [50257])"
@@ -683,7 +684,7 @@ def label_pad_shift(spark, d):
 
 @query("SELECT conv_id, turn, lower(text) AS hypothesis, NULL::VARCHAR AS error FROM conversations")
 def transcribe_stub(spark, d):
-    c = X.table(spark, d, "conversations").select("conv_id", "turn", "text")
+    c = table(spark, d, "conversations").select("conv_id", "turn", "text")
     return models.transcribe(c, models.echo, "text").drop("text")
 
 
