@@ -21,12 +21,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread, table
+
 #: Bytes of text that one numpy pass handles at a time.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(table(spark, sf_dir, name))
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -40,7 +40,7 @@ def _cut(path: str, size: int, with_ids: bool):
     def run(batches):
         tokenizer, part = word_bpe.load(path), TaskContext.get().partitionId()
         seen = np.zeros(size + 1, np.int64)
-        for b in text_slices(batches, 1, 10 << 20):
+        for b in text_slices(batches, 1, 6 << 20):
             ids, to = tokenizer.texts(b.column(1))
             n = np.diff(to) + 1
             pieces = (n + size - 1) // size

@@ -216,7 +216,7 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     schema = pa.schema([("row_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches):
-        for b in text_slices(batches, 1, 10 << 20):
+        for b in text_slices(batches, 1, 6 << 20):
             ids, to = load(path).encode(b.column(1))
             yield batch(schema, b.column(0), pa.ListArray.from_arrays(pa.array(to.astype(np.int32)), pa.array(ids, pa.int32())))
 
@@ -251,7 +251,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches):
         pieces = load(path)
-        for b in text_slices(batches, 1, 10 << 20):
+        for b in text_slices(batches, 1, 6 << 20):
             ids, to = pieces.encode(b.column(1))
             flat, edge = ids.astype("<u4"), to.tolist()
             crc = [zlib.crc32(flat[x:y]) for x, y in zip(edge[:-1], edge[1:], strict=True)]

@@ -34,7 +34,7 @@ from .common import Rolling, Words, batch, blob, flat_bytes, materialize, mix, p
 
 WINDOW = 50
 #: Cells in each of the sketch's rows; a merged row travels as cells / 8 bytes.
-CELLS = 1 << 26
+CELLS = 1 << 25
 ROWS = 2
 _BLOCK = 1 << 16
 
