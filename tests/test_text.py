@@ -14,7 +14,7 @@ def apply(spark, f, values):
 
 
 def python_rules(text, rules):
-    for pattern, to in rules:
+    for pattern, to, _ in rules:
         flags = re.I if pattern.startswith("(?iu)") else 0
         text = re.sub(pattern.replace("(?iu)", "").replace("(?U)", ""), to.replace("$", "\\"), text, flags=flags)
     return text
@@ -90,6 +90,20 @@ def test_abbreviations_as_python(spark):
     assert apply(spark, T.expand_abbreviations, given) == [python_rules(t, ABBREVIATIONS) for t in given]
 
 
+def test_gates():
+    """No pattern matches a text without its gate."""
+    import itertools
+
+    for rule in [*ABBREVIATIONS, *COMMANDS, *COMMANDS_V1]:
+        assert rule.gate and not re.search(r"[\\?*\[(|]", rule.gate)
+    spoken = ["".join(x) for x in itertools.product(["point ", "points ", "de pointe "], ["d'", "de ", ""], ["interrogation", "exclamation", "suspension", "virgule", "à la ligne"])]
+    for text in [*SPOKEN, *spoken]:
+        for rules in (COMMANDS, COMMANDS_V1):
+            for pattern, _, gate in rules:
+                if re.search(pattern.replace("(?iu)", "").replace("(?U)", ""), text.lower(), re.I):
+                    assert gate in text.lower()
+
+
 def test_normalize_as_python(spark):
     given = ["A B\tc", "L’œuvre — à 5 % (ß) ñ_x", "été !?", "日本 3"]
     want = [re.sub(r"\s+", " ", re.sub(r"[^\w\s\-'.,:;!?]", " ", unicodedata.normalize("NFC", python_rules(t, ABBREVIATIONS)).lower())).strip() for t in given]
