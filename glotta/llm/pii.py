@@ -16,6 +16,7 @@ a null or repeated doc_id; extra columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from typing import NamedTuple
@@ -36,7 +37,8 @@ ACCEPT = 0.6
 
 _LOCAL_PART = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+# a match can only begin where a run of digits does, so long runs cost nothing
+_IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
@@ -106,6 +108,18 @@ def _context(text: str, kind: str, start: int, end: int) -> float:
     return min(1.0, max(0.0, score))
 
 
+def _covered(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the runs that spans cover, in order and apart."""
+    starts, ends = [], []
+    for a, b in sorted((s.start, s.end) for s in spans):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def find(text: str, has_digit: bool = True) -> list[Span]:
     """All spans of one text, by start, then by kind as listed in ``KINDS``."""
     out = []
@@ -123,11 +137,12 @@ def find(text: str, has_digit: bool = True) -> list[Span]:
             for m in _PHONE.finditer(text):
                 if 10 <= len(_digits(m[0])) <= 15:
                     out.append(Span("phone", m.start(), m.end(), 1.0))
-        taken = [(s.start, s.end) for s in out]
+        starts, ends = _covered(out)
         for kind, pattern in (("iban", _IBAN), ("tax_id", _TAX), ("local_phone", _LOCAL_PHONE), ("secret", _SECRET)):
             for m in pattern.finditer(text):
                 a, b = m.span()
-                if any(a < y and x < b for x, y in taken):
+                i = bisect.bisect_left(starts, b)  # the covered runs before b
+                if i and ends[i - 1] > a:
                     continue
                 if kind == "iban" and not mod97(m[0]):
                     continue

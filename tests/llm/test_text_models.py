@@ -106,6 +106,9 @@ def test_pii(spark):
 
         assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in want).encode()).hexdigest()
     assert pii.masked("write a@b.cd, IBAN FR76 3000 6000 0112 3456 7890 189.") == "write [EMAIL], IBAN [IBAN]."
+    assert pii.find("1" * 1_000_000) == []  # linear in a run's length
+    many = "a@b.cd tel 055 123 4567 " * 20_000
+    assert [s.kind for s in pii.find(many)] == ["email", "local_phone"] * 20_000
     assert pii.spans(frame(spark, [])).count() == 0
     df = frame(spark, ["a@b.cd é", None]).withColumnRenamed("row_id", "n_chars")
     got = {r.doc_id: (r.text, r.n_chars) for r in pii.redact(df).collect()}
