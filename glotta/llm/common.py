@@ -86,6 +86,12 @@ def salt_of(n: int, *cols) -> F.Column:
     return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
 
 
+def text_bytes(docs: DataFrame) -> int:
+    """Bytes of all texts, by one scan of that column: what tables, buckets and
+    sketches are sized by, so that a task's share stays the same at any input."""
+    return docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+
+
 # ---------------------------------------------------------------- Arrow text
 
 

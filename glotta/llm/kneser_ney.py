@@ -36,12 +36,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, batch, blob, mix, plain, shared_dir, ship, text_slices
+from .common import Words, batch, blob, mix, plain, shared_dir, ship, text_bytes, text_slices
 
 FOLDS, HELD_OUT = 7, 2
 SALT = 16
 #: Text bytes whose n-grams a task adds up before it passes them on.
 ADD_BYTES = 24 << 20
+#: Text bytes for each part of the counts, so that one fits in a task's memory.
+PART_BYTES = 32 << 20
+#: Arrays that a worker keeps mapped; others are mapped again when needed.
+MAPS = 800
 
 _START = np.uint64(0xA5A5A5A55A5A5A5A)
 _END = np.uint64(0x0F1E2D3C4B5A6978)
@@ -277,7 +281,7 @@ def train(docs: DataFrame, parts: int | None = None) -> Model:
     spark = docs.sparkSession
     ship(spark)
     folder = Folder(shared_dir(spark) + "/kneser-ney")
-    parts = parts or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = parts or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")), text_bytes(docs) // PART_BYTES)
     texts = plain(docs, "text").select(F.col("text").cast("string"))
     sums = texts.mapInArrow(_count(parts), "part int, grams binary").groupBy("part").applyInArrow(_merge(folder, parts), "part int, kind byte, sums binary")
     words = sums.groupBy("part").applyInArrow(_words(folder), "totals array<long>")
@@ -296,6 +300,8 @@ class Reader:
         key = f"{name}-{part}"
         if key not in self.maps:
             a = self.folder.map(key, kind)
+            if len(self.maps) >= MAPS:
+                self.maps.pop(next(iter(self.maps)))  # the oldest: parts are read in turn
             self.maps[key] = a.reshape(-1, width) if width > 1 else a
         return self.maps[key]
 

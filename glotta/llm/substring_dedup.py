@@ -9,11 +9,14 @@ Plan, with no group of equal windows in one task:
    each window (the least hash of its ``k // 2``-word runs: equal windows have
    equal keys, and neighbours share one, so there are far fewer keys than
    windows).  Keys count once a document.  The merged sketch overestimates
-   each window's document count; only its ">= 2" bits travel on, whose size is
-   fixed by ``cells``.
+   each window's document count; only its ">= 2" bits travel on.  Its cells
+   follow the bytes of text up to ``MOST_CELLS``, which bounds the broadcast at
+   ``ROWS * MOST_CELLS / 8`` bytes; beyond that more windows pass the sketch,
+   and none is lost.
 2. *Exact pass.*  Windows estimated as repeated are grouped on a 128-bit hash.
-   Each task first keeps the least doc_id of each window in its slice, so a
-   passage in a third of all rows gives one entry a slice.
+   Each task first keeps the least doc_id of each window among ``HELD``
+   candidates, so a passage in a third of all rows gives one entry for as many.
+   Buckets follow the bytes of text, so one fits in a task's memory.
 3. *Removal.*  The windows found go back to their documents by doc_id.
 
 Edge cases: a null or empty text has no words; a null doc_id neither removes
@@ -30,12 +33,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, Words, batch, blob, flat_bytes, materialize, mix, plain, ship, sliding_min, text_slices
+from .common import Rolling, Words, batch, blob, flat_bytes, materialize, mix, plain, ship, sliding_min, text_bytes, text_slices
 
 WINDOW = 50
-#: Cells in each of the sketch's rows; a merged row travels as cells / 8 bytes.
-CELLS = 1 << 25
+#: Cells in each of the sketch's rows, for each so many bytes of text: about
+#: four times the keys there.  A merged row travels as cells / 8 bytes.
+CELL_BYTES = 16
+LEAST_CELLS, MOST_CELLS = 1 << 20, 1 << 29
 ROWS = 2
+#: Keys and candidate windows that a task adds up before it passes them on.
+HELD = 1 << 19
+#: Bytes of text for each bucket of the exact pass.
+BUCKET_BYTES = 16 << 20
 _BLOCK = 1 << 16
 
 _ONE, _TWO, _RUN = Rolling(0x5851F42D4C957F2D), Rolling(0x14057B7EF767814F), Rolling(0x2545F4914F6CDD1D)
@@ -79,9 +88,29 @@ def _known(b: pa.RecordBatch) -> pa.RecordBatch:
     return b.filter(b.column(0).is_valid()) if b.column(0).null_count else b
 
 
+def cells_for(size: int) -> int:
+    """A power of two of cells for so many bytes of text."""
+    return min(MOST_CELLS, max(LEAST_CELLS, 1 << max(0, size // CELL_BYTES - 1).bit_length()))
+
+
 def _sketch(k: int, cells: int):
+    def flush(held: list[np.ndarray]) -> pa.RecordBatch:
+        rows = [], [], []
+        for cell in _cells(np.concatenate(held), cells):
+            cell.sort()
+            head = np.flatnonzero(np.diff(cell, prepend=-1))
+            more = np.diff(head, append=len(cell)) > 1
+            used = cell[head]
+            edge = np.flatnonzero(np.diff(used // _BLOCK, prepend=-1))
+            low = (used % _BLOCK).astype("<u2")
+            for a, b in zip(edge.tolist(), np.append(edge[1:], len(used)).tolist(), strict=True):
+                some, twice = low[a:b], more[a:b]
+                for to, x in zip(rows, (int(used[a] // _BLOCK), blob(some[~twice]), blob(some[twice])), strict=True):
+                    to.append(x)
+        return batch(_SKETCH, *rows)
+
     def run(batches):
-        seen = np.zeros(ROWS * cells, np.uint8)
+        held, n = [], 0
         for b in text_slices(batches, 1):
             w = _Windows(_known(b).column(1), k)
             if not len(w.at):
@@ -94,22 +123,13 @@ def _sketch(k: int, cells: int):
             keys, doc = keys[order], doc[order]
             new = np.ones(len(keys), bool)
             new[1:] = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
-            for cell in _cells(keys[new], cells):
-                cell.sort()
-                head = np.flatnonzero(np.diff(cell, prepend=-1))
-                n = np.diff(head, append=len(cell))
-                seen[cell[head]] = np.minimum(2, seen[cell[head]] + np.minimum(n, 2))
-        used = np.flatnonzero(seen)
-        value, block = seen[used], used // _BLOCK
-        edges = np.searchsorted(block, np.arange(ROWS * cells // _BLOCK + 1))
-        rows = [], [], []
-        for i in np.flatnonzero(np.diff(edges)):
-            s = slice(edges[i], edges[i + 1])
-            low = (used[s] % _BLOCK).astype("<u2")
-            for to, x in zip(rows, (int(i), blob(low[value[s] == 1]), blob(low[value[s] == 2])), strict=True):
-                to.append(x)
-        if rows[0]:
-            yield batch(_SKETCH, *rows)
+            held.append(keys[new])
+            n += len(held[-1])
+            if n >= HELD:
+                yield flush(held)
+                held, n = [], 0
+        if held:
+            yield flush(held)
 
     return run
 
@@ -142,8 +162,29 @@ def repeated_bits(docs: DataFrame, k: int, cells: int) -> np.ndarray:
 
 
 def _candidates(k: int, cells: int, bits, buckets: int):
+    def flush(held: list[tuple]) -> pa.RecordBatch:
+        keys, one, two, doc = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.lexsort((doc, two, one))
+        keys, one, two, doc = keys[order], one[order], two[order], doc[order]
+        new = np.ones(len(one), bool)
+        new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+        least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
+        pair = doc > least  # a smaller document of this task has it
+        rows = [], [], []
+        # the least document of each window is judged by the others' tasks
+        bucket = (mix(keys[new]) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        table = np.stack([one[new], two[new], doc[new].view(np.uint64)], axis=1)[order]
+        _cut(rows, bucket[order], table, 0)
+        if pair.any():
+            found = np.unique(np.stack([doc[pair].view(np.uint64), one[pair]], axis=1), axis=0)
+            bucket = (mix(found[:, 0]) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            _cut(rows, bucket[order], found[order], 1)
+        return batch(_CANDIDATES, *rows)
+
     def run(batches):
-        is_repeated = bits.value
+        is_repeated, held, n = bits.value, [], 0
         for b in text_slices(batches, 1):
             b = _known(b)
             ids = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -156,25 +197,13 @@ def _candidates(k: int, cells: int, bits, buckets: int):
                 hit &= (is_repeated[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0
             if not hit.any():
                 continue
-            keys, one, two, doc = keys[hit], w.one()[hit], w.two()[hit], ids[w.doc[hit]]
-            order = np.lexsort((doc, two, one))
-            keys, one, two, doc = keys[order], one[order], two[order], doc[order]
-            new = np.ones(len(one), bool)
-            new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-            least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-            pair = doc > least  # a smaller document of this slice has it
-            rows = [], [], []
-            # the least document of each window is judged by the others' slices
-            bucket = (mix(keys[new]) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            table = np.stack([one[new], two[new], doc[new].view(np.uint64)], axis=1)[order]
-            _cut(rows, bucket[order], table, 0)
-            if pair.any():
-                found = np.unique(np.stack([doc[pair].view(np.uint64), one[pair]], axis=1), axis=0)
-                bucket = (mix(found[:, 0]) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                _cut(rows, bucket[order], found[order], 1)
-            yield batch(_CANDIDATES, *rows)
+            held.append((keys[hit], w.one()[hit], w.two()[hit], ids[w.doc[hit]]))
+            n += int(hit.sum())
+            if n >= HELD:
+                yield flush(held)
+                held, n = [], 0
+        if held:
+            yield flush(held)
 
     return run
 
@@ -251,19 +280,21 @@ def _digest(k: int):
     return run
 
 
-def _repeats(docs: DataFrame, k: int, cells: int) -> DataFrame:
+def _repeats(docs: DataFrame, k: int, cells: int | None) -> DataFrame:
     """(doc_id, hashes) of the windows that each document loses."""
     spark = docs.sparkSession
     ship(spark)
     docs = plain(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    size = text_bytes(docs)
+    cells = cells or cells_for(size)
     bits = spark.sparkContext.broadcast(repeated_bits(docs, k, cells))
-    buckets = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
     found = docs.mapInArrow(_candidates(k, cells, bits, buckets), "bucket int, kind byte, payload binary")
     flags = materialize(found.groupBy("bucket").applyInArrow(_judge, "doc_id long, hashes binary"), "repeats")
     return flags.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list("hashes").alias("_hashes"))
 
 
-def remove_repeats(docs: DataFrame, k: int = WINDOW, cells: int = CELLS) -> DataFrame:
+def remove_repeats(docs: DataFrame, k: int = WINDOW, cells: int | None = None) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the words left, joined by
     one space) for every row."""
     flags = _repeats(docs, k, cells)
@@ -272,7 +303,7 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, cells: int = CELLS) -> Data
     return joined.mapInArrow(_digest(k), "row_id long, n_words long, n_removed long, kept_sha256 string").withColumnRenamed("row_id", "doc_id")
 
 
-def without_repeats(docs: DataFrame, k: int = WINDOW, cells: int = CELLS) -> DataFrame:
+def without_repeats(docs: DataFrame, k: int = WINDOW, cells: int | None = None) -> DataFrame:
     """``docs`` with the repeated words gone from ``text``.  A text that loses
     none stays as it is, white space included; one that loses all of its words
     becomes empty.  An ``n_chars`` follows the text."""
