@@ -44,6 +44,8 @@ PREFIXES = (4, 5, 6, 7, 8)
 PRIORS = (0.005, 0.02)
 THRESHOLDS = (3.0, 4.0, 5.0, 6.0, 8.0)
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 4
+#: Text bytes whose features a task holds at a time.
+SLICE_BYTES = 2 << 20
 
 _GAP = np.ones(256, bool)
 _GAP[97:123] = False
@@ -69,7 +71,8 @@ _COUNTS = pa.schema([("feature", pa.int64()), ("toxic", pa.int64()), ("clean", p
 
 
 def _count(batches):
-    for b in text_slices(batches, 0, 3 << 20):
+    # each token has up to six features, so slices are small
+    for b in text_slices(batches, 0, SLICE_BYTES // 2):
         label = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
         w, kinds = _features(b.column(0))
         doc = w.doc()
@@ -200,7 +203,7 @@ def _try(tables):
     """What each candidate table finds in the calibration documents."""
 
     def run(batches):
-        for b in text_slices(batches, 0):
+        for b in text_slices(batches, 0, SLICE_BYTES):
             w, kinds = _features(b.column(0))
             n = w.counts()
             found: list[list] = [[] for _ in n]
@@ -273,7 +276,7 @@ _OUT = pa.schema([("row_id", pa.int64()), ("score", pa.float64()), ("passages",
 def _apply(model):
     def run(batches):
         m = model.value
-        for b in text_slices(batches, 1):
+        for b in text_slices(batches, 1, SLICE_BYTES):
             w, kinds = _features(b.column(1))
             n = w.counts().tolist()
             at, odds = _hits(w, kinds, m.table)
@@ -310,7 +313,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Da
 
     def run(batches):
         m = model.value
-        for b in text_slices(batches, text):
+        for b in text_slices(batches, text, SLICE_BYTES):
             w, kinds = _features(b.column(text).cast(pa.string()))
             n = w.counts().tolist()
             at, odds = _hits(w, kinds, m.table)
