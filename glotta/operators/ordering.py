@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 #: Bound on the buckets that numbering uses, and so on the table it broadcasts.
 BUCKETS = 4096
-#: Numeric keys are cut at so many quantiles.
-CUTS = 64
+#: Numeric keys are cut at so many quantiles, at least and at most, with about
+#: ROWS rows between two of them.
+CUTS, MOST_CUTS = 64, 1024
+ROWS = 1_000_000
 
 
 def _numbered(df: DataFrame, bucket: Column, order: list[Column], name: str, by: list[str]) -> DataFrame:
@@ -27,7 +29,10 @@ def _numbered(df: DataFrame, bucket: Column, order: list[Column], name: str, by:
 
 def number_rows(df: DataFrame, key: str, name: str = "n", ties: list[str] | None = None) -> DataFrame:
     """``name``: 1, 2, ... by a numeric ``key``, then ``ties``.  Nulls first."""
-    cuts = df.select(F.percentile_approx(key, F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)]), 1000)).first()[0] or []
+    shares = F.array(*[F.lit(i / MOST_CUTS) for i in range(1, MOST_CUTS)])
+    n, cuts = df.select(F.count("*"), F.percentile_approx(key, shares, 10 * MOST_CUTS)).first()
+    step = MOST_CUTS // min(MOST_CUTS, max(CUTS, n // ROWS))
+    cuts = (cuts or [])[step - 1 :: step]
     bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
     bucket = F.coalesce(F.size(F.filter(bounds, lambda b: b < F.col(key))), F.lit(-1))
     return _numbered(df, bucket, [F.col(c) for c in [key, *(ties or [])]], name, [])

@@ -103,3 +103,14 @@ def test_small_manifest_rules(spark):
     assert [k[0] for k in keys] == ["rec01", "rec01_003", "x"]
     d = spark.createDataFrame([("a|b",), ("a;b;c",), ("a\tb",), ("ab",)], "t string").select(M.delimiter(F.col("t"))).collect()
     assert [x[0] for x in d] == ["|", ";", "\t", ","]
+
+
+def test_numbers_over_many_cuts(spark, monkeypatch):
+    from glotta.operators import ordering
+
+    monkeypatch.setattr(ordering, "ROWS", 10)
+    keys = [(i * 37 % 1009, i) for i in range(1000)] + [(5, -1), (5, -2), (None, -3)]
+    got = ordering.number_rows(spark.createDataFrame(keys, "k long, id long"), "k", "n", ["id"]).collect()
+    want = sorted(keys, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert [(r.k, r.id) for r in sorted(got, key=lambda r: r.n)] == want
+    assert sorted(r.n for r in got) == list(range(1, 1004))
