@@ -9,10 +9,11 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Callable, Iterable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegerType, StringType
 
 from .rules import ABBREVIATIONS, COMMANDS, COMMANDS_V1
 
@@ -171,9 +172,41 @@ def word_count(c: Column) -> Column:
     return F.size(words(c))
 
 
+#: Distinct words that one character each can stand for, below the surrogates.
+CODES = 30_000
+
+
+def edit_distance(ref: list, hyp: list) -> int:
+    """Edit distance between two word lists of any size, in memory linear in
+    the longer one."""
+    ids: dict = {}
+    a, b = (np.array([ids.setdefault(w, len(ids)) for w in x], np.int64) for x in (ref, hyp))
+    n = min(len(a), len(b))
+    same = a[:n] == b[:n]
+    k = n if same.all() else int(same.argmin())
+    a, b, n = a[k:], b[k:], n - k
+    same = a[len(a) - n :][::-1] == b[len(b) - n :][::-1]
+    k = n if same.all() else int(same.argmin())
+    a, b = a[: len(a) - k], b[: len(b) - k]
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.arange(len(b) + 1)
+    row = at
+    for i, w in enumerate(a, 1):
+        new = np.concatenate([[i], np.minimum(row[1:] + 1, row[:-1] + (b != w))])
+        row = np.minimum.accumulate(new - at) + at
+    return int(row[-1])
+
+
+@F.pandas_udf(IntegerType())
+def _edit_distances(ref: pd.Series, hyp: pd.Series) -> pd.Series:
+    return pd.Series([None if r is None or h is None else edit_distance(r, h) for r, h in zip(ref, hyp, strict=True)], dtype="Int32")
+
+
 def word_edits(ref: Column, hyp: Column) -> Column:
-    """Edit distance between two word arrays of at most 30,000 distinct words:
-    each word becomes one character, and the character distance is taken."""
+    """Edit distance between two word arrays: each word becomes one character,
+    and the character distance is taken.  Arrays of more than ``CODES``
+    distinct words are compared as numbers."""
 
     def edits(codes: Column) -> Column:
         text = lambda a: F.array_join(F.transform(a, lambda w: F.try_element_at(codes, w)), "")
@@ -181,7 +214,9 @@ def word_edits(ref: Column, hyp: Column) -> Column:
 
     code = lambda i: F.decode(F.unhex(F.lpad(F.hex(i + 0x4E00), 4, "0")), "UTF-16BE")
     every = F.array_distinct(F.concat(ref, hyp))
-    return let(F.map_from_arrays(every, F.transform(every, lambda w, i: code(i))), edits)
+    many = F.size(every) > CODES
+    exact = _edit_distances(F.when(many, ref), F.when(many, hyp))
+    return F.when(many, exact).otherwise(let(F.map_from_arrays(every, F.transform(every, lambda w, i: code(i))), edits))
 
 
 def word_error_rate(ref: Column, hyp: Column) -> Column:

@@ -59,12 +59,14 @@ def pcm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signals(spark, sf_dir).select("vec_id", F.transform("x", lambda v: F.round(v * 20000).cast("int")).alias("x"))
 
 
-def utterance_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A turn and the next one, 40 words of each, as reference and hypothesis."""
+def utterance_pairs(spark: SparkSession, sf_dir: str, most: int | None = 40) -> DataFrame:
+    """A turn and the next one as reference and hypothesis: ``most`` words of
+    each, as the SQL reads, or all."""
     from ..functions.text import words
 
     c = table(spark, sf_dir, "conversations")
-    head = lambda t: F.array_join(F.slice(words(F.lower(t)), 1, 40), " ")
+    some = (lambda w: F.slice(w, 1, most)) if most else (lambda w: w)
+    head = lambda t: F.array_join(some(words(F.lower(t))), " ")
     w = Window.partitionBy("conv_id").orderBy("turn")
     pairs = c.select("conv_id", "turn", head(F.col("text")).alias("ref"), F.lead(head(F.col("text"))).over(w).alias("hyp"), (F.lead("turn").over(w) - F.col("turn")).alias("step"))
     return pairs.where("step = 1").drop("step")

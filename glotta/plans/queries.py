@@ -319,6 +319,11 @@ def corpus_wer(spark, d):
     return reports.corpus_wer(X.utterance_pairs(spark, d), "ref", "hyp")
 
 
+@query()
+def corpus_wer_whole(spark, d):
+    return reports.corpus_wer(X.utterance_pairs(spark, d, None), "ref", "hyp")
+
+
 # -------------------------------------------------------------- aggregations
 
 
@@ -551,7 +556,16 @@ def fix_question_marks(spark, d):
 
 @query("SELECT conv_id, turn, round(CASE WHEN n = 0 THEN CASE WHEN m = 0 THEN 0.0 ELSE 1.0 END ELSE e / n END, 4) AS wer FROM edits", "utterances")
 def wer_pairs(spark, d):
-    return X.utterance_pairs(spark, d).select("conv_id", "turn", F.round(T.word_error_rate(F.col("ref"), F.col("hyp")), 4).alias("wer"))
+    return _wer_pairs(X.utterance_pairs(spark, d))
+
+
+@query()
+def wer_pairs_whole(spark, d):
+    return _wer_pairs(X.utterance_pairs(spark, d, None))
+
+
+def _wer_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select("conv_id", "turn", F.round(T.word_error_rate(F.col("ref"), F.col("hyp")), 4).alias("wer"))
 
 
 @query("SELECT pos, printf('%03d', pos) AS three, printf('%05d', pos) AS five, printf('%.2f', round(duration_s, 2)) AS two FROM clips", "clips")

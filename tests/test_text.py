@@ -148,3 +148,34 @@ def test_word_error_rate(spark):
 def test_dictation_models(spark):
     f = lambda c: T.dictation(c, restore=lambda x: F.concat(x, F.lit(" .ok")), correct=lambda x: F.concat(x, F.lit("?")))
     assert apply(spark, f, ["un texte sans aucune ponctuation du tout ici et encore des mots", "a point"]) == ["Un texte sans aucune ponctuation du tout ici et encore des mots .ok.", "A.."]
+
+
+def test_word_edits_beyond_codes(spark):
+    import random
+
+    words = [f"w{i}" for i in range(36_000)]
+    df = spark.createDataFrame([(words, [*words[:-3], "x", "y"]), (["a", "b"], ["b"]), (None, ["b"])], "r array<string>, h array<string>")
+    assert [r[0] for r in df.select(T.word_edits(F.col("r"), F.col("h"))).collect()] == [3, 1, None]
+    rnd = random.Random(5)
+    for _ in range(60):
+        r, h = (rnd.choices("abcd", k=rnd.randint(0, 12)) for _ in range(2))
+        row = list(range(len(h) + 1))
+        for i, a in enumerate(r, 1):
+            old, row[0] = row[0], i
+            for j, b in enumerate(h, 1):
+                old, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, old + (a != b))
+        assert T.edit_distance(r, h) == row[-1]
+
+
+def test_wer_of_whole_turns(spark):
+    from glotta.plans import queries
+
+    d = "/root/testdata/sf0.001"
+    turns = {(r.conv_id, r.turn): r.text.lower().split() for r in spark.read.parquet(d + "/conversations.parquet").collect()}
+    pairs = {k: (r, turns[k[0], k[1] + 1]) for k, r in turns.items() if (k[0], k[1] + 1) in turns}
+    edits = {k: T.edit_distance(r, h) for k, (r, h) in pairs.items()}
+    got = {(r.conv_id, r.turn): r.wer for r in queries.wer_pairs_whole(spark, d).collect()}
+    assert got == pytest.approx({k: edits[k] / len(r) if r else float(bool(h)) for k, (r, h) in pairs.items()}, abs=6e-5)
+    total = queries.corpus_wer_whole(spark, d).first()
+    assert (total.edits, total.words) == (sum(edits.values()), sum(len(r) for r, _ in pairs.values()))
+    assert any(len(r) > 40 for r, _ in pairs.values())
