@@ -47,7 +47,16 @@ def manifest_clean_rows(spark, d):
 
 @query("SELECT pos AS line, stem, regexp_replace(split_part(replace(transcription, '|', ' '), chr(10), 1), '^\\s+|\\s+$', '', 'g') AS text FROM clips WHERE pos > 0", "clips")
 def meta_parse(spark, d):
-    one = F.split(F.replace("transcription", F.lit("|"), F.lit(" ")), "\n")[0]
+    return _metadata(spark, d, lambda t: F.split(t, "\n")[0])
+
+
+@query("SELECT pos AS line, stem, regexp_replace(replace(replace(transcription, '|', ' '), chr(10), ' '), '^\\s+|\\s+$', '', 'g') AS text FROM clips WHERE pos > 0", "clips")
+def meta_parse_whole(spark, d):
+    return _metadata(spark, d, lambda t: F.replace(t, F.lit("\n"), F.lit(" ")))
+
+
+def _metadata(spark: SparkSession, d: str, line: Callable[[Column], Column]) -> DataFrame:
+    one = line(F.replace("transcription", F.lit("|"), F.lit(" ")))
     lines = X.clips(spark, d).select(F.col("pos").alias("line"), F.when(F.col("pos") == 0, "filename|text").otherwise(F.concat_ws("|", F.concat("stem", F.lit(".wav")), one)).alias("value"))
     return M.metadata_rows(lines)
 
@@ -467,6 +476,11 @@ def union_sources(spark, d):
     return M.union_sources(c.where("pos % 3 = 0"), X.meta(spark, d).select("pos", "stem"), X.files(spark, d).select("pos", "stem"))
 
 
+@query("SELECT 0 AS src_rank, pos, stem FROM clips UNION ALL SELECT 1, pos, stem FROM meta UNION ALL SELECT 2, pos, stem FROM files", "clips", "meta", "files")
+def union_sources_whole(spark, d):
+    return M.union_sources(*[f(spark, d).select("pos", "stem") for f in (X.clips, X.meta, X.files)])
+
+
 # ------------------------------------------------------------------ segments
 
 _GAP, _LONGEST = 3600 * _SECOND, 7200 * _SECOND
@@ -687,10 +701,33 @@ _LABELS = "list_concat([50258, 50265], list_transform(string_split(substr(text,
 
 @query(f"SELECT doc_id, array_to_string(l || list_transform(range(greatest(70 - len(l), 0)), lambda i: -100), ',') AS labels, array_to_string([50258] || (l || list_transform(range(greatest(70 - len(l), 0)), lambda i: 50257))[1:69], ',') AS decoder FROM (SELECT doc_id, {_LABELS} AS l FROM documents WHERE text <> '')")
 def label_pad_shift(spark, d):
-    tokens = F.transform(F.split(F.substring("text", 1, 60), ""), lambda c: F.conv(F.hex(F.encode(c, "utf-32")), 16, 10).cast("int"))
-    ids = S.labels([50258, 50265], tokens, 50257, 50257)
-    padded = S.padded_labels(ids, 70)
-    return _docs(spark, d).where("text <> ''").select("doc_id", F.array_join(padded, ",").alias("labels"), F.array_join(S.decoder_input(padded, 50258, 50257), ",").alias("decoder"))
+    ids = _label_ids(F.substring("text", 1, 60))
+    return _padded(_docs(spark, d).where("text <> ''").select("doc_id", S.padded_labels(ids, 70).alias("padded")))
+
+
+#: Rows of a training batch; its labels are padded to the longest of them.
+_BATCH = 16
+
+
+@query(f"""WITH n AS (SELECT doc_id, text, (row_number() OVER (ORDER BY doc_id) - 1) // {_BATCH} AS batch FROM documents WHERE text <> ''),
+i AS (SELECT doc_id, batch, list_concat([50258, 50265], list_transform(string_split(text, ''), lambda c: unicode(c)), [50257]) AS l FROM n),
+m AS (SELECT doc_id, l, max(len(l)) OVER (PARTITION BY batch) AS longest FROM i)
+SELECT doc_id, array_to_string(l || list_transform(range(longest - len(l)), lambda i: -100), ',') AS labels, array_to_string([50258] || (l || list_transform(range(longest - len(l)), lambda i: 50257))[1:longest - 1], ',') AS decoder FROM m""")
+def label_pad_shift_whole(spark, d):
+    rows = ordering.number_rows(_docs(spark, d).where("text <> ''").select("doc_id", "text"), "doc_id", "_n")
+    rows = rows.withColumn("_batch", F.floor((F.col("_n") - 1) / _BATCH))
+    # lengths before ids: what is shuffled are texts, never padded arrays; the pad id, U+C451, is no label
+    longest = rows.groupBy("_batch").agg((F.max(F.length(F.translate("text", "\uc451", ""))) + 3).alias("_longest"))
+    return _padded(rows.join(longest, "_batch").select("doc_id", S.padded_labels(_label_ids(F.col("text")), F.col("_longest")).alias("padded")))
+
+
+def _label_ids(text: Column) -> Column:
+    tokens = F.transform(F.split(text, ""), lambda c: F.conv(F.hex(F.encode(c, "utf-32")), 16, 10).cast("int"))
+    return S.labels([50258, 50265], tokens, 50257, 50257)
+
+
+def _padded(rows: DataFrame) -> DataFrame:
+    return rows.select("doc_id", F.array_join("padded", ",").alias("labels"), F.array_join(S.decoder_input(F.col("padded"), 50258, 50257), ",").alias("decoder"))
 
 
 # --------------------------------------------------- models and dictation
