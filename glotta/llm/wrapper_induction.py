@@ -27,7 +27,10 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
+from collections.abc import Callable
+from math import isqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +41,8 @@ from .common import batch, materialize, plain, ship, text_slices
 CONSTANT = 0.9
 PAGES = 5
 BROADCAST_BYTES = 32 << 20
-#: Cells of one alignment of two child lists; longer lists align by position.
+#: Cells of one alignment of two child lists in plain Python; larger ones go
+#: through numpy rows, with the same sum.
 CELLS = 1 << 16
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>", re.S)
@@ -202,55 +206,115 @@ def _label(n: Node) -> str:
     return n.tag
 
 
+def _shapes(tree: Tree, known: dict) -> list[int]:
+    """Per node a number that equal trees of tags share."""
+    out = [0] * len(tree.nodes)
+    for i in range(len(out) - 1, -1, -1):  # children come after their parents
+        out[i] = known.setdefault((_label(tree.nodes[i]), tuple(out[c] for c in tree.below[i])), len(known))
+    return out
+
+
+def _short_plan(x: list[int], y: list[int], weight: Callable[[int, int], int]) -> tuple[int, list[tuple[int, int]]]:
+    """The greatest sum of an ordered alignment of two lists, and its places."""
+    # rows of the best sums; choices are read back from them
+    table = [[0] * (len(y) + 1)]
+    for p in x:
+        last, row = table[-1], [0]
+        for k, q in enumerate(y):
+            best = last[k + 1] if last[k + 1] >= row[k] else row[k]
+            w = weight(p, q)
+            if w and last[k] + w > best:
+                best = last[k] + w
+            row.append(best)
+        table.append(row)
+    plan, r, k = [], len(x), len(y)
+    while r and k:
+        if table[r][k] == table[r - 1][k]:
+            r -= 1
+        elif table[r][k] == table[r][k - 1]:
+            k -= 1
+        else:
+            r, k = r - 1, k - 1
+            plan.append((r, k))
+    return table[-1][-1], plan
+
+
+def _long_plan(x: list[int], y: list[int], weight: Callable[[int, int], int]) -> tuple[int, list[tuple[int, int]]]:
+    """As ``_short_plan``.  Equal shapes at both ends pair up, which no other
+    alignment beats; of the rows between, every ``step``-th is kept and those
+    after it are computed again when the choices are read back."""
+    n, head, tail = min(len(x), len(y)), 0, 0
+    while head < n and x[head] == y[head]:
+        head += 1
+    while tail < n - head and x[-1 - tail] == y[-1 - tail]:
+        tail += 1
+    plan = [(k, k) for k in range(head)] + [(len(x) - 1 - k, len(y) - 1 - k) for k in range(tail)]
+    total = sum(weight(x[r], y[k]) for r, k in plan)
+    x, y = x[head : len(x) - tail], y[head : len(y) - tail]
+    if not x or not y:
+        return total, plan
+    (one, p), (two, q) = (np.unique(z, return_inverse=True) for z in (x, y))
+    weights = np.array([[weight(i, j) for j in two.tolist()] for i in one.tolist()], np.int64)
+
+    def after(row: np.ndarray, r: int) -> np.ndarray:
+        best = np.maximum(row[1:], row[:-1] + weights[p[r]][q])
+        return np.concatenate([[0], np.maximum.accumulate(best)])
+
+    step = isqrt(len(x)) + 1
+    row, kept = np.zeros(len(y) + 1, np.int64), []
+    for r in range(len(x)):
+        if r % step == 0:
+            kept.append(row)
+        row = after(row, r)
+    total += int(row[-1])
+    r, k = len(x), len(y)
+    while r and k:
+        first = (r - 1) // step * step
+        table = [kept[first // step]]
+        for i in range(first, r):
+            table.append(after(table[-1], i))
+        while r > first and k:
+            here, up = table[r - first], table[r - first - 1]
+            if here[k] == up[k]:
+                r -= 1
+            elif here[k] == here[k - 1]:
+                k -= 1
+            else:
+                r, k = r - 1, k - 1
+                plan.append((head + r, head + k))
+    return total, plan
+
+
 def match(a: Tree, b: Tree) -> list[tuple[int, int]]:
     """Simple tree matching: the pairs of nodes of a largest top-down, ordered
-    alignment of equal tags."""
+    alignment of equal tags.  A pair's alignment follows from its two shapes."""
+    known: dict = {}
+    mine, other = _shapes(a, known), _shapes(b, known)
+    left, right = ({s: i for i, s in enumerate(z)} for z in (mine, other))  # a node of each shape
     sizes: dict[tuple[int, int], int] = {}
     plans: dict[tuple[int, int], list[tuple[int, int]]] = {}
 
-    def size(i: int, j: int) -> int:
-        if (i, j) in sizes:
-            return sizes[i, j]
+    def size(s: int, t: int) -> int:
+        if (s, t) in sizes:
+            return sizes[s, t]
+        i, j = left[s], right[t]
         if _label(a.nodes[i]) != _label(b.nodes[j]):
             return 0
-        x, y = a.below[i], b.below[j]
+        x, y = [mine[c] for c in a.below[i]], [other[c] for c in b.below[j]]
         if not x or not y:
-            sizes[i, j] = 1
+            sizes[s, t] = 1
             return 1
-        if len(x) * len(y) > CELLS:
-            plan = [(p, q) for p, q in zip(x, y, strict=False) if size(p, q)]
-            total = sum(size(p, q) for p, q in plan)
-        else:
-            # rows of the best sums; choices are read back from them
-            table = [[0] * (len(y) + 1)]
-            for p in x:
-                last, row = table[-1], [0]
-                for k, q in enumerate(y):
-                    best = last[k + 1] if last[k + 1] >= row[k] else row[k]
-                    w = size(p, q)
-                    if w and last[k] + w > best:
-                        best = last[k] + w
-                    row.append(best)
-                table.append(row)
-            plan, r, k = [], len(x), len(y)
-            while r and k:
-                if table[r][k] == table[r - 1][k]:
-                    r -= 1
-                elif table[r][k] == table[r][k - 1]:
-                    k -= 1
-                else:
-                    r, k = r - 1, k - 1
-                    plan.append((x[r], y[k]))
-            total = table[-1][-1]
-        sizes[i, j], plans[i, j] = total + 1, plan
+        total, plans[s, t] = (_long_plan if len(x) * len(y) > CELLS else _short_plan)(x, y, size)
+        sizes[s, t] = total + 1
         return total + 1
 
-    size(0, 0)
+    size(mine[0], other[0])
     out, stack = [], [(0, 0)]
     while stack:
         i, j = stack.pop()
         out.append((i, j))
-        stack.extend(plans.get((i, j), ()))
+        x, y = a.below[i], b.below[j]
+        stack.extend((x[r], y[k]) for r, k in plans.get((mine[i], other[j]), ()))
     return out
 
 

@@ -224,3 +224,26 @@ def test_wrapper(spark):
     finally:
         wrapper_induction.BROADCAST_BYTES = kept
     assert wrapper_induction.main_text(df.limit(0)).count() == 0
+
+
+def test_tree_matching_of_long_lists():
+    """Long child lists align as exactly as short ones."""
+    rnd = random.Random(7)
+    shapes = ["<p>x</p>", "<ul><li>a</ul>", "<ul><li>a<li>b</ul>", "<div><p>x</p></div>", "<table><tr><td>z</table>"]
+    kept = wrapper_induction.CELLS
+    for n, m in ((3, 4), (1, 9), (20, 31), (40, 40)):
+        a, b = (wrapper_induction.Tree("<div>" + "".join(rnd.choices(shapes, k=k)) + "</div>") for k in (n, m))
+        short = wrapper_induction.match(a, b)
+        wrapper_induction.CELLS = 0
+        try:
+            long = wrapper_induction.match(a, b)
+        finally:
+            wrapper_induction.CELLS = kept
+        assert len(long) == len(short)
+        assert all(a.nodes[i].tag == b.nodes[j].tag for i, j in long)
+        assert len({i for i, _ in long}) == len({j for _, j in long}) == len(long)
+    one = "".join(f"<p>{i}</p>" for i in range(300))
+    a = wrapper_induction.Tree(f"<div>top</div>{one}<div>end</div>")
+    b = wrapper_induction.Tree(f"<div>top</div><ul><li>new</ul>{one}<div>end</div>")
+    pairs = [(a.text(i), b.text(j)) for i, j in wrapper_induction.match(a, b) if a.text(i)]
+    assert ("end", "end") in pairs and all(x == y for x, y in pairs) and len(pairs) == 302
