@@ -1,8 +1,10 @@
 """Main text of web pages by wrapper induction.
 
-Per host, the shortest page is the reference tree.  Simple tree matching aligns
-every page of the host with it; a reference node whose text is the same on
-nearly all aligned pages is template, others are slots.  Counts are added up
+Per host, two pages are reference trees: of ``DRAWS`` that hashes choose among
+its distinct pages, the one of median size and a longer one, so a stub is hardly
+ever one and a block that one lacks may be in the other.  Simple tree matching
+aligns every page of the host with both; a reference node whose text is the same
+on nearly all aligned pages is template, others are slots.  Counts are added up
 per task before they are grouped, so a host with a third of all pages is no
 burden.  Wrappers join back to pages by broadcast while they measure at most
 ``BROADCAST_BYTES``, and by a shuffled join beyond that.
@@ -40,6 +42,9 @@ from .common import batch, materialize, plain, ship, text_slices
 #: Share of aligned pages, and least number of them, that make a template.
 CONSTANT = 0.9
 PAGES = 5
+#: Pages that hashes choose per host, and which of them by size are references.
+DRAWS = 15
+CHOSEN = (DRAWS // 2, 3 * DRAWS // 4)
 BROADCAST_BYTES = 32 << 20
 #: Cells of one alignment of two child lists in plain Python; larger ones go
 #: through numpy rows, with the same sum.
@@ -393,28 +398,31 @@ def extract(page: str, template: frozenset[int] = frozenset(), tree: Tree | None
 
 # ---------------------------------------------------------------- operators
 
-_STATS = pa.schema([("host", pa.string()), ("node", pa.int32()), ("pages", pa.int64()), ("same", pa.int64())])
+_STATS = pa.schema([("host", pa.string()), ("which", pa.int32()), ("node", pa.int32()), ("pages", pa.int64()), ("same", pa.int64())])
 _OUT = pa.schema([("row_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
 
 def _align(batches):
-    """(page_id, url, html, host, reference): per reference node with text, on
+    """(page_id, url, html, host, references): per reference node with text, on
     how many pages it was found, and with the same text on how many."""
-    trees: dict[str, Tree] = {}
+    trees: dict[str, list[Tree]] = {}
     pages, same = Counter(), Counter()
     for b in text_slices(batches, 2):
-        for page, host, reference in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
-            if not page or not host or page == reference:
+        for page, host, references in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
+            if not page or not host or references == [page]:
                 continue
             if host not in trees:
                 if len(trees) > 200:
                     trees.clear()
-                trees[host] = Tree(reference)
-            t, mine = trees[host], Tree(page)
-            for i, j in match(t, mine):
-                if t.text(i):
-                    pages[host, i] += 1
-                    same[host, i] += t.text(i) == mine.text(j)
+                trees[host] = [Tree(r) for r in references]
+            mine = Tree(page)
+            for which, t in enumerate(trees[host]):
+                if page == references[which]:
+                    continue
+                for i, j in match(t, mine):
+                    if t.text(i):
+                        pages[host, which, i] += 1
+                        same[host, which, i] += t.text(i) == mine.text(j)
         if len(pages) > 200_000:
             yield _stats(pages, same)
             pages.clear()
@@ -425,15 +433,15 @@ def _align(batches):
 
 def _stats(pages: Counter, same: Counter) -> pa.RecordBatch:
     keys = list(pages)
-    return batch(_STATS, [h for h, _ in keys], [n for _, n in keys], [pages[k] for k in keys], [same[k] for k in keys])
+    return batch(_STATS, *(list(c) for c in zip(*keys, strict=True)), [pages[k] for k in keys], [same[k] for k in keys])
 
 
 def _extract(batches):
-    """(page_id, url, html, host, reference, template)"""
-    trees: dict[str, Tree] = {}
+    """(page_id, url, html, host, references, template)"""
+    trees: dict[str, list[Tree]] = {}
     for b in text_slices(batches, 2):
         texts = []
-        for page, host, reference, constant in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
+        for page, host, references, constant in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
             if not page:
                 texts.append("")
                 continue
@@ -442,32 +450,44 @@ def _extract(batches):
                 if host not in trees:
                     if len(trees) > 200:
                         trees.clear()
-                    trees[host] = Tree(reference)
-                t, fixed = trees[host], set(constant)
-                template = frozenset(j for i, j in match(t, tree) if i in fixed and t.text(i) == tree.text(j))
+                    trees[host] = [Tree(r) for r in references]
+                fixed = {(c["which"], c["node"]) for c in constant}
+                found = ((which, t, i, j) for which, t in enumerate(trees[host]) if any(w == which for w, _ in fixed) for i, j in match(t, tree))
+                template = frozenset(j for which, t, i, j in found if (which, i) in fixed and t.text(i) == tree.text(j))
             texts.append(extract(page, template, tree))
         yield batch(_OUT, b.column(0), b.column(1), texts, [len(t) for t in texts])
 
 
 def _beside(pages: DataFrame, table: DataFrame) -> DataFrame:
     """``table`` (a row per host) joined to pages; broadcast if it is small."""
-    size = table.agg(F.sum(F.length("reference") + 64)).first()[0] or 0
+    size = table.agg(F.sum(F.length(F.array_join("references", "")) + 64)).first()[0] or 0
     return pages.join(F.broadcast(table) if size <= BROADCAST_BYTES else table, "host", "left")
 
 
+def _references(pages: DataFrame) -> DataFrame:
+    """host, references: one choice at any partitioning.  Each draw is the page
+    of least hash under a seed, so equal pages count once; only numbers are
+    aggregated, and html of the chosen pages alone."""
+    pages = pages.withColumn("own", F.xxhash64("html"))
+    one = [F.min(F.struct(F.xxhash64("own", F.lit(k)).alias("hash"), F.length("html").alias("size"), "own")) for k in range(DRAWS)]
+    drawn = pages.groupBy("host").agg(F.sort_array(F.transform(F.array(*one), lambda r: F.struct(r["size"].alias("size"), r["own"].alias("own")))).alias("drawn"))
+    chosen = drawn.select("host", F.explode(F.array_distinct(F.array(*[F.col("drawn")[k]["own"] for k in CHOSEN]))).alias("own"))
+    found = pages.join(chosen, ["host", "own"]).groupBy("host", "own").agg(F.min("html").alias("html"))
+    return found.groupBy("host").agg(F.sort_array(F.collect_list(F.struct(F.length("html").alias("size"), "html"))).alias("r")).select("host", F.col("r.html").alias("references"))
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for every row."""
     ship(pages.sparkSession)
     pages = plain(pages, "page_id", "url", "html").select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     host = F.nullif(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
     pages = pages.withColumn("host", host)
-    # of the shortest pages the least page_id, then the least html: one choice at any partitioning
-    some = pages.where("host is not null and html <> ''").groupBy("host")
-    references = materialize(some.agg(F.min(F.struct(F.length("html").alias("size"), "page_id", "html")).alias("r")).select("host", F.col("r.html").alias("reference")), "references")
-    columns = ["page_id", "url", "html", "host", "reference"]
-    stats = _beside(pages, references).select(*columns).mapInArrow(_align, "host string, node int, pages long, same long")
-    stats = stats.groupBy("host", "node").agg(F.sum("pages").alias("pages"), F.sum("same").alias("same"))
-    fixed = stats.where((F.col("pages") >= PAGES) & (F.col("same") >= CONSTANT * F.col("pages"))).groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("template"))
+    references = materialize(_references(pages.where("host is not null and html <> ''").select("host", "html")), "references")
+    columns = ["page_id", "url", "html", "host", "references"]
+    stats = _beside(pages, references).select(*columns).mapInArrow(_align, "host string, which int, node int, pages long, same long")
+    stats = stats.groupBy("host", "which", "node").agg(F.sum("pages").alias("pages"), F.sum("same").alias("same"))
+    node = F.struct("which", "node")
+    fixed = stats.where((F.col("pages") >= PAGES) & (F.col("same") >= CONSTANT * F.col("pages"))).groupBy("host").agg(F.sort_array(F.collect_list(node)).alias("template"))
     wrappers = materialize(references.join(fixed, "host"), "wrappers")
     out = _beside(pages, wrappers).select(*columns, "template").mapInArrow(_extract, "row_id long, url string, text string, n_chars long")
     return out.withColumnRenamed("row_id", "page_id")

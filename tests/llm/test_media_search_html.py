@@ -247,3 +247,19 @@ def test_tree_matching_of_long_lists():
     b = wrapper_induction.Tree(f"<div>top</div><ul><li>new</ul>{one}<div>end</div>")
     pairs = [(a.text(i), b.text(j)) for i, j in wrapper_induction.match(a, b) if a.text(i)]
     assert ("end", "end") in pairs and all(x == y for x, y in pairs) and len(pairs) == 302
+
+
+def test_wrapper_with_a_stub(spark):
+    """One stub on a host, its shortest page, leaves the host its template."""
+    rnd = random.Random(1)
+    word = lambda: "".join(rnd.choices("abcdef", k=5))
+    pages, want = [(900, "http://one.example/stub", "<html><body> </body></html>")], {900: ""}
+    for i in range(30):
+        own = [" ".join(word() for _ in range(rnd.randint(3, 9))) for _ in range(rnd.randint(1, 5))]
+        # the top block is missing on a third of all pages
+        top = "<section><p>Welcome to this site</p></section>" if i % 3 else ""
+        page = f"<html><body>{top}<div>" + "".join(f"<p>{x}</p>" for x in own) + "</div><table><tr><td>All rights reserved here</td></tr></table></body></html>"
+        pages.append((i, f"http://one.example/{i}", page))
+        want[i] = "\n".join(own)
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    assert {r.page_id: r.text for r in wrapper_induction.main_text(df).collect()} == want
