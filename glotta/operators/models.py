@@ -59,3 +59,45 @@ def energy_vad(df: DataFrame, samples: str, frame: int, hop: int, top_db: float
         return s.map(lambda x: [{"start": a, "end": b} for a, b in speech_spans(np.asarray(x), frame, hop, top_db)])
 
     return df.withColumn("spans", spans(samples))
+
+
+def loud_frames(x: np.ndarray, top_db: float, frame: int = 2048, hop: int = 512) -> np.ndarray:
+    """Per centred frame: is it within ``top_db`` of the loudest?  Levels below
+    1e-5 count as that, so a silent signal is all loud."""
+    x = np.pad(np.asarray(x, float), frame // 2)
+    level = np.sqrt((np.lib.stride_tricks.sliding_window_view(x, frame)[::hop] ** 2).mean(axis=1))
+    db = 20 * np.log10(np.maximum(level, 1e-5))
+    return db - db.max() > -top_db
+
+
+def split_at_silence(x: np.ndarray, top_db: float = 35.0, frame: int = 2048, hop: int = 512) -> list[tuple[int, int]]:
+    """The spans of loud frames, in samples."""
+    if not len(x):
+        return []
+    loud = np.concatenate([[False], loud_frames(x, top_db, frame, hop), [False]])
+    edge = np.minimum(np.flatnonzero(loud[1:] != loud[:-1]) * hop, len(x))
+    return [(int(a), int(b)) for a, b in zip(edge[::2], edge[1::2], strict=True)]
+
+
+def trim_cascade(x: np.ndarray, rate: int, levels: tuple[float, ...] = (20.0, 15.0, 10.0), least_s: float = 0.5, frame: int = 2048, hop: int = 512) -> tuple[int, int] | None:
+    """What the first of ``levels`` that leaves ``least_s`` leaves between the
+    quiet ends; None if each leaves less."""
+    for top_db in levels:
+        spans = split_at_silence(x, top_db, frame, hop)
+        if spans and spans[-1][1] - spans[0][0] >= int(least_s * rate):
+            return spans[0][0], spans[-1][1]
+    return None
+
+
+def trimmed(df: DataFrame, samples: str, rate: int, levels: tuple[float, ...] = (20.0, 15.0, 10.0), least_s: float = 0.5, frame: int = 2048, hop: int = 512) -> DataFrame:
+    """``samples`` without its quiet ends; null where too little is left."""
+
+    @F.pandas_udf("array<double>")
+    def cut(s: pd.Series) -> pd.Series:
+        def one(x):
+            span = None if x is None else trim_cascade(x, rate, levels, least_s, frame, hop)
+            return None if span is None else np.asarray(x, float)[span[0] : span[1]]
+
+        return s.map(one)
+
+    return df.withColumn(samples, cut(samples))

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..config import ConcatConfig, MergeConfig, PackConfig
+from ..config import ConcatConfig, MergeConfig, PackConfig, SegmentConfig
+from .models import split_at_silence
 from .ordering import number_rows
 
 
@@ -55,6 +57,40 @@ def segment_pipeline(df: DataFrame, key: str, start: str, end: str, gap: int, le
     return pieces.withColumn("idx", F.row_number().over(Window.partitionBy(key).orderBy("start", "end")) - 1)
 
 
+def subsplit(x: np.ndarray, start: int, end: int, longest: int, top_db: float = 35.0, frame: int = 2048, hop: int = 512) -> list[tuple[int, int]]:
+    """[start, end) of a signal in pieces of at most ``longest``: cut at its
+    silences, which go, and where it has none at the midpoint."""
+    if end - start <= longest:
+        return [(start, end)]
+    spans = split_at_silence(x[start:end], top_db, frame, hop)
+    if len(spans) <= 1:
+        mid = (start + end) // 2
+        spans = [(0, mid - start), (mid - start, end - start)]
+    return [p for a, b in spans for p in subsplit(x, start + a, start + b, longest, top_db, frame, hop)]
+
+
+def segment_audio(df: DataFrame, key: str, samples: str, config: SegmentConfig = SegmentConfig(), top_db: float = 35.0, frame: int = 2048, hop: int = 512) -> DataFrame:
+    """A signal's speech: found by energy, merged, cut at silences, filtered by
+    length and numbered: (key, idx, start, end), in samples."""
+    gap, least, longest = int(config.rate * config.gap_ms / 1000), int(config.rate * config.min_s), int(config.rate * config.max_s)
+
+    def pieces(x) -> list[dict]:
+        x, merged = np.asarray(x, float), []
+        for a, b in split_at_silence(x, top_db, frame, hop):
+            if merged and a - merged[-1][1] <= gap:
+                merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+            else:
+                merged.append((a, b))
+        cut = [p for a, b in merged for p in subsplit(x, a, b, longest, top_db, frame, hop)]
+        return [{"start": a, "end": b} for a, b in cut if least <= b - a <= longest]
+
+    @F.pandas_udf("array<struct<start:long,end:long>>")
+    def spans(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: None if x is None else pieces(x))
+
+    return df.select(key, F.posexplode(spans(samples)).alias("idx", "p")).select(key, "idx", "p.start", "p.end")
+
+
 # ------------------------------------------------------------------- packing
 
 
@@ -67,6 +103,29 @@ def pack_short(df: DataFrame, order: str, duration: str, text: str, config: Pack
     if config.max_terms * (config.short_s + config.pause_s) > config.max_s:
         raise ValueError("groups may fill up by duration; use pack_by_fold")
     rows = number_rows(df, order, "_n").withColumn("group", F.floor((F.col("_n") - 1) / config.max_terms).cast("long"))
+    return _grouped(rows, duration, text, config)
+
+
+def pack_by_fold(df: DataFrame, order: str, duration: str, text: str, config: PackConfig = PackConfig()) -> DataFrame:
+    """As ``pack_short`` for any bounds.  A group that is full by duration with
+    fewer than ``min_terms`` clips also loses the clip that did not fit, as in
+    the reference.  Each group depends on the one before: one task streams all
+    rows."""
+
+    def step(state, d):
+        _, group, n, used = state or (0, 0, 0, 0.0)
+        d = (d if d and d == d else 0.0) + config.pause_s  # no duration counts as none
+        if n < config.max_terms and used + d <= config.max_s:
+            return group, group, n + 1, used + d
+        if n < config.min_terms or d > config.max_s:
+            return -1, group + 1, 0, 0.0
+        return group + 1, group + 1, 1, d
+
+    rows = number_rows(df, order, "_n").withColumn("_all", F.lit(0))
+    return _grouped(_folded(rows, "_all", ["_n"], duration, step, "group").where("group >= 0"), duration, text, config)
+
+
+def _grouped(rows: DataFrame, duration: str, text: str, config: PackConfig) -> DataFrame:
     clips = F.sort_array(F.collect_list(F.struct("_n", F.col(duration).alias("d"), F.col(text).alias("t"))))
     groups = rows.groupBy("group").agg(clips.alias("clips")).withColumn("n_terms", F.size("clips"))
     total = F.aggregate("clips", F.lit(0.0), lambda s, c: s + c["d"])

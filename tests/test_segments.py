@@ -114,3 +114,71 @@ def test_numbers_over_many_cuts(spark, monkeypatch):
     want = sorted(keys, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     assert [(r.k, r.id) for r in sorted(got, key=lambda r: r.n)] == want
     assert sorted(r.n for r in got) == list(range(1, 1004))
+
+
+def burst(*lengths):
+    """Loud and silent stretches in turn."""
+    import numpy as np
+
+    return np.concatenate([np.full(n, 0.5 if i % 2 == 0 else 0.0) * (-1.0) ** np.arange(n) for i, n in enumerate(lengths)])
+
+
+def test_subsplit_at_silences():
+    x = burst(6000, 3000, 9000, 3000, 4000)
+    cut = G.subsplit(x, 0, len(x), 10_000, frame=256, hop=64)
+    assert len(cut) == 3 and all(abs(a - b) <= 256 for p, q in zip(cut, [(0, 6000), (9000, 18000), (21000, 25000)], strict=True) for a, b in zip(p, q, strict=True))
+    assert G.subsplit(burst(40), 0, 40, 15, frame=8, hop=2) == [(0, 10), (10, 20), (20, 30), (30, 40)]
+    assert G.subsplit(x, 5, 1000, 10_000) == [(5, 1000)]
+
+
+def test_segment_audio(spark):
+    from glotta.config import SegmentConfig
+
+    # at 1000 a second: a gap of 300 ms merges, 1 s stays apart, 200 ms is too short
+    x = burst(2000, 300, 2000, 1000, 200, 1000, 9000)
+    df = spark.createDataFrame([("a", x.tolist()), ("b", None)], "k string, x array<double>")
+    got = [tuple(r) for r in G.segment_audio(df, "k", "x", SegmentConfig(rate=1000, max_s=5.0), frame=64, hop=16).orderBy("idx").collect()]
+    assert [(k, i) for k, i, _, _ in got] == [("a", 0), ("a", 1), ("a", 2)]
+    assert all(abs(a - b) <= 64 for g, w in zip(got, [(0, 4300), (6500, 11000), (11000, 15500)], strict=True) for a, b in zip(g[2:], w, strict=True))
+
+
+def test_trim_cascade(spark):
+    import numpy as np
+
+    from glotta.operators import models
+
+    # loud for 0.3 s, then 17 dB below that: only 20 dB keeps half a second
+    x = np.concatenate([np.zeros(400), burst(300), burst(400) * 10 ** (-17 / 20), np.zeros(400)])
+    a, b = models.trim_cascade(x, 1000, frame=64, hop=16)
+    assert abs(a - 400) <= 64 and abs(b - 1100) <= 64
+    assert models.trim_cascade(x, 1000, (15.0,), frame=64, hop=16) is None
+    df = spark.createDataFrame([(x.tolist(),), (None,), ([0.0] * 300,)], "x array<double>")
+    got = [r.x for r in models.trimmed(df, "x", 1000, frame=64, hop=16).collect()]
+    assert len(got[0]) == b - a and got[1:] == [None, None]
+
+
+@pytest.mark.parametrize("bound", [28.0, 7.0, 3.0])
+def test_pack_by_fold(spark, bound):
+    from glotta.config import PackConfig
+
+    rnd = random.Random(bound)
+    clips = [round(rnd.uniform(0.2, 3.9), 2) for _ in range(81)]
+    want, i = [], 0
+    while i < len(clips):
+        group, used = [], 0.0
+        while i < len(clips) and len(group) < 4 and used + clips[i] + 0.4 <= bound:
+            used += clips[i] + 0.4
+            group.append(i)
+            i += 1
+        if len(group) < 2:
+            if len(group) == 1 and clips[group[0]] >= 1.5:
+                want.append((group, "short_kept"))
+            i += 1
+        else:
+            want.append((group, "concatenated"))
+    df = spark.createDataFrame([(i, d, str(i)) for i, d in enumerate(clips)], "pos int, d double, t string").repartition(3)
+    got = G.pack_by_fold(df, "pos", "d", "t", PackConfig(max_s=bound)).orderBy("group").collect()
+    assert [([int(t) for t in r.texts], r.source) for r in got] == want
+    assert [r.duration for r in got] == pytest.approx([sum(clips[i] for i in g) + 0.4 * (len(g) - 1) for g, _ in want])
+    if bound == 28.0:
+        assert [r.texts for r in G.pack_short(df, "pos", "d", "t").orderBy("group").collect()] == [r.texts for r in got]
