@@ -10,15 +10,15 @@ Those are added up per word into one more family of sorted arrays.
 Scoring: workers memory-map the arrays, look up each slice's distinct n-grams
 in sorted order, and interpolate
 
-    p(w | h) = max(c(hw) - D, 0) / c(h) + g(h) p1(w)
+    p(w | h) = max(c(hw) - D, 0) / c(h) + g(h) p(w | h without its first word)
     p1(w)    = max(N1+(.w) - D', 0) / N1+(..) + g' / (V + 1)
 
 with the three discounts D estimated from counts of counts, g(h) what they
 free, and the last term shared by all V known words and one unknown.
 
-The model is a bigram model: distinct trigrams are nearly as many as tokens
-here, and their arrays alone would pass the disk budget.  Texts get a start
-context and one end token.  A hash has 64 bits.
+``order`` is the n-grams' length.  Those shorter than ``order`` count the
+distinct n-grams that end in them.  Texts get order - 1 starts before them and
+one end token.  A hash has 64 bits.
 
 Edge cases: null or empty text is the end token alone; a null doc_id is
 training data (its remainder isn't 2) and scored like others; without training
@@ -49,7 +49,7 @@ MAPS = 800
 
 _START = np.uint64(0xA5A5A5A55A5A5A5A)
 _END = np.uint64(0x0F1E2D3C4B5A6978)
-_PARTS = pa.schema([("part", pa.int32()), ("grams", pa.binary())])
+#: kind: 0 contexts, 1 words, 2 and 4 counts of counts of bigrams and longer, 3 n-grams
 _SUMS = pa.schema([("part", pa.int32()), ("kind", pa.int8()), ("sums", pa.binary())])
 
 
@@ -58,7 +58,7 @@ def held_out(column: str = "doc_id") -> F.Column:
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each token's context and own hash, and the documents' offsets."""
+    """Each token's one-word context and own hash, and the documents' offsets."""
     w = Words(texts, lower=True)
     n = w.counts()
     first = w.first + np.arange(len(w.first))
@@ -72,6 +72,16 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return context, token, first
 
 
+def _contexts(context: np.ndarray, token: np.ndarray, first: np.ndarray, order: int) -> list[np.ndarray]:
+    """Each token's contexts of order - 1, ..., 1 words; starts fill them up."""
+    out = [context]
+    for _ in range(order - 2):
+        longer = np.empty_like(context)
+        longer[1:], longer[first[:-1]] = gram(out[0], token)[:-1], _START
+        out.insert(0, longer)
+    return out
+
+
 def gram(context: np.ndarray, token: np.ndarray) -> np.ndarray:
     return mix(context * np.uint64(0xD1342543DE82EF95) + (token ^ (token >> np.uint64(31))))
 
@@ -92,36 +102,43 @@ def _heads(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _count(parts: int):
+def _dealt(context: np.ndarray, token: np.ndarray, n: np.ndarray, shorter: list[np.ndarray], parts: int) -> tuple[list[int], list[bytes]]:
+    """N-grams packed for each of their parts."""
+    part = part_of(context, token, parts)
+    order = np.argsort(part, kind="stable")
+    part = part[order]
+    table = np.stack([context[order], token[order], n[order].astype(np.uint64), *(c[order] for c in shorter)], axis=1)
+    head = _heads(part)
+    rows = [], []
+    for a, b in zip(head, np.append(head[1:], len(part)), strict=True):
+        rows[0].append(int(part[a]))
+        rows[1].append(_packed(table[a:b]))
+    return rows
+
+
+def _count(parts: int, n_order: int):
     def flush(held):
-        context, token, n = (np.concatenate(c) for c in zip(*held, strict=True))
+        context, token, n, *shorter = (np.concatenate(c) for c in zip(*held, strict=True))
         if len(held) > 1:
             order = np.argsort(gram(context, token), kind="stable")
-            context, token, n = context[order], token[order], n[order]
+            context, token, n, *shorter = (c[order] for c in (context, token, n, *shorter))
             head = _heads(context, token)
-            context, token, n = context[head], token[head], np.add.reduceat(n, head)
-        part = part_of(context, token, parts)
-        order = np.argsort(part, kind="stable")
-        part = part[order]
-        table = np.stack([context[order], token[order], n[order].astype(np.uint64)], axis=1)
-        head = _heads(part)
-        rows = [], []
-        for a, b in zip(head, np.append(head[1:], len(part)), strict=True):
-            rows[0].append(int(part[a]))
-            rows[1].append(_packed(table[a:b]))
-        return batch(_PARTS, *rows)
+            context, token, n, *shorter = context[head], token[head], np.add.reduceat(n, head), *(c[head] for c in shorter)
+        parts_, blobs = _dealt(context, token, n, shorter, parts)
+        return batch(_SUMS, parts_, [3] * len(parts_), blobs)
 
     def run(batches):
         held, size = [], 0
         for b in text_slices(batches, 0):
-            context, token, _ = _tokens(b.column(0))
+            context, token, first = _tokens(b.column(0))
+            context, *shorter = _contexts(context, token, first, n_order)
             g = gram(context, token)
             order = np.argsort(g, kind="stable")
-            g, context, token = g[order], context[order], token[order]
+            g, context, token, *shorter = (c[order] for c in (g, context, token, *shorter))
             head = _heads(context, token)
-            held.append((context[head], token[head], np.diff(head, append=len(g))))
+            held.append((context[head], token[head], np.diff(head, append=len(g)), *(c[head] for c in shorter)))
             size += b.column(0).nbytes
-            if size >= ADD_BYTES:
+            if size >= ADD_BYTES // (n_order - 1):
                 yield flush(held)
                 held, size = [], 0
         if held:
@@ -131,24 +148,26 @@ def _count(parts: int):
 
 
 def _packed(table: np.ndarray) -> bytes:
-    """Rows (context, token, count) as distinct contexts, their numbers of
-    tokens, the tokens, and counts in one byte with wider ones apart."""
+    """Rows (context, token, count, shorter contexts) as distinct contexts, their
+    numbers of tokens, the tokens, counts in one byte with wider ones apart, and
+    the shorter contexts of each context."""
     table = table[np.argsort(table[:, 0], kind="stable")]
     head = _heads(table[:, 0])
     n = table[:, 2]
     wide = np.flatnonzero(n > 255)
-    parts = [table[head, 0], np.diff(head, append=len(table)).astype(np.uint32), np.ascontiguousarray(table[:, 1]), np.minimum(n, 255).astype(np.uint8), wide.astype(np.uint32), n[wide]]
+    parts = [table[head, 0], np.diff(head, append=len(table)).astype(np.uint32), np.ascontiguousarray(table[:, 1]), np.minimum(n, 255).astype(np.uint8), wide.astype(np.uint32), n[wide], np.ascontiguousarray(table[head, 3:]).ravel()]
     return blob(np.array([len(p) for p in parts], np.uint64)) + b"".join(blob(p) for p in parts)
 
 
-def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    sizes, at, out = np.frombuffer(raw, np.uint64, 6), 48, []
-    for n, kind in zip(sizes.tolist(), (np.uint64, np.uint32, np.uint64, np.uint8, np.uint32, np.uint64), strict=True):
+def _unpacked(raw: bytes) -> tuple[np.ndarray, ...]:
+    sizes, at, out = np.frombuffer(raw, np.uint64, 7), 56, []
+    for n, kind in zip(sizes.tolist(), (np.uint64, np.uint32, np.uint64, np.uint8, np.uint32, np.uint64, np.uint64), strict=True):
         out.append(np.frombuffer(raw, kind, n, at))
         at += n * np.dtype(kind).itemsize
     count = out[3].astype(np.int64)
     count[out[4]] = out[5].astype(np.int64)
-    return np.repeat(out[0], out[1]), out[2], count
+    shorter = out[6].reshape(len(out[0]), -1).T if len(out[6]) else []
+    return np.repeat(out[0], out[1]), out[2], count, *(np.repeat(c, out[1]) for c in shorter)
 
 
 class Folder:
@@ -200,38 +219,69 @@ def _sum_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[head], np.add.reduceat(values, head, axis=0) if len(head) else values[:0]
 
 
-def _merge(folder: Folder, parts: int):
-    """Exact counts of a part's n-grams; partial sums for words."""
+def _of_level(name: str, level: int) -> str:
+    return name if level == 2 else f"{name}{level}"
+
+
+def _save_contexts(folder: Folder, level: int, part: int, sums: list[bytes]) -> None:
+    raw = np.concatenate([np.frombuffer(s, np.int64).reshape(-1, 5) for s in sums] or [np.zeros((0, 5), np.int64)])
+    key, c = _sum_by(raw[:, 0].view(np.uint64), raw[:, 1:])
+    folder.save(f"{_of_level('context', level)}-{part}", key)
+    folder.save(f"{_of_level('context_sums', level)}-{part}", c)
+
+
+def _merge(folder: Folder, parts: int, level: int, top: int):
+    """Exact counts of a part's n-grams of ``level`` words; partial sums for
+    their contexts, and their shorter n-grams, each counted once, or words."""
 
     def run(table: pa.Table) -> pa.Table:
-        part = table.column("part")[0].as_py()
-        context, token, n = (np.concatenate(c) for c in zip(*(_unpacked(r) for r in table.column("grams").to_pylist()), strict=True))
-        g = gram(context, token)
-        order = np.argsort(g, kind="stable")
-        g, context, token, n = g[order], context[order], token[order], n[order]
-        head = _heads(g, context, token)
-        g, context, token, n = g[head], context[head], token[head], np.add.reduceat(n, head)
-        folder.save(f"gram-{part}", g)
-        # one byte a count; the few of 255 and more are listed apart
-        wide = np.flatnonzero(n >= 255)
-        folder.save(f"count-{part}", np.minimum(n, 255).astype(np.uint8))
-        folder.save(f"wide-{part}", np.stack([wide, n[wide]], axis=1).astype(np.uint64))
+        part, kinds, blobs = table.column("part")[0].as_py(), table.column("kind").to_pylist(), table.column("sums").to_pylist()
+        if level < top:
+            _save_contexts(folder, level + 1, part, [s for k, s in zip(kinds, blobs, strict=True) if k == 0])
         rows = [], [], []
-        own = np.stack([n, n == 1, n == 2, n > 2], axis=1).astype(np.int64)
-        last = np.stack([n, np.ones_like(n)], axis=1).astype(np.int64)
-        for kind, (keys, sums) in enumerate((_sum_by(context, own), _sum_by(token, last))):
-            to = (mix(keys) % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            head = _heads(to[order])
-            for a, b in zip(head, np.append(head[1:], len(order)), strict=True):
-                i = order[a:b]
-                rows[0].append(int(to[i[0]]))
-                rows[1].append(kind)
-                rows[2].append(blob(np.concatenate([keys[i].view(np.int64)[:, None], sums[i]], axis=1)))
-        totals = [(n == k).sum() for k in (1, 2, 3, 4)]
-        rows[0].append(part)
-        rows[1].append(2)
-        rows[2].append(blob(np.array(totals, np.int64)))
+
+        def add(to: int, kind: int, raw: bytes) -> None:
+            for r, x in zip(rows, (to, kind, raw), strict=True):
+                r.append(x)
+
+        for k, s in zip(kinds, blobs, strict=True):
+            if k in (1, 2, 4):
+                add(part, k, s)
+        held = [_unpacked(r) for k, r in zip(kinds, blobs, strict=True) if k == 3]
+        if held:
+            context, token, n, *shorter = (np.concatenate(c) for c in zip(*held, strict=True))
+            del held, blobs
+            g = gram(context, token)
+            order = np.argsort(g, kind="stable")
+            g, context, token, n, *shorter = (c[order] for c in (g, context, token, n, *shorter))
+            head = _heads(g, context, token)
+            g, context, token, n, *shorter = g[head], context[head], token[head], np.add.reduceat(n, head), *(c[head] for c in shorter)
+            folder.save(f"{_of_level('gram', level)}-{part}", g)
+            # one byte a count; the few of 255 and more are listed apart
+            wide = np.flatnonzero(n >= 255)
+            folder.save(f"{_of_level('count', level)}-{part}", np.minimum(n, 255).astype(np.uint8))
+            folder.save(f"{_of_level('wide', level)}-{part}", np.stack([wide, n[wide]], axis=1).astype(np.uint64))
+            own = np.stack([n, n == 1, n == 2, n > 2], axis=1).astype(np.int64)
+            # a word's count is that of the longest n-grams, its contexts are those of bigrams
+            last = np.stack([n if level == top else np.zeros_like(n), np.full_like(n, level == 2)], axis=1).astype(np.int64)
+            kept = [(0, context, own)] + ([(1, token, last)] if level in (2, top) else [])
+            for kind, keys, sums in ((k, *_sum_by(keys, sums)) for k, keys, sums in kept):
+                to = (mix(keys) % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(to, kind="stable")
+                head = _heads(to[order])
+                for a, b in zip(head, np.append(head[1:], len(order)), strict=True):
+                    i = order[a:b]
+                    add(int(to[i[0]]), kind, blob(np.concatenate([keys[i].view(np.int64)[:, None], sums[i]], axis=1)))
+            totals = [int((n == k).sum()) for k in (1, 2, 3, 4)]
+            add(part, 2 if level == 2 else 4, blob(np.array(totals if level == 2 else [level, *totals], np.int64)))
+            if level > 2:
+                lower, *shorter = shorter
+                order = np.argsort(gram(lower, token), kind="stable")
+                lower, token, *shorter = (c[order] for c in (lower, token, *shorter))
+                head = _heads(lower, token)
+                times = np.diff(head, append=len(lower))
+                for to, raw in zip(*_dealt(lower[head], token[head], times, [c[head] for c in shorter], parts), strict=True):
+                    add(to, 3, raw)
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _SUMS, strict=True)], schema=_SUMS)
 
     return run
@@ -240,18 +290,25 @@ def _merge(folder: Folder, parts: int):
 _TOTALS = pa.schema([("totals", pa.list_(pa.int64()))])
 
 
-def _words(folder: Folder):
+def _words(folder: Folder, order: int):
     """Per word: its count and numbers of contexts, and its sums as a context."""
 
     def run(table: pa.Table) -> pa.Table:
         part, kinds, sums = table.column("part")[0].as_py(), table.column("kind").to_numpy(), table.column("sums").to_pylist()
-        raw = [np.concatenate([np.frombuffer(s, np.int64).reshape(-1, w) for k, s in zip(kinds, sums, strict=True) if k == kind] or [np.zeros((0, w), np.int64)]) for kind, w in ((0, 5), (1, 3))]
-        (c_key, c), (w_key, w) = (_sum_by(r[:, 0].view(np.uint64), r[:, 1:]) for r in raw)
-        for name, a in (("context", c_key), ("context_sums", c), ("word", w_key), ("word_sums", w)):
+        _save_contexts(folder, 2, part, [s for k, s in zip(kinds, sums, strict=True) if k == 0])
+        raw = np.concatenate([np.frombuffer(s, np.int64).reshape(-1, 3) for k, s in zip(kinds, sums, strict=True) if k == 1] or [np.zeros((0, 3), np.int64)])
+        w_key, w = _sum_by(raw[:, 0].view(np.uint64), raw[:, 1:])
+        for name, a in (("word", w_key), ("word_sums", w)):
             folder.save(f"{name}-{part}", a)
         seen = w[:, 1] if len(w) else np.zeros(0, np.int64)
         grams = np.sum([np.frombuffer(s, np.int64) for k, s in zip(kinds, sums, strict=True) if k == 2] or [np.zeros(4, np.int64)], axis=0)
         totals = [int(w[:, 0].sum()) if len(w) else 0, len(w_key), int(seen.sum()), *(int((seen == k).sum()) for k in (1, 2, 3, 4)), int((seen > 2).sum()), *(int(x) for x in grams)]
+        upper = np.zeros((order + 1, 4), np.int64)
+        for k, s in zip(kinds, sums, strict=True):
+            if k == 4:
+                level, *counts = np.frombuffer(s, np.int64).tolist()
+                upper[level] += counts
+        totals += upper[3:].ravel().tolist()
         return pa.Table.from_arrays([pa.array([totals], pa.list_(pa.int64()))], schema=_TOTALS)
 
     return run
@@ -275,19 +332,25 @@ class Model(NamedTuple):
     by_contexts: tuple[int, int, int]  # words of one, two and more contexts
     grams: tuple[float, ...]  # discounts
     unigrams: tuple[float, ...]
+    longer: tuple[tuple[float, ...], ...] = ()  # discounts of trigrams and so on
 
 
-def train(docs: DataFrame, parts: int | None = None) -> Model:
+def train(docs: DataFrame, parts: int | None = None, order: int = 2) -> Model:
+    if order < 2:
+        raise ValueError("the order is 2 or more")
     spark = docs.sparkSession
     ship(spark)
     folder = Folder(shared_dir(spark) + "/kneser-ney")
-    parts = parts or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")), text_bytes(docs) // PART_BYTES)
+    parts = parts or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")), text_bytes(docs) * (order - 1) // PART_BYTES)
     texts = plain(docs, "text").select(F.col("text").cast("string"))
-    sums = texts.mapInArrow(_count(parts), "part int, grams binary").groupBy("part").applyInArrow(_merge(folder, parts), "part int, kind byte, sums binary")
-    words = sums.groupBy("part").applyInArrow(_words(folder), "totals array<long>")
-    rows = words.agg(F.array(*[F.sum(F.col("totals")[i]) for i in range(12)])).first()[0]
+    sums = texts.mapInArrow(_count(parts, order), "part int, kind byte, sums binary")
+    for level in range(order, 1, -1):
+        sums = sums.groupBy("part").applyInArrow(_merge(folder, parts, level, order), "part int, kind byte, sums binary")
+    words = sums.groupBy("part").applyInArrow(_words(folder, order), "totals array<long>")
+    rows = words.agg(F.array(*[F.sum(F.col("totals")[i]) for i in range(12 + 4 * (order - 2))])).first()[0]
     t = [int(x or 0) for x in rows]
-    return Model(folder.uri, parts, t[0], t[1], t[2], (t[3], t[4], t[7]), tuple(discounts(*t[8:12])), tuple(discounts(*t[3:7])))
+    longer = tuple(tuple(discounts(*t[i : i + 4])) for i in range(12, len(t), 4))
+    return Model(folder.uri, parts, t[0], t[1], t[2], (t[3], t[4], t[7]), tuple(discounts(*t[8:12])), tuple(discounts(*t[3:7])), longer)
 
 
 class Reader:
@@ -319,7 +382,7 @@ class Reader:
             hit = have[at] == key[i]
             found = np.asarray(values[at[hit]]).reshape(-1, width).astype(np.int64)
             if kind is np.uint8 and (full := found[:, 0] == 255).any():
-                wide = self._map("wide", int(part[i[0]]), np.uint64, 2)
+                wide = self._map(names[1].replace("count", "wide"), int(part[i[0]]), np.uint64, 2)
                 found[full, 0] = wide[np.searchsorted(wide[:, 0], at[hit][full].astype(np.uint64)), 1]
             out[i[hit]] = found
         return out
@@ -339,16 +402,18 @@ class Reader:
             lower = np.maximum(contexts - d1[np.minimum(contexts, 3)], 0) / m.types + free / (m.words + 1)
         else:
             lower = np.full(len(word), 1 / (m.words + 1))
-        g, at, of_gram = np.unique(gram(context, token), return_index=True, return_inverse=True)
-        own = self._look(part_of(context[at], token[at], m.parts), g, ("gram", "count"), np.uint8, 1)[:, 0]
-        before, of_before = np.unique(context[at], return_inverse=True)
-        c = self._look((mix(before) % np.uint64(m.parts)).astype(np.int64), before, ("context", "context_sums"), np.int64, 4)[of_before]
-        d = np.array(m.grams)
-        total = np.maximum(c[:, 0], 1)
-        back = np.where(c[:, 0] > 0, (c[:, 1:] @ d[1:]) / total, 1.0)
-        p = np.maximum(own - d[np.minimum(own, 3)], 0) / total + back * lower[of_word[at]]
+        p = lower[of_word]
+        contexts = _contexts(context, token, first, 2 + len(m.longer))[::-1]
+        for level, (context, d) in enumerate(zip(contexts, map(np.array, (m.grams, *m.longer)), strict=True), 2):
+            g, at, of_gram = np.unique(gram(context, token), return_index=True, return_inverse=True)
+            own = self._look(part_of(context[at], token[at], m.parts), g, (_of_level("gram", level), _of_level("count", level)), np.uint8, 1)[:, 0]
+            before, of_before = np.unique(context[at], return_inverse=True)
+            c = self._look((mix(before) % np.uint64(m.parts)).astype(np.int64), before, (_of_level("context", level), _of_level("context_sums", level)), np.int64, 4)[of_before]
+            total = np.maximum(c[:, 0], 1)
+            back = np.where(c[:, 0] > 0, (c[:, 1:] @ d[1:]) / total, 1.0)
+            p = (np.maximum(own - d[np.minimum(own, 3)], 0) / total)[of_gram] + back[of_gram] * p
         log_p = np.log10(p)
-        return np.diff(first), np.add.reduceat(count[of_word] > 0, head, dtype=np.int64), np.add.reduceat(base[of_word], head), np.add.reduceat(log_p[of_gram], head)
+        return np.diff(first), np.add.reduceat(count[of_word] > 0, head, dtype=np.int64), np.add.reduceat(base[of_word], head), np.add.reduceat(log_p, head)
 
 
 _OUT = pa.schema([("row_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("perplexity", pa.float64())])
@@ -364,11 +429,11 @@ def _apply(model: Model):
     return run
 
 
-def score(docs: DataFrame, parts: int | None = None) -> DataFrame:
+def score(docs: DataFrame, parts: int | None = None, order: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and
     perplexity of every row, by a model of the rows that aren't held out."""
     docs = plain(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    model = train(docs.where(~held_out()), parts)
+    model = train(docs.where(~held_out()), parts, order)
     out = docs.mapInArrow(_apply(model), "row_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
     out = out.withColumnRenamed("row_id", "doc_id").withColumn("held_out", held_out())
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")

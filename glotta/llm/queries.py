@@ -43,7 +43,7 @@ def op8_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kneser_ney.score(read_table(spark, sf_dir, "documents"))
+    return kneser_ney.score(read_table(spark, sf_dir, "documents"), order=3)
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

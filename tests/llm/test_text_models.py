@@ -209,3 +209,34 @@ def test_kneser_ney_wide_counts(spark):
     got = reader._look(kneser_ney.part_of(context, token, 2), g, ("gram", "count"), __import__("numpy").uint8, 1)[:, 0].tolist()
     # start a, a b, b a, a end; start c, c d, d end; start e, e f, f end
     assert got == [2, 509, 507, 0, 1, 300, 1, 1, 1, 1]
+
+
+def test_kneser_ney_trigrams(spark):
+    rnd = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(12)]
+    texts = [None, ""] + [" ".join(rnd.choices(vocabulary, weights=range(12, 0, -1), k=rnd.randint(0, 40))) for _ in range(120)]
+    tokens = {d: [*brute.words(t, True), None] for d, t in enumerate(texts)}
+    grams = collections.Counter()
+    for d, w in tokens.items():
+        if zlib.crc32(str(d).encode()) % 7 != 2:
+            grams.update(zip(["<s>", "<s>", *w], ["<s>", *w], w))
+    levels = [grams]
+    for _ in range(2):
+        levels.insert(0, collections.Counter(g[1:] for g in levels[0]))
+    cut = [kneser_ney.discounts(*[sum(x == k for x in c.values()) for k in (1, 2, 3, 4)]) for c in levels]
+
+    after = [collections.defaultdict(list) for _ in levels]
+    for c, by in zip(levels, after, strict=True):
+        for g, k in c.items():
+            by[g[:-1]].append(k)
+
+    def p(g):
+        n = len(g) - 1
+        c, d, seen = levels[n][g], cut[n], after[n].get(g[:-1])
+        less = p(g[1:]) if n else 1 / (len(levels[0]) + 1)
+        return less if not seen else (max(c - d[min(c, 3)], 0) + sum(d[min(k, 3)] for k in seen) * less) / sum(seen)
+
+    got = {r.doc_id: r for r in kneser_ney.score(frame(spark, texts), 5, order=3).collect()}
+    for d, w in tokens.items():
+        assert math.isclose(got[d].score, sum(math.log10(p(g)) for g in zip(["<s>", "<s>", *w], ["<s>", *w], w)), abs_tol=1e-9)
+        assert got[d].train_tokens == sum(grams.values())
