@@ -4,7 +4,8 @@ Each vector is represented by its ``PREFIX`` nearest of ``PIVOTS`` pivots in
 order.  Every vector is posted, with the pivot's place, to the inverted files
 of its pivots.  A query walks the files of its own pivots and adds up the
 footrule distance (a missing pivot counts as place ``PREFIX``); the nearest
-``SHARE`` of a block's vectors by footrule are reranked by true distance.
+``SHARE`` of a block's vectors by footrule, and at least ``LEAST``, are reranked
+by true distance; a block of no more distinct vectors than that is exact.
 
 Vectors are dealt into blocks by a hash of vec_id, so no cluster or group of
 copies meets in one block; each block answers with its ``k`` best and a small

@@ -263,3 +263,19 @@ def test_wrapper_with_a_stub(spark):
         want[i] = "\n".join(own)
     df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
     assert {r.page_id: r.text for r in wrapper_induction.main_text(df).collect()} == want
+
+
+def test_recall_of_a_full_block():
+    """The index by itself: one full block, the least number not binding."""
+    rnd = np.random.default_rng(3)
+    x = rnd.normal(size=(permutation_ann.BLOCK, 64))
+    pivots = x[: permutation_ann.PIVOTS]
+    index = permutation_ann.Index(x, pivots, permutation_ann.PREFIX)
+    count, hits = int(permutation_ann.SHARE * len(x)), 0
+    assert count > permutation_ann.LEAST
+    for q in range(1000, 1060):
+        at, d = index.nearest(x[q], permutation_ann._places(x[q : q + 1], pivots, index.prefix)[0], count)
+        assert len(at) < len(x) / 2
+        best = np.argsort(((x - x[q]) ** 2).sum(axis=1))[1:11]
+        hits += len(set(best) & set(at[np.argsort(d)][:11]))
+    assert hits >= 0.9 * 600
