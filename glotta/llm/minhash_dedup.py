@@ -2,7 +2,8 @@
 
 A document's set holds its distinct 3-word shingles (lower-case A-Z).  Links
 join documents with ``100 * intersection >= 85 * union``; a class is what links
-reach.
+reach.  Both numbers are parameters; a lower share takes narrower bands and a
+lower ``LEAST``.
 
 Plan:
 
@@ -28,6 +29,8 @@ component and is kept.  Rows that share a doc_id count as one node.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -98,9 +101,9 @@ def signatures(value: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sign(batches):
+def _sign(batches, shingle: int = SHINGLE):
     for b in text_slices(batches, 1, 3 << 20):
-        value, offs = shingles(b.column(1))
+        value, offs = shingles(b.column(1), shingle)
         n = np.diff(offs)
         one, two = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
         full = np.flatnonzero(n)
@@ -153,7 +156,7 @@ def _forest(close: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _compare(batches):
+def _compare(batches, least: float = LEAST):
     """Candidate edges: a spanning forest of each group's close estimates."""
     for t, edges in _groups(batches, 20_000):
         ids = t.column("rep").to_numpy()
@@ -165,13 +168,13 @@ def _compare(batches):
             v.append(a + 1)
         if u:
             a, b = np.array(u), np.array(v)
-            close = (sig[a] == sig[b]).mean(axis=1) >= LEAST
+            close = (sig[a] == sig[b]).mean(axis=1) >= least
             yield batch(_EDGES, ids[a[close]], ids[b[close]])
         for a, n in zip(edges[:-1][size > 2], size[size > 2], strict=True):
             s, who = sig[a : a + n], ids[a : a + n]
             close = np.zeros((n, n), bool)
             for i in range(n - 1):
-                close[i, i + 1 :] = (s[i + 1 :] == s[i]).mean(axis=1) >= LEAST
+                close[i, i + 1 :] = (s[i + 1 :] == s[i]).mean(axis=1) >= least
             label = _forest(close | close.T)
             to = np.flatnonzero(label != np.arange(n))
             if len(to):
@@ -201,11 +204,11 @@ def intersections(sets: list[np.ndarray], columns: int = 8192) -> np.ndarray:
     return out
 
 
-def _verify(share: int):
+def _verify(share: int, shingle: int = SHINGLE):
     def run(batches):
         for t, edges in _groups(batches, 64):
             ids = t.column("rep").to_numpy()
-            value, offs = shingles(t.column("text").combine_chunks())
+            value, offs = shingles(t.column("text").combine_chunks(), shingle)
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 if b - a < 2:
                     continue
@@ -231,30 +234,42 @@ def _in_blocks(members: DataFrame, group: str, size: str, block: int) -> DataFra
     )
 
 
-def classes(docs: DataFrame, share: int = SHARE, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
+def _bounds(share: int) -> tuple[int, float]:
+    """Values of a band, and the least estimate, for links of ``share``: both
+    as likely to lose a link as at 85, or less."""
+    if share >= SHARE:
+        return BAND, LEAST
+    s = share / 100
+    band = max(b for b in range(1, BAND + 1) if _VALUES % b == 0 and (b == 1 or (1 - s**b) ** (_VALUES // b) <= 7e-8))
+    return band, s - 5.7 * (s * (1 - s) / _VALUES) ** 0.5
+
+
+def classes(docs: DataFrame, share: int = SHARE, block: int = BLOCK, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``; links
+    share ``share`` per cent of their shingles of ``shingle`` words."""
+    size_of_band, least = _bounds(share)
     ship(docs.sparkSession)
     docs = plain(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    signed = docs.mapInArrow(_sign, "row_id long, n_shingles long, one long, two long, signature binary")
+    signed = docs.mapInArrow(partial(_sign, shingle=shingle), "row_id long, n_shingles long, one long, two long, signature binary")
     signed = materialize(signed.withColumnRenamed("row_id", "doc_id"), "signed")
 
     known = signed.where("doc_id is not null and n_shingles > 0")
     reps = materialize(known.groupBy("one", "two").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "reps")
 
-    width = 2 * BAND
-    keys = F.array(*[F.xxhash64(F.lit(i), F.substring("signature", 1 + i * width, width)) for i in range(_VALUES // BAND)])
+    width = 2 * size_of_band
+    keys = F.array(*[F.xxhash64(F.lit(i), F.substring("signature", 1 + i * width, width)) for i in range(_VALUES // size_of_band)])
     bands = reps.select("rep", F.explode(keys).alias("key"))
     counts = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     met = _in_blocks(bands.join(counts, "key"), "key", "size", block)
     met = met.join(reps.select("rep", "signature"), "rep").select("group", "i", "j", "rep", "signature")
-    near = met.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "rep").mapInArrow(_compare, "u long, v long")
+    near = met.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "rep").mapInArrow(partial(_compare, least=least), "u long, v long")
     candidates = materialize(connected_components(near), "candidates")
 
     sizes = candidates.groupBy("component").agg(F.count("*").alias("size"))
     members = _in_blocks(candidates.join(sizes, "component").withColumnRenamed("node", "rep"), "component", "size", block)
     some = only_members(docs, "doc_id", candidates.select("node"))
     texts = members.join(some, members.rep == some.doc_id).select("group", "i", "j", "rep", "text")
-    links = texts.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "rep").mapInArrow(_verify(share), "u long, v long")
+    links = texts.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "rep").mapInArrow(_verify(share, shingle), "u long, v long")
     components = connected_components(links)
 
     named = reps.select("one", "two", "rep").join(components, F.col("rep") == F.col("node"), "left")
@@ -267,7 +282,7 @@ def classes(docs: DataFrame, share: int = SHARE, block: int = BLOCK) -> DataFram
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, share: int = SHARE, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` without the near duplicates; the least doc_id of a class stays."""
-    gone = classes(docs).where("not kept").select("doc_id").distinct()
+    gone = classes(docs, share, shingle=shingle).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -102,3 +102,14 @@ def test_components(spark):
     got = {r.node: r.component for r in components.connected_components(df).collect()}
     want = brute.components({x for e in links for x in e}, links)
     assert got == {n: c for n, c in want.items() if any(n in e and e[0] != e[1] for e in links)}
+
+
+def test_minhash_of_longer_shingles(spark):
+    """A copy with 18 words appended shares 96 of 114 five-word shingles, which
+    is under 85 % and over 80 %."""
+    words = [chr(97 + i // 26) + chr(97 + i % 26) for i in range(118)]
+    df = spark.createDataFrame([(1, " ".join(words[:100])), (2, " ".join(words)), (3, " ".join(reversed(words)))], "doc_id long, text string")
+    assert sorted(r.doc_id for r in minhash_dedup.keep_one(df).collect()) == [1, 2, 3]
+    assert sorted(r.doc_id for r in minhash_dedup.keep_one(df, 80, 5).collect()) == [1, 3]
+    assert minhash_dedup._bounds(85) == (minhash_dedup.BAND, minhash_dedup.LEAST)
+    assert minhash_dedup._bounds(80)[0] == 4
