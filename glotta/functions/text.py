@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType
 
-from .rules import ABBREVIATIONS, COMMANDS, COMMANDS_V1
+from .rules import COMMANDS, COMMANDS_V1, GENERAL_ABBREVIATIONS, MEDICAL_ABBREVIATIONS
 
 #: Letters that sentence capitalisation raises.
 _RAISED = "a-zàâäéèêëîïôùûüç"
@@ -63,11 +63,12 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def replaced(c: Column, rules: Iterable[tuple]) -> Column:
+def replaced(c: Column, rules: Iterable[tuple], flags: str = "") -> Column:
     """``(pattern, replacement)`` pairs, one after the other.  A third member is
     a string without which the pattern can't match; looking for it first spares
     most texts the regular expression."""
     for pattern, to, *gate in rules:
+        pattern = flags + pattern
         if gate:
             c = let(c, lambda x: F.when(x.contains(gate[0]), F.regexp_replace(x, pattern, to)).otherwise(x))  # noqa: B023
         else:
@@ -77,7 +78,7 @@ def replaced(c: Column, rules: Iterable[tuple]) -> Column:
 
 def expand_abbreviations(c: Column, extra: Iterable[tuple[str, str]] = ()) -> Column:
     """Abbreviations spelt out, in table order, then ``extra`` rules."""
-    return replaced(c, [*ABBREVIATIONS, *[(f"(?U){p}", r) for p, r in extra]])
+    return replaced(c, [*GENERAL_ABBREVIATIONS, *MEDICAL_ABBREVIATIONS, *extra], "(?U)")
 
 
 @F.pandas_udf(StringType())
@@ -122,14 +123,14 @@ def _spaced(c: Column) -> Column:
 
 def verbal_commands(c: Column) -> Column:
     """Dictated punctuation to signs, on text without the recogniser's own."""
-    c = _spaced(replaced(F.lower(strip_asr_punctuation(c)), COMMANDS))
+    c = _spaced(replaced(F.lower(strip_asr_punctuation(c)), COMMANDS, "(?iu)(?U)"))
     twice = [(r"(?U),\s*,+", ","), (r"(?U)\.\s*\.+", "."), (r"(?U);\s*;+", ";"), (r"(?U):\s*:+", ":"), (r"(?U),\s*\.", "."), (r"(?U)\.\s*,", ".")]
     return capitalize_sentences(strip(replaced(c, [*twice, (" *\n *", "\n"), (r"(?U)[^\S\n]{2,}", " ")])))
 
 
 def verbal_commands_v1(c: Column) -> Column:
     """The older command set and its cleanup, which may join lines."""
-    c = _spaced(replaced(F.lower(c), COMMANDS_V1))
+    c = _spaced(replaced(F.lower(c), COMMANDS_V1, "(?iu)(?U)"))
     return capitalize_sentences(strip(replaced(c, [(r"(?U)\s{2,}", " "), (" \n", "\n")])))
 
 
