@@ -286,20 +286,47 @@ def membership(ids: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return out
 
 
-def only_members(df: DataFrame, column: str, ids: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """``df`` without most rows whose ``column`` isn't in ``ids``; before a join
-    on it, this keeps the others' wide rows out of the shuffle."""
+def by_membership(df: DataFrame, column: str, ids: DataFrame, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose ``column`` may be in ``ids``, and the others, which
+    surely aren't; a join for the former then keeps most wide rows out of the
+    shuffle."""
     sent = df.sparkSession.sparkContext.broadcast(membership(ids, bits))
     k = df.columns.index(column)
 
-    def run(batches):
-        has = sent.value
-        for b in batches:
-            x = b.column(k)
-            keep = x.is_valid().to_numpy(zero_copy_only=False)
-            for at in _bit_positions(pc.fill_null(x, 0).to_numpy(zero_copy_only=False).astype(np.int64), bits):
-                keep = keep & ((has[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0)
-            if keep.any():
-                yield b.filter(pa.array(keep))
-
-    return df.mapInArrow(run, df.schema)
+    def only(wanted: bool):
+        def run(batches):
+            has = sent.value
+            for b in batches:
+                x = b.column(k)
+                found = x.is_valid().to_numpy(zero_copy_only=False)
+                for at in _bit_positions(pc.fill_null(x, 0).to_numpy(zero_copy_only=False).astype(np.int64), bits):
+                    found = found & ((has[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0)
+                if (found == wanted).any():
+                    yield b.filter(pa.array(found == wanted))
+
+        return run
+
+    return df.mapInArrow(only(True), df.schema), df.mapInArrow(only(False), df.schema)
+
+
+def only_members(df: DataFrame, column: str, ids: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    return by_membership(df, column, ids, bits)[0]
+
+
+# ---------------------------------------------------------------- heavy keys
+
+#: A key of more rows than HEAVY is joined by broadcast.  The bound rises with
+#: the rows, so that fewer than MOST_HEAVY keys are.
+HEAVY, MOST_HEAVY = 200, 50_000
+
+
+def join_counted(rows: DataFrame, table: DataFrame, keys: list[str], size: str, total: int, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``table``, which has a row per key and in
+    ``size`` the rows of that key, at most ``total`` over all.  Keys of many
+    rows stay where they are and get their table row by broadcast; the others
+    meet in a shuffled join."""
+    bound = max(HEAVY, total // MOST_HEAVY)
+    heavy = table.where(F.col(size) > bound).withColumn("_heavy", F.lit(True))
+    marked = rows.join(F.broadcast(heavy), keys, "left")
+    light = marked.where("_heavy is null").select(*rows.columns).join(table.where(F.col(size) <= bound), keys, how)
+    return marked.where("_heavy").select(*light.columns).unionAll(light)

@@ -1,7 +1,8 @@
 """Connected components by alternating large-star and small-star steps.
 
-Only edges move, grouped by a node: a hub's edges are pre-aggregated for its
-minimum and joined back, where adaptive execution can split a large hub.
+Only edges move, grouped by a node.  A hub's edges are pre-aggregated for its
+minimum; the minima of hubs come back by a broadcast of bounded size, so no task
+gets all edges of one node.
 """
 
 from __future__ import annotations
@@ -9,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import join_counted, materialize
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, n: int) -> DataFrame:
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    out = both.join(least, "u")
+    least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("size")).select("u", F.least("u", "m").alias("m"), "size")
+    out = join_counted(both, least, ["u"], "size", 2 * n)
     if large:
         out = out.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
@@ -33,5 +34,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if now[0] == 0 or now == before:
             break
         before = now
-        edges = materialize(_star(_star(edges, True), False), "edges")
+        # a step leaves at most one edge for each edge and node
+        edges = materialize(_star(_star(edges, True, now[0]), False, 3 * now[0]), "edges")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

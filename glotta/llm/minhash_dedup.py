@@ -33,10 +33,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import Words, batch, blob, materialize, mix, only_members, plain, ship, text_slices
+from .common import Words, batch, blob, by_membership, join_counted, materialize, mix, only_members, plain, ship, text_slices
 from .components import connected_components
 
 SHINGLE = 3
@@ -44,8 +46,11 @@ SHARE = 85
 PERMUTATIONS = 70
 BAND = 5
 LEAST = 0.68
-#: Members that one task compares at a time.
+#: Members, and about how many shingles, that make one side of a comparison.
 BLOCK = 512
+BLOCK_SHINGLES = 1 << 20
+#: Text bytes whose groups are decided at a time; one group may have more.
+DECIDE_BYTES = 8 << 20
 
 _VALUES = 2 * PERMUTATIONS
 _SIGNED = pa.schema([("row_id", pa.int64()), ("n_shingles", pa.int64()), ("one", pa.int64()), ("two", pa.int64()), ("signature", pa.binary())])
@@ -101,17 +106,34 @@ def signatures(value: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return out
 
 
+def _digests(value: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two sums over each set that tell it from others."""
+    n = np.diff(offs)
+    one, two = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
+    full = np.flatnonzero(n)
+    if len(full):
+        one[full] = np.add.reduceat(mix(value), offs[full])
+        two[full] = np.add.reduceat(mix(value ^ np.uint64(0xABCDEF)), offs[full])
+    return one.view(np.int64), two.view(np.int64)
+
+
 def _sign(batches, shingle: int = SHINGLE):
     for b in text_slices(batches, 1, 3 << 20):
         value, offs = shingles(b.column(1), shingle)
         n = np.diff(offs)
-        one, two = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
-        full = np.flatnonzero(n)
-        if len(full):
-            one[full] = np.add.reduceat(mix(value), offs[full])
-            two[full] = np.add.reduceat(mix(value ^ np.uint64(0xABCDEF)), offs[full])
-        rows = signatures(value, offs)
-        yield batch(_SIGNED, b.column(0), n, one.view(np.int64), two.view(np.int64), [blob(r) if m else None for r, m in zip(rows, n, strict=True)])
+        yield batch(_SIGNED, b.column(0), n, *_digests(value, offs), [blob(r) if m else None for r, m in zip(signatures(value, offs), n, strict=True)])
+
+
+def _with_set(docs: DataFrame, names: list[str], shingle: int) -> DataFrame:
+    """``docs`` with the digests of their sets."""
+    text = docs.columns.index("text")
+
+    def run(batches):
+        for b in text_slices(batches, text, 3 << 20):
+            digests = _digests(*shingles(b.column(text).cast(pa.string()), shingle))
+            yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, digests)], names=[*b.schema.names, *names])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, *(StructField(n, LongType()) for n in names)]))
 
 
 def _groups(batches, size: int):
@@ -206,34 +228,51 @@ def intersections(sets: list[np.ndarray], columns: int = 8192) -> np.ndarray:
 
 def _verify(share: int, shingle: int = SHINGLE):
     def run(batches):
-        for t, edges in _groups(batches, 64):
-            ids = t.column("rep").to_numpy()
-            value, offs = shingles(t.column("text").combine_chunks(), shingle)
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                if b - a < 2:
-                    continue
-                sets = [value[offs[i] : offs[i + 1]] for i in range(a, b)]
-                both = intersections(sets)
-                n = np.array([len(s) for s in sets])
-                close = 100 * both >= share * (n[:, None] + n[None, :] - both)
-                label = _forest(close & (n > 0)[:, None] & (n > 0)[None, :])
-                to = np.flatnonzero(label != np.arange(b - a))
-                if len(to):
-                    yield batch(_EDGES, ids[a:b][to], ids[a:b][label[to]])
+        for t, edges in _groups(text_slices(batches, 4, DECIDE_BYTES), 64):
+            ids, text = t.column("rep").to_numpy(), t.column("text").combine_chunks()
+            size = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64))])
+            at = 0
+            while at < len(edges) - 1:
+                to = max(at + 1, int(np.searchsorted(size[edges], size[edges[at]] + DECIDE_BYTES, "right")) - 1)
+                u, v = _links(text.slice(edges[at], edges[to] - edges[at]), edges[at : to + 1] - edges[at], share, shingle)
+                if len(u):
+                    yield batch(_EDGES, ids[edges[at] + u], ids[edges[at] + v])
+                at = to
 
     return run
 
 
-def _in_blocks(members: DataFrame, group: str, size: str, block: int) -> DataFrame:
+def _links(texts: pa.Array, edges: np.ndarray, share: int, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """A forest of the links within each group of texts."""
+    value, offs = shingles(texts, shingle)
+    u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        if b - a < 2:
+            continue
+        sets = [value[offs[i] : offs[i + 1]] for i in range(a, b)]
+        both = intersections(sets)
+        n = np.array([len(s) for s in sets])
+        close = 100 * both >= share * (n[:, None] + n[None, :] - both)
+        label = _forest(close & (n > 0)[:, None] & (n > 0)[None, :])
+        to = np.flatnonzero(label != np.arange(b - a))
+        u.append(a + to)
+        v.append(a + label[to])
+    return np.concatenate(u), np.concatenate(v)
+
+
+def _in_blocks(members: DataFrame, group: str, blocks: F.Column) -> DataFrame:
     """(group, i, j, rep): every two members of a group meet in a block pair."""
-    n = F.ceil(F.col(size) / block).cast("int")
-    members = members.withColumn("_n", n).withColumn("_b", F.pmod(F.xxhash64("rep"), F.col("_n")).cast("int"))
+    members = members.withColumn("_n", blocks.cast("int")).withColumn("_b", F.pmod(F.xxhash64("rep"), F.col("_n")).cast("int"))
     return (
         members.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
         .select(F.col(group).alias("group"), F.least("_b", "_o").alias("i"), F.greatest("_b", "_o").alias("j"), "rep")
     )
 
 
+def _total(table: DataFrame, size: str) -> int:
+    return table.agg(F.sum(size)).first()[0] or 0
+
+
 def _bounds(share: int) -> tuple[int, float]:
     """Values of a band, and the least estimate, for links of ``share``: both
     as likely to lose a link as at 85, or less."""
@@ -244,9 +283,8 @@ def _bounds(share: int) -> tuple[int, float]:
     return band, s - 5.7 * (s * (1 - s) / _VALUES) ** 0.5
 
 
-def classes(docs: DataFrame, share: int = SHARE, block: int = BLOCK, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs``; links
-    share ``share`` per cent of their shingles of ``shingle`` words."""
+def _classes(docs: DataFrame, share: int, block: int, shingle: int) -> DataFrame:
+    """As ``classes``, with the digest of each row's set."""
     size_of_band, least = _bounds(share)
     ship(docs.sparkSession)
     docs = plain(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -254,35 +292,53 @@ def classes(docs: DataFrame, share: int = SHARE, block: int = BLOCK, shingle: in
     signed = materialize(signed.withColumnRenamed("row_id", "doc_id"), "signed")
 
     known = signed.where("doc_id is not null and n_shingles > 0")
-    reps = materialize(known.groupBy("one", "two").agg(F.min("doc_id").alias("rep"), F.first("signature").alias("signature")), "reps")
+    rep = [F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("shingles"), F.first("signature").alias("signature")]
+    reps = materialize(known.groupBy("one", "two").agg(*rep), "reps")
 
     width = 2 * size_of_band
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("signature", 1 + i * width, width)) for i in range(_VALUES // size_of_band)])
     bands = reps.select("rep", F.explode(keys).alias("key"))
-    counts = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    met = _in_blocks(bands.join(counts, "key"), "key", "size", block)
+    counts = materialize(bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "bands")
+    met = _in_blocks(join_counted(bands, counts, ["key"], "size", _total(counts, "size")), "key", F.ceil(F.col("size") / block))
     met = met.join(reps.select("rep", "signature"), "rep").select("group", "i", "j", "rep", "signature")
     near = met.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "rep").mapInArrow(partial(_compare, least=least), "u long, v long")
-    candidates = materialize(connected_components(near), "candidates")
+    candidates = connected_components(near).join(reps.groupBy(F.col("rep").alias("node")).agg(F.max("shingles").alias("shingles")), "node")
+    candidates = materialize(candidates, "candidates")
 
-    sizes = candidates.groupBy("component").agg(F.count("*").alias("size"))
-    members = _in_blocks(candidates.join(sizes, "component").withColumnRenamed("node", "rep"), "component", "size", block)
+    sizes = materialize(candidates.groupBy("component").agg(F.count("*").alias("size"), F.sum("shingles").alias("shingles_")), "sizes")
+    members = join_counted(candidates.select(F.col("node").alias("rep"), "component"), sizes, ["component"], "size", _total(sizes, "size"))
+    blocks = F.greatest(F.ceil(F.col("size") / block), F.least("size", F.ceil(F.col("shingles_") / BLOCK_SHINGLES)))
+    members = _in_blocks(members, "component", blocks)
     some = only_members(docs, "doc_id", candidates.select("node"))
     texts = members.join(some, members.rep == some.doc_id).select("group", "i", "j", "rep", "text")
     links = texts.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "rep").mapInArrow(_verify(share, shingle), "u long, v long")
     components = connected_components(links)
 
-    named = reps.select("one", "two", "rep").join(components, F.col("rep") == F.col("node"), "left")
-    named = named.select("one", "two", F.coalesce("component", "rep").alias("component"))
+    named = reps.select("one", "two", "rep", "copies").join(components, F.col("rep") == F.col("node"), "left")
+    named = named.select("one", "two", "copies", F.coalesce("component", "rep").alias("component"))
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
+    rows = signed.select("doc_id", "n_shingles", "one", "two")
     return (
-        signed.join(named, ["one", "two"], "left")
-        .select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+        join_counted(rows, named, ["one", "two"], "copies", _total(reps, "copies"), "left")
+        .withColumn("component_id", F.when(alone, F.col("doc_id")).otherwise(F.col("component")))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        .select("doc_id", "n_shingles", "component_id", "kept", "one", "two")
     )
 
 
+def classes(docs: DataFrame, share: int = SHARE, block: int = BLOCK, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs``; links
+    share ``share`` per cent of their shingles of ``shingle`` words."""
+    return _classes(docs, share, block, shingle).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def keep_one(docs: DataFrame, share: int = SHARE, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` without the near duplicates; the least doc_id of a class stays."""
-    gone = classes(docs, share, shingle=shingle).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the near duplicates; the least doc_id of a class stays.
+    Rows are told apart by doc_id and set, so of several texts of one doc_id
+    those in other classes stay."""
+    gone = materialize(_classes(docs, share, BLOCK, shingle).where("not kept").select("doc_id", "one", "two").distinct(), "gone")
+    typed = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    some, others = by_membership(typed, "doc_id", gone.select("doc_id"))
+    names = [next(n for n in (f"_{k}{'_' * i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns) for k in ("one", "two")]
+    kept = _with_set(some, names, shingle).join(gone.toDF("doc_id", *names), ["doc_id", *names], "left_anti")
+    return others.unionAll(kept.select(*docs.columns)).select(*[F.col(f"`{c}`").cast(docs.schema[c].dataType) for c in docs.columns])

@@ -91,8 +91,19 @@ def test_minhash_rows(spark):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash_dedup.classes(frame(spark, docs)).collect()), key=repr)
     assert got == sorted([(1, 2, 1, True), (1, 2, 1, True), (None, 2, None, True), (2, 2, 1, False), (2, 1, 2, True)], key=repr)
     assert minhash_dedup.classes(frame(spark, [])).count() == 0
-    kept = minhash_dedup.keep_one(frame(spark, docs[:4]))
-    assert kept.columns == ["doc_id", "text", "hashes", "_id"] and sorted((r.doc_id for r in kept.collect()), key=repr) == [1, 1, None]
+    kept = minhash_dedup.keep_one(frame(spark, docs).withColumnRenamed("hashes", "_one"))
+    assert kept.columns == ["doc_id", "text", "_one", "_id"]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([docs[0], docs[1], docs[2], docs[4]], key=repr)
+    assert minhash_dedup.keep_one(frame(spark, [])).count() == 0
+
+
+def test_minhash_of_a_hub(spark):
+    """Hundreds of near copies of one text, more than a heavy key's rows."""
+    base = [f"v{i}" for i in range(80)]
+    docs = [(i, " ".join(base + [f"x{i}"])) for i in range(450)] + [(1000 + i, " ".join(base)) for i in range(300)]
+    got = {r.doc_id: r.component_id for r in minhash_dedup.classes(frame(spark, docs), block=64).collect()}
+    assert got == {d: 0 for d, _ in docs}
+    assert [r.doc_id for r in minhash_dedup.keep_one(frame(spark, docs)).collect()] == [0]
 
 
 def test_components(spark):
