@@ -3,25 +3,35 @@
 Per host, two pages are reference trees: of ``DRAWS`` that hashes choose among
 its distinct pages, the one of median size and a longer one, so a stub is hardly
 ever one and a block that one lacks may be in the other.  Simple tree matching
-aligns every page of the host with both; a reference node whose text is the same
-on nearly all aligned pages is template, others are slots.  Counts are added up
-per task before they are grouped, so a host with a third of all pages is no
-burden.  Wrappers join back to pages by broadcast while they measure at most
-``BROADCAST_BYTES``, and by a shuffled join beyond that.
-
-Extraction walks the page's tree: slots stay, template nodes go, and so does
-what tags, roles, classes or ids mark as menu, header, footer, sidebar, notice,
-advert, form, script, style or reader comments.  An ``article`` (else ``main``)
-bounds the search where a page has one; without either, blocks that are mostly
-links go too.
+aligns every page of the host with both.  Per reference node, counts over all
+pages give: on how many pages it was found, on how many with the same text, and
+how much text outside of links it held.  They induce the host's wrapper:
+
+* a node whose text is the same on nearly all aligned pages is template;
+* the others are slots.  The content's region is found from the root down: a
+  child that holds ``MAJOR`` of the slots' text, of a shape of its own among
+  its neighbours, narrows it; paragraphs and their like never do.
+
+Extraction aligns the page with its host's references and takes the slots of the
+content's region, and headings that vary beside it; template goes.  What tags,
+roles, classes or ids mark as menu, header, footer, sidebar, notice, advert,
+form or reader comments only decides where the wrapper doesn't: inside the
+region, and on pages whose host has no wrapper (fewer than ``PAGES`` pages).
+There, an ``article`` (else ``main``) bounds the search where a page has one;
+without either, blocks that are mostly links go too.
+
+Counts are added up per task before they are grouped, so a host with a third of
+all pages is no burden.  Wrappers go to all tasks while they measure at most
+``BROADCAST_BYTES``; beyond that, each host's pages stream past its wrapper, and
+large hosts are dealt out with a copy of theirs for each share.
 
 Text: character references are decoded, white space inside a block becomes one
 space, blocks join by a newline; ``br`` counts as white space.
 
 Edge cases: null or empty html gives an empty text; pages without a host are
 read without a wrapper; null page ids and repeated rows give a row each;
-unclosed and stray tags are repaired as browsers would; extra columns are
-ignored.
+unclosed and stray tags are repaired as browsers would, in time linear in the
+page; tags may nest to any depth; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,20 +47,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch, materialize, plain, ship, text_slices
+from .common import MOST_HEAVY, batch, materialize, plain, ship, text_slices
 
 #: Share of aligned pages, and least number of them, that make a template.
 CONSTANT = 0.9
-PAGES = 5
+PAGES = 3
+#: Share of the slots' text that a region of the content holds.
+MAJOR = 0.75
+#: Least share of all text that slots hold; below it, a host's pages are copies
+#: of each other and tell nothing.
+VARIES = 0.1
 #: Pages that hashes choose per host, and which of them by size are references.
 DRAWS = 15
 CHOSEN = (DRAWS // 2, 3 * DRAWS // 4)
 BROADCAST_BYTES = 32 << 20
+#: Pages of a host that one task takes, where wrappers aren't broadcast.
+SHARE_PAGES = 2000
 #: Cells of one alignment of two child lists in plain Python; larger ones go
 #: through numpy rows, with the same sum.
 CELLS = 1 << 16
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>", re.S)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style title textarea noscript iframe xmp noembed noframes".split())
@@ -67,7 +85,9 @@ _CLOSES = {
     "th": ("td th", ("tr", "table")),
     "option": ("option", ("select", "datalist")),
 }
-_DROPPED = frozenset("head script style noscript template nav footer aside form iframe svg canvas object audio video dialog menu button select textarea input label title".split())
+#: Tags whose content is never text of the page.
+_SILENT = frozenset("head script style noscript template iframe svg canvas object audio video select textarea input title".split())
+_DROPPED = frozenset("nav footer aside form dialog menu button label".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 _NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promoted banner nav navbar navigation menu submenu breadcrumb breadcrumbs "
@@ -77,6 +97,10 @@ _NAMES = frozenset(
 _SPLIT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 
 
+#: Tags that hold a passage and are never a region by themselves.
+_PASSAGES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th pre blockquote figcaption caption summary legend address".split())
+
+
 class Node:
     __slots__ = ("tag", "attributes", "children", "parent", "number")
 
@@ -89,45 +113,100 @@ class Node:
         return [c for c in self.children if isinstance(c, Node)]
 
 
+def _tokens(page: str):
+    """(text before, tag, closing, attributes, place after) of each tag, in one
+    forward scan.  A quote hides > up to its partner; where that leaves a tag
+    without an end, its first > ends it."""
+    last = {c: page.rfind(c) for c in ">\"'"}
+    failed: set[int] = set()
+
+    def end(at: int) -> int:
+        here, seen = at, []
+        while here not in failed and here <= last[">"]:
+            seen.append(here)
+            m = _STOP.search(page, here)
+            if m[0] == ">":
+                return m.start()
+            if m.start() >= last[m[0]]:
+                break
+            here = page.find(m[0], m.end()) + 1
+        failed.update(seen)
+        return page.find(">", at)
+
+    at = text = 0
+    while (at := page.find("<", at)) >= 0:
+        if page.startswith("<!--", at):
+            close = page.find("-->", at + 4)
+            to = len(page) if close < 0 else close + 3
+            yield page[text:at], "", False, "", to
+            at = text = to
+            continue
+        if at > last[">"]:
+            break
+        m = _NAME.match(page, at + 1)
+        if m:
+            to = end(m.end())
+            place = yield page[text:at], m[2].lower(), bool(m[1]), page[m.end() : to], to + 1
+            at = text = to + 1 if place is None else place
+        elif page[at + 1 : at + 2] in ("!", "?"):
+            to = page.find(">", at) + 1
+            yield page[text:at], "", False, "", to
+            at = text = to
+        else:
+            at += 1
+    yield page[text:], "", False, "", len(page)
+
+
 def parse(page: str) -> Node:
     """The page's tree, with missing end tags supplied."""
     root = here = Node("#root")
-    at, low = 0, None
+    open_: Counter = Counter()
+    low = None
+
+    def leave(to: Node) -> Node:
+        """Close everything up to and with ``to``."""
+        x = here
+        while x is not to:
+            open_[x.tag] -= 1
+            x = x.parent
+        open_[to.tag] -= 1
+        return to.parent
+
+    tokens = _tokens(page)
+    place = None
     while True:
-        m = _TAG.search(page, at)
-        if not m:
-            if at < len(page):
-                here.children.append(page[at:])
+        try:
+            text, tag, closing, attributes, at = tokens.send(place)
+        except StopIteration:
             return root
-        if m.start() > at:
-            here.children.append(page[at : m.start()])
-        at = m.end()
-        name = m[2] or m[5]
-        if not name:
+        place = None
+        if text:
+            here.children.append(text)
+        if not tag:
             continue
-        tag, closing, attributes = name.lower(), m[1] or m[4], m[3] or m[6] or ""
         if closing:
-            x = here
-            while x is not root and x.tag != tag:
-                x = x.parent
-            if x is not root:
-                here = x.parent
+            if open_[tag]:
+                x = here
+                while x.tag != tag:
+                    x = x.parent
+                here = leave(x)
             continue
-        if tag in _BLOCK:  # a block ends an open paragraph
+        if tag in _BLOCK and open_["p"]:  # a block ends an open paragraph
             x = here
             while x is not root and x.tag not in ("p", "button", "td", "th", "table", "article", "section", "div", "li"):
                 x = x.parent
             if x.tag == "p":
-                here = x.parent
+                here = leave(x)
         if tag in _CLOSES:
             ends, stops = _CLOSES[tag]
+            ends = ends.split()
             x, found = here, None
-            while x is not root and x.tag not in stops:
-                if x.tag in ends.split():
+            while any(open_[e] for e in ends) and x is not root and x.tag not in stops:
+                if x.tag in ends:
                     found = x
                 x = x.parent
             if found is not None:
-                here = found.parent
+                here = leave(found)
         node = Node(tag, attributes, here)
         here.children.append(node)
         if tag in _VOID or attributes.endswith("/") and tag not in _BLOCK and tag not in _RAW:
@@ -141,8 +220,9 @@ def parse(page: str) -> Node:
             end = len(page) if end < 0 else end
             node.children.append(page[at:end])
             close = page.find(">", end)
-            at = len(page) if close < 0 else close + 1
+            place = len(page) if close < 0 else close + 1
             continue
+        open_[tag] += 1
         here = node
 
 
@@ -150,33 +230,35 @@ def _squeezed(parts: list[str]) -> str:
     return " ".join(html.unescape("".join(parts)).split())
 
 
-def own_text(node: Node) -> str:
-    """Text of a node outside of the blocks within it."""
+def own_text(node: Node, linked: bool = False) -> tuple[str, int]:
+    """Text of a node outside of the blocks within it, and how many of its
+    characters aren't of links."""
     parts: list[str] = []
-
-    def walk(n: Node) -> None:
-        for c in n.children:
-            if isinstance(c, str):
-                parts.append(c)
-            elif c.tag == "br":
-                parts.append(" ")
-            elif c.tag not in _BLOCK and c.tag not in _RAW:
-                walk(c)
-
-    walk(node)
-    return _squeezed(parts)
-
-
-def blocks_of(node: Node) -> list[Node]:
-    """The nearest block nodes below."""
-    out: list[Node] = []
-    stack = list(reversed(node.nodes()))
+    bare = 0
+    stack: list[tuple] = [(c, linked) for c in reversed(node.children)]
     while stack:
-        n = stack.pop()
+        c, link = stack.pop()
+        if isinstance(c, str):
+            parts.append(c)
+            bare += 0 if link else len(c)
+        elif c.tag == "br":
+            parts.append(" ")
+        elif c.tag not in _BLOCK and c.tag not in _RAW and c.tag not in _SILENT:
+            stack.extend((k, link or c.tag == "a") for k in reversed(c.children))
+    text = _squeezed(parts)
+    return text, min(bare, len(text))
+
+
+def blocks_of(node: Node, linked: bool) -> list[tuple[Node, bool]]:
+    """The nearest block nodes below, and whether they are in a link."""
+    out: list[tuple[Node, bool]] = []
+    stack = [(c, linked) for c in reversed(node.nodes())]
+    while stack:
+        n, link = stack.pop()
         if n.tag in _BLOCK:
-            out.append(n)
-        elif n.tag not in _RAW:
-            stack.extend(reversed(n.nodes()))
+            out.append((n, link))
+        elif n.tag not in _RAW and n.tag not in _SILENT:
+            stack.extend((c, link or n.tag == "a") for c in reversed(n.nodes()))
     return out
 
 
@@ -187,24 +269,31 @@ class Tree:
         self.root = parse(page)
         self.nodes: list[Node] = []
         self.below: list[list[int]] = []
+        self.up: list[int] = []
+        self._linked: list[bool] = []
         self._add(self.root)
-        self._texts: dict[int, str] = {}
+        self._own: dict[int, tuple[str, int]] = {}
 
     def _add(self, root: Node) -> None:
-        stack: list[tuple[Node, int]] = [(root, -1)]
+        stack: list[tuple[Node, bool, int]] = [(root, False, -1)]
         while stack:
-            node, up = stack.pop()
+            node, linked, up = stack.pop()
             node.number = len(self.nodes)
             self.nodes.append(node)
             self.below.append([])
+            self.up.append(up)
+            self._linked.append(linked)
             if up >= 0:
                 self.below[up].append(node.number)
-            stack.extend((c, node.number) for c in reversed(blocks_of(node)))
+            stack.extend((c, link, node.number) for c, link in reversed(blocks_of(node, linked)))
+
+    def own(self, i: int) -> tuple[str, int]:
+        if i not in self._own:
+            self._own[i] = own_text(self.nodes[i], self._linked[i])
+        return self._own[i]
 
     def text(self, i: int) -> str:
-        if i not in self._texts:
-            self._texts[i] = own_text(self.nodes[i])
-        return self._texts[i]
+        return self.own(i)[0]
 
 
 def _label(n: Node) -> str:
@@ -299,21 +388,31 @@ def match(a: Tree, b: Tree) -> list[tuple[int, int]]:
     sizes: dict[tuple[int, int], int] = {}
     plans: dict[tuple[int, int], list[tuple[int, int]]] = {}
 
-    def size(s: int, t: int) -> int:
+    def weight(s: int, t: int) -> int:
+        return sizes.get((s, t), 0)
+
+    todo = [(mine[0], other[0])]
+    while todo:
+        s, t = todo[-1]
         if (s, t) in sizes:
-            return sizes[s, t]
+            todo.pop()
+            continue
         i, j = left[s], right[t]
-        if _label(a.nodes[i]) != _label(b.nodes[j]):
-            return 0
         x, y = [mine[c] for c in a.below[i]], [other[c] for c in b.below[j]]
-        if not x or not y:
-            sizes[s, t] = 1
-            return 1
-        total, plans[s, t] = (_long_plan if len(x) * len(y) > CELLS else _short_plan)(x, y, size)
-        sizes[s, t] = total + 1
-        return total + 1
-
-    size(mine[0], other[0])
+        by_label: dict[str, list[int]] = {}
+        for q in dict.fromkeys(y):
+            by_label.setdefault(_label(b.nodes[right[q]]), []).append(q)
+        before = len(todo)
+        for p in dict.fromkeys(x):
+            todo.extend((p, q) for q in by_label.get(_label(a.nodes[left[p]]), ()) if (p, q) not in sizes)
+        if len(todo) > before:
+            continue
+        todo.pop()
+        sizes[s, t] = 1
+        if x and y:
+            total, plans[s, t] = (_long_plan if len(x) * len(y) > CELLS else _short_plan)(x, y, weight)
+            sizes[s, t] += total
+
     out, stack = [], [(0, 0)]
     while stack:
         i, j = stack.pop()
@@ -340,13 +439,17 @@ def _marked(n: Node) -> bool:
     return known.get("role", "").lower() in _ROLES or bool(words & _NAMES)
 
 
-def _roots(tree: Tree) -> tuple[list[Node], bool]:
+def _nothing(n: Node) -> bool:
+    return False
+
+
+def _roots(tree: Tree, marked: Callable[[Node], bool] = _marked) -> tuple[list[Node], bool]:
     """Where the article is: article nodes, else main nodes, else the page."""
     for tag in ("article", "main"):
         found, stack = [], [tree.root]
         while stack:
             n = stack.pop()
-            if _marked(n):
+            if n.tag in _SILENT or marked(n):
                 continue
             if n.tag == tag or tag == "main" and 'role="main"' in n.attributes:
                 found.append(n)
@@ -357,137 +460,262 @@ def _roots(tree: Tree) -> tuple[list[Node], bool]:
     return [tree.root], False
 
 
-def extract(page: str, template: frozenset[int] = frozenset(), tree: Tree | None = None) -> str:
-    """The main text; ``template`` numbers the page's nodes to leave out."""
+def extract(page: str, template: frozenset[int] = frozenset(), tree: Tree | None = None, regions: list[int] | None = None, marks: bool = True) -> str:
+    """The main text.  ``template`` numbers the page's nodes to leave out,
+    ``regions`` those that hold the content, where a wrapper knows; without
+    ``marks`` nothing is left out for what its tag or attributes say."""
     tree = tree or Tree(page)
-    roots, sure = _roots(tree)
+    marked = _marked if marks else _nothing
+    roots, sure = ([tree.nodes[i] for i in regions], True) if regions else _roots(tree, marked)
     out: list[str] = []
     parts: list[str] = []
-    links = [0]
-
-    def flush() -> None:
-        text = _squeezed(parts)
-        if text and (sure or links[0] < 0.6 * len(text)):
-            out.append(text)
-        parts.clear()
-        links[0] = 0
-
-    def walk(n: Node, inside: bool, keep: bool) -> None:
-        for c in n.children:
+    links = 0
+    for r in roots:
+        stack: list = [(c, False, r.number not in template) for c in reversed(r.children)]
+        stack.insert(0, None)
+        while stack:
+            item = stack.pop()
+            if item is None:  # a block begins or ends
+                text = _squeezed(parts)
+                if text and (sure or links < 0.6 * len(text)):
+                    out.append(text)
+                parts, links = [], 0
+                continue
+            c, inside, keep = item
             if isinstance(c, str):
                 if keep:
                     parts.append(c)
-                    links[0] += len(c) if inside else 0
+                    links += len(c) if inside else 0
             elif c.tag == "br":
                 parts.append(" ")
-            elif _marked(c) or c.tag == "header" and not sure:
+            elif c.tag in _SILENT or marked(c) or c.tag == "header" and not sure:
                 if c.tag in _BLOCK:
-                    flush()
+                    stack.append(None)
             elif c.tag in _BLOCK:
-                flush()
-                walk(c, inside, c.number not in template)
-                flush()
+                stack.append(None)
+                stack.extend((k, inside, c.number not in template) for k in reversed(c.children))
+                stack.append(None)
             else:
-                walk(c, inside or c.tag == "a", keep)
-
-    for r in roots:
-        walk(r, False, r.number not in template)
-        flush()
+                stack.extend((k, inside or c.tag == "a", keep) for k in reversed(c.children))
     return "\n".join(out)
 
 
+# ---------------------------------------------------------------- wrappers
+
+
+class Wrapper:
+    """What a host's pages have in common with one of its reference pages."""
+
+    def __init__(self, page: str, fixed: list[int], region: int):
+        self.page, self.fixed, self.region = page, frozenset(fixed), region
+        self.tree = Tree(page)
+
+
+def induce(tree: Tree, counts: dict[int, tuple[int, int, int]]) -> tuple[list[int], int]:
+    """The reference nodes that are template, and the one that holds the content
+    (-1 if no node below the body does); ``counts`` has each node's pages, those
+    of the same text, and text outside of links."""
+    none = (0, 0, 0)
+    total = sum(c[2] for c in counts.values())
+    fixed = [i for i, (pages, same, _) in sorted(counts.items()) if pages >= PAGES and same >= CONSTANT * pages and tree.text(i)]
+    mass = [counts.get(i, none)[2] for i in range(len(tree.nodes))]
+    for i in fixed:
+        mass[i] = 0
+    if counts.get(0, none)[0] < PAGES or sum(mass) < VARIES * total:
+        return [], -1
+    for i in range(len(mass) - 1, 0, -1):
+        mass[tree.up[i]] += mass[i]
+    at = 0
+    while True:
+        below = [c for c in tree.below[at] if mass[c]]
+        best = max(below, key=lambda c: mass[c], default=-1)
+        if best < 0 or mass[best] < MAJOR * mass[at] or tree.nodes[best].tag in _PASSAGES:
+            break
+        if sum(_shape(tree.nodes[c]) == _shape(tree.nodes[best]) for c in below) > 1:
+            break
+        at = best
+    return fixed, at if tree.nodes[at].tag not in ("#root", "html", "body") else -1
+
+
+def _shape(n: Node) -> tuple[str, str]:
+    found = re.search(r"class\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", n.attributes)
+    return n.tag, found[1].strip("\"'") if found else ""
+
+
+def apply(wrappers: list[Wrapper], page: str, marks: bool = True) -> str:
+    """The page's text by its host's wrappers."""
+    tree = Tree(page)
+    template: set[int] = set()
+    regions: list[int] | None = None
+    for w in wrappers:
+        if not w.fixed and w.region < 0:
+            continue
+        pairs = match(w.tree, tree)
+        template |= {j for i, j in pairs if i in w.fixed and w.tree.text(i) == tree.text(j)}
+        region = next((j for i, j in pairs if i == w.region), None)
+        if regions is None and region is not None:
+            end = region + 1  # the region's nodes follow it
+            while end < len(tree.nodes) and tree.up[end] >= region:
+                end += 1
+            beside = [j for i, j in pairs if tree.nodes[j].tag in ("h1", "h2") and i not in w.fixed and not region <= j < end]
+            regions = sorted([region, *(j for j in beside if not marks or not _within_marked(tree, j))])
+    return extract(page, frozenset(template), tree, regions, marks)
+
+
+def _within_marked(tree: Tree, i: int) -> bool:
+    while i >= 0:
+        if _marked(tree.nodes[i]) or tree.nodes[i].tag == "header":
+            return True
+        i = tree.up[i]
+    return False
+
+
 # ---------------------------------------------------------------- operators
 
-_STATS = pa.schema([("host", pa.string()), ("which", pa.int32()), ("node", pa.int32()), ("pages", pa.int64()), ("same", pa.int64())])
+_STATS = pa.schema([("host", pa.string()), ("which", pa.int32()), ("node", pa.int32()), ("pages", pa.int64()), ("same", pa.int64()), ("mass", pa.int64())])
+_WRAPPERS = pa.schema([("host", pa.string()), ("which", pa.int32()), ("html", pa.string()), ("fixed", pa.list_(pa.int32())), ("region", pa.int32())])
 _OUT = pa.schema([("row_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
+#: Columns of what streams through a task; ``which`` numbers wrappers, and is
+#: ROW for pages.
+_STREAM = ["which", "host", "page_id", "url", "html", "fixed", "region"]
+ROW = 9
+#: Hosts whose trees a task keeps.
+HOSTS = 200
+
+
+def _streamed(batches, known: dict | None):
+    """Slices of pages, and a function that gives a host's wrappers: of the
+    broadcast ones, or those that came just before."""
+    trees: dict[str, list[Wrapper]] = {}
+
+    def wrappers(host: str | None) -> list[Wrapper]:
+        if known is not None and host is not None and host not in trees and host in known:
+            if len(trees) >= HOSTS:
+                trees.clear()
+            trees[host] = [Wrapper(*w) for w in known[host]]
+        return trees.get(host, [])
+
+    for b in text_slices(batches, 4):
+        rows = list(zip(*(c.to_pylist() for c in b.columns), strict=True))
+        at = 0
+        for k in range(len(rows) + 1):
+            if k == len(rows) or rows[k][0] != ROW:
+                if k > at:
+                    yield rows[at:k], wrappers
+                at = k + 1
+                if k < len(rows):
+                    _, host, _, _, page, fixed, region = rows[k]
+                    if host not in trees:
+                        trees.clear()
+                    trees.setdefault(host, []).append(Wrapper(page, fixed or [], -1 if region is None else region))
 
 
-def _align(batches):
-    """(page_id, url, html, host, references): per reference node with text, on
-    how many pages it was found, and with the same text on how many."""
-    trees: dict[str, list[Tree]] = {}
-    pages, same = Counter(), Counter()
-    for b in text_slices(batches, 2):
-        for page, host, references in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True):
-            if not page or not host or references == [page]:
-                continue
-            if host not in trees:
-                if len(trees) > 200:
-                    trees.clear()
-                trees[host] = [Tree(r) for r in references]
-            mine = Tree(page)
-            for which, t in enumerate(trees[host]):
-                if page == references[which]:
+def _align(sent):
+    """Per reference node: on how many pages it was found, on how many with the
+    same text, and their text outside of links; that of nodes without a partner
+    counts for the nearest node above that has one."""
+
+    def run(batches):
+        found: dict[tuple, list[int]] = {}
+        for rows, wrappers in _streamed(batches, sent and sent.value):
+            for _, host, _, _, page, _, _ in rows:
+                known = wrappers(host)
+                if not page or not known:
                     continue
-                for i, j in match(t, mine):
-                    if t.text(i):
-                        pages[host, which, i] += 1
-                        same[host, which, i] += t.text(i) == mine.text(j)
-        if len(pages) > 200_000:
-            yield _stats(pages, same)
-            pages.clear()
-            same.clear()
-    if pages:
-        yield _stats(pages, same)
-
-
-def _stats(pages: Counter, same: Counter) -> pa.RecordBatch:
-    keys = list(pages)
-    return batch(_STATS, *(list(c) for c in zip(*keys, strict=True)), [pages[k] for k in keys], [same[k] for k in keys])
-
-
-def _extract(batches):
-    """(page_id, url, html, host, references, template)"""
-    trees: dict[str, list[Tree]] = {}
-    for b in text_slices(batches, 2):
-        texts = []
-        for page, host, references, constant in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
-            if not page:
-                texts.append("")
-                continue
-            tree, template = Tree(page), frozenset()
-            if constant:
-                if host not in trees:
-                    if len(trees) > 200:
-                        trees.clear()
-                    trees[host] = [Tree(r) for r in references]
-                fixed = {(c["which"], c["node"]) for c in constant}
-                found = ((which, t, i, j) for which, t in enumerate(trees[host]) if any(w == which for w, _ in fixed) for i, j in match(t, tree))
-                template = frozenset(j for which, t, i, j in found if (which, i) in fixed and t.text(i) == tree.text(j))
-            texts.append(extract(page, template, tree))
-        yield batch(_OUT, b.column(0), b.column(1), texts, [len(t) for t in texts])
+                tree = Tree(page)
+                for which, w in enumerate(known):
+                    if page == w.page:
+                        continue
+                    partner = [-1] * len(tree.nodes)
+                    for i, j in match(w.tree, tree):
+                        partner[j] = i
+                        c = found.setdefault((host, which, i), [0, 0, 0])
+                        c[0] += 1
+                        c[1] += w.tree.text(i) == tree.text(j)
+                    for j in range(len(partner)):
+                        if partner[j] < 0:
+                            partner[j] = partner[tree.up[j]]
+                        if mass := tree.own(j)[1]:
+                            found[host, which, partner[j]][2] += mass
+            if len(found) > 200_000:
+                yield _stats(found)
+                found = {}
+        if found:
+            yield _stats(found)
+
+    return run
 
 
-def _beside(pages: DataFrame, table: DataFrame) -> DataFrame:
-    """``table`` (a row per host) joined to pages; broadcast if it is small."""
-    size = table.agg(F.sum(F.length(F.array_join("references", "")) + 64)).first()[0] or 0
-    return pages.join(F.broadcast(table) if size <= BROADCAST_BYTES else table, "host", "left")
+def _stats(found: dict) -> pa.RecordBatch:
+    return batch(_STATS, *(list(c) for c in zip(*found, strict=True)), *(list(c) for c in zip(*found.values(), strict=True)))
+
+
+def _induce(batches):
+    """(host, which, html, counts): each reference with its wrapper."""
+    for b in text_slices(batches, 2):
+        rows = []
+        for page, counts in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+            rows.append(induce(Tree(page), {c["node"]: (c["pages"], c["same"], c["mass"]) for c in counts or []}))
+        yield batch(_WRAPPERS, b.column(0), b.column(1), b.column(2), [r[0] for r in rows], [r[1] for r in rows])
+
+
+def _extract(sent, marks: bool):
+    def run(batches):
+        for rows, wrappers in _streamed(batches, sent and sent.value):
+            texts = [apply(wrappers(host), page, marks) if page else "" for _, host, _, _, page, _, _ in rows]
+            yield batch(_OUT, [r[2] for r in rows], [r[3] for r in rows], texts, [len(t) for t in texts])
+
+    return run
+
+
+def _with_wrappers(pages: DataFrame, wrappers: DataFrame, make: Callable, schema: str) -> DataFrame:
+    """``make(sent)`` over pages and their hosts' wrappers: sent to all tasks
+    while they are small; else streamed before each share of a host's pages."""
+    spark = pages.sparkSession
+    size = wrappers.agg(F.sum(F.length("html") + 8 * F.size("fixed") + 64)).first()[0] or 0
+    pages = pages.select(F.lit(ROW).alias("which"), "host", "page_id", "url", "html", F.lit(None).cast("array<int>").alias("fixed"), F.lit(None).cast("int").alias("region"))
+    if size <= BROADCAST_BYTES:
+        known: dict[str, list[tuple]] = {}
+        for r in wrappers.orderBy("host", "which").toLocalIterator():
+            known.setdefault(r.host, []).append((r.html, r.fixed, r.region))
+        sent = spark.sparkContext.broadcast(known)
+        return pages.select(*_STREAM).mapInArrow(make(sent), schema)
+    counts = pages.where("host is not null").groupBy("host").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    bound = max(SHARE_PAGES, total // MOST_HEAVY)  # so few hosts are above it
+    shares = counts.where(F.col("n") > bound).select("host", F.ceil(F.col("n") / bound).cast("int").alias("shares"))
+    own = F.xxhash64("page_id", "url")
+    dealt = pages.join(F.broadcast(shares), "host", "left")
+    dealt = dealt.withColumn("share", F.when(F.col("host").isNull(), F.pmod(own, F.lit(1 << 20))).otherwise(F.pmod(own, F.coalesce("shares", F.lit(1)))).cast("int"))
+    copies = wrappers.join(F.broadcast(shares), "host", "left")
+    copies = copies.withColumn("share", F.explode(F.sequence(F.lit(0), F.coalesce("shares", F.lit(1)) - 1))).withColumns({"page_id": F.lit(None).cast("long"), "url": F.lit(None).cast("string")})
+    both = dealt.select(*_STREAM, "share").unionByName(copies.select(*_STREAM, "share"))
+    return both.repartition("host", "share").sortWithinPartitions("host", "share", "which").select(*_STREAM).mapInArrow(make(None), schema)
 
 
 def _references(pages: DataFrame) -> DataFrame:
-    """host, references: one choice at any partitioning.  Each draw is the page
+    """host, which, html: one choice at any partitioning.  Each draw is the page
     of least hash under a seed, so equal pages count once; only numbers are
     aggregated, and html of the chosen pages alone."""
     pages = pages.withColumn("own", F.xxhash64("html"))
     one = [F.min(F.struct(F.xxhash64("own", F.lit(k)).alias("hash"), F.length("html").alias("size"), "own")) for k in range(DRAWS)]
     drawn = pages.groupBy("host").agg(F.sort_array(F.transform(F.array(*one), lambda r: F.struct(r["size"].alias("size"), r["own"].alias("own")))).alias("drawn"))
-    chosen = drawn.select("host", F.explode(F.array_distinct(F.array(*[F.col("drawn")[k]["own"] for k in CHOSEN]))).alias("own"))
-    found = pages.join(chosen, ["host", "own"]).groupBy("host", "own").agg(F.min("html").alias("html"))
-    return found.groupBy("host").agg(F.sort_array(F.collect_list(F.struct(F.length("html").alias("size"), "html"))).alias("r")).select("host", F.col("r.html").alias("references"))
+    chosen = drawn.select("host", F.posexplode(F.array_distinct(F.array(*[F.col("drawn")[k]["own"] for k in CHOSEN]))).alias("which", "own"))
+    found = pages.join(chosen, ["host", "own"]).groupBy("host", "which").agg(F.min("html").alias("html"))
+    return found.select("host", "which", "html", F.array().cast("array<int>").alias("fixed"), F.lit(-1).alias("region"))
 
 
-def main_text(pages: DataFrame) -> DataFrame:
+def main_text(pages: DataFrame, marks: bool = True) -> DataFrame:
     """page_id, url, text, n_chars for every row."""
     ship(pages.sparkSession)
     pages = plain(pages, "page_id", "url", "html").select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     host = F.nullif(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
     pages = pages.withColumn("host", host)
     references = materialize(_references(pages.where("host is not null and html <> ''").select("host", "html")), "references")
-    columns = ["page_id", "url", "html", "host", "references"]
-    stats = _beside(pages, references).select(*columns).mapInArrow(_align, "host string, which int, node int, pages long, same long")
-    stats = stats.groupBy("host", "which", "node").agg(F.sum("pages").alias("pages"), F.sum("same").alias("same"))
-    node = F.struct("which", "node")
-    fixed = stats.where((F.col("pages") >= PAGES) & (F.col("same") >= CONSTANT * F.col("pages"))).groupBy("host").agg(F.sort_array(F.collect_list(node)).alias("template"))
-    wrappers = materialize(references.join(fixed, "host"), "wrappers")
-    out = _beside(pages, wrappers).select(*columns, "template").mapInArrow(_extract, "row_id long, url string, text string, n_chars long")
+    stats = _with_wrappers(pages, references, _align, "host string, which int, node int, pages long, same long, mass long")
+    stats = stats.groupBy("host", "which", "node").agg(F.sum("pages").alias("pages"), F.sum("same").alias("same"), F.sum("mass").alias("mass"))
+    counts = stats.groupBy("host", "which").agg(F.collect_list(F.struct("node", "pages", "same", "mass")).alias("counts"))
+    induced = references.join(counts, ["host", "which"]).select("host", "which", "html", "counts").mapInArrow(_induce, "host string, which int, html string, fixed array<int>, region int")
+    wrappers = materialize(induced.where("region >= 0 or size(fixed) > 0"), "wrappers")
+    out = _with_wrappers(pages, wrappers, lambda sent: _extract(sent, marks), "row_id long, url string, text string, n_chars long")
     return out.withColumnRenamed("row_id", "page_id")

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import zlib
 
@@ -279,3 +280,85 @@ def test_recall_of_a_full_block():
         best = np.argsort(((x - x[q]) ** 2).sum(axis=1))[1:11]
         hits += len(set(best) & set(at[np.argsort(d)][:11]))
     assert hits >= 0.9 * 600
+
+
+def test_deep_and_unbalanced_pages():
+    """Any depth of tags, and quotes without partners, in linear time."""
+    import time
+
+    began = time.monotonic()
+    for tag in ("div", "b", "span", "ul"):
+        page = f"<{tag}>" * 50_000 + "x"
+        assert wrapper_induction.extract(page) == "x"
+        a = wrapper_induction.Tree(page)
+        assert len(wrapper_induction.match(a, wrapper_induction.Tree(page + "<p>y"))) == len(a.nodes)
+    assert wrapper_induction.extract("<span>" * 50_000 + "x" + "</i>" * 50_000) == "x"
+    assert wrapper_induction.extract("<li><b>" * 25_000 + "x") == "x"
+    for piece in ('<a " ', '<a ">" ', "<a ' >", "<a ", "< ", "<!-- ", "<p a='"):
+        assert isinstance(wrapper_induction.extract(piece * (1_000_000 // len(piece))), str)
+    assert time.monotonic() - began < 120
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [("<p a='x>y'>z", "z"), ("<p a='x>z", "z"), ('<p a=">" b=\'">\'>z', "z"), ("<p>a<b", "a<b"), ("<p>a <1 b", "a <1 b"), ("<p>x<!-- > --><p>y<!-- z", "x\ny"), ("<?xml a?><P>q</P><!x>", "q"), ("<script>a</b></SCRIPT >t", "t")],
+)
+def test_tokens(page, want):
+    assert wrapper_induction.extract(page) == want
+
+
+def test_match_as_recursion():
+    """Simple tree matching against its definition, on small random trees."""
+    rnd = random.Random(11)
+
+    def grow(depth):
+        return "".join(f"<{t}>{grow(depth - 1)}</{t}>" for t in rnd.choices(["div", "section", "ul"], k=rnd.randint(0, 3))) if depth else ""
+
+    def best(a, i, b, j):
+        if a.nodes[i].tag != b.nodes[j].tag:
+            return 0
+        x, y = a.below[i], b.below[j]
+        table = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for r in range(len(x)):
+            for k in range(len(y)):
+                table[r + 1][k + 1] = max(table[r][k + 1], table[r + 1][k], table[r][k] + best(a, x[r], b, y[k]))
+        return table[-1][-1] + 1
+
+    for _ in range(60):
+        a, b = wrapper_induction.Tree(grow(3)), wrapper_induction.Tree(grow(3))
+        pairs = wrapper_induction.match(a, b)
+        assert len(pairs) == best(a, 0, b, 0)
+        assert all(i == 0 or (a.up[i], b.up[j]) in set(pairs) for i, j in pairs)
+
+
+def test_induced_regions(spark):
+    """Hosts with layouts of their own, whose tags and attributes tell nothing:
+    the wrapper alone finds the content, with marks and without."""
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choices("abcdefgh", k=rnd.randint(2, 8)))
+    say = lambda n: " ".join(word() for _ in range(n))
+    pages, want = [], {}
+    for h in range(6):
+        x = [f"x{h}{k}" for k in range(5)]
+        fixed = [say(12) for _ in range(4)]
+        for i in range(25):
+            body = [say(rnd.randint(10, 60)) for _ in range(rnd.randint(2, 9))]
+            bar = "".join(f"<div><a href=/{k}>{say(2)}</a></div>" for k in range(rnd.randint(2, 6)))
+            page = f"<html><body><div class={x[0]}><p>{fixed[0]}</p></div><div class={x[1]}>{bar}</div>"
+            inner = "".join(f"<p>{b}</p>" for b in body[:1]) + f"<div><p>{fixed[1]}</p></div>" + "".join(f"<p>{b}</p>" for b in body[1:])
+            page += f"<div class={x[2]}>{inner}</div><div class={x[3]}>{say(3)}</div><div class={x[4]}><p>{fixed[2]}</p><p>{fixed[3]}</p></div></body></html>"
+            pages.append((100 * h + i, f"https://host{h}.example/{i}", page))
+            want[100 * h + i] = "\n".join(body)
+    # copies of one page tell nothing of a template, and stay whole
+    pages += [(1000 + i, f"http://same.example/{i}", f"<html><body><div><p>The same words.</p></div><!-- {i} --></body></html>") for i in range(9)]
+    want |= {1000 + i: "The same words." for i in range(9)}
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4)
+    for marks in (True, False):
+        assert {r.page_id: r.text for r in wrapper_induction.main_text(df, marks).collect()} == want
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test data here")
+def test_marks_only_break_ties(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    on, off = ({r.page_id: r.text for r in wrapper_induction.main_text(pages, marks).collect()} for marks in (True, False))
+    assert len(on) == pages.count() and sum(on[i] == off[i] for i in on) >= 0.99 * len(on)
