@@ -1,21 +1,25 @@
 """Approximate nearest neighbours by a permutation index.
 
 Each vector is represented by its ``PREFIX`` nearest of ``PIVOTS`` pivots in
-order.  Every vector is posted, with the pivot's place, to the inverted files
-of its pivots.  A query walks the files of its own pivots and adds up the
-footrule distance (a missing pivot counts as place ``PREFIX``); the nearest
-``SHARE`` of a block's vectors by footrule, and at least ``LEAST``, are reranked
-by true distance; a block of no more distinct vectors than that is exact.
-
-Vectors are dealt into blocks by a hash of vec_id, so no cluster or group of
-copies meets in one block; each block answers with its ``k`` best and a small
-top-k per query joins them.  Equal vectors fold into one within a block, so
-copies crowd nothing out.  Only pivots, a bounded sample, leave the executors.
-
-Edge cases: vectors that are null, zero, of another length than the commonest
-of the pivots, or hold null or non-finite components take no part; a null
-vec_id takes no part; rows that repeat a vec_id with an equal vector count
-once.  An empty table gives no rows.
+order.  Every vector is posted, with the pivot's place, to the inverted files of
+its pivots; as a prefix names half of the pivots, a file is a dense row of
+places.  A query walks the files of its own pivots and adds up the footrule
+distance (a missing pivot counts as place ``PREFIX``); the nearest ``SHARE`` of
+a block's vectors by footrule (but no fewer than an answer needs) are reranked
+by true distance.
+
+Vectors of one length are dealt into blocks of ``BLOCK_VALUES`` numbers by a hash
+of vec_id, so no cluster or group of copies meets in one block; a block's pivots
+are those of its vectors whose ids hash least.  Each block answers with its ``k``
+best and a small top-k per query joins them.  Equal vectors fold into one within
+a block, so copies crowd nothing out.  Neither vectors nor pivots leave the
+executors, and the result doesn't depend on how many there are.
+
+Edge cases: vectors that are null, zero, or hold null or non-finite components
+take no part, nor does a null vec_id.  Vectors of different lengths have no
+distance; each length has an index of its own.  Rows that repeat a vec_id: as
+candidates the nearest one counts, once; as queries the least vector, in the
+order of arrays.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,16 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import plain, ship
+from .common import join_counted, mix, plain, ship
 
-PIVOTS = 128
-PREFIX = 32
-#: Share of a block reranked by true distance, and the least number.
-SHARE = 0.3
-LEAST = 300
-BLOCK = 16_384
+PIVOTS = 256
+PREFIX = 128
+#: Share of a block reranked by true distance.
+SHARE = 0.1
+#: Numbers in a block's vectors: 32 MB.
+BLOCK_VALUES = 1 << 22
 #: Queries that meet a block at a time.
-QUERIES = 4_096
+QUERIES = 16_384
 
 _OUT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
@@ -56,25 +60,28 @@ class Index:
     """The inverted files of one block's distinct vectors."""
 
     def __init__(self, vectors: np.ndarray, pivots: np.ndarray, prefix: int):
-        self.vectors, self.prefix = vectors, min(prefix, len(pivots))
-        self.pivots = pivots
-        near = _places(vectors, pivots, self.prefix)
-        owner = np.repeat(np.arange(len(vectors)), self.prefix)
-        place = np.tile(np.arange(self.prefix), len(vectors))
-        order = np.argsort(near.ravel(), kind="stable")
-        self.owner, self.place = owner[order], place[order].astype(np.int32)
-        self.file = np.searchsorted(near.ravel()[order], np.arange(len(pivots) + 1))
+        self.vectors, self.pivots, self.prefix = vectors, pivots, min(prefix, len(pivots))
+        self.files = np.full((len(pivots), len(vectors)), self.prefix, np.int16)
+        place = np.arange(self.prefix, dtype=np.int16)
+        for a in range(0, len(vectors), 4096):
+            near = _places(vectors[a : a + 4096], pivots, self.prefix)
+            np.put_along_axis(self.files[:, a : a + 4096], near.T, np.broadcast_to(place[:, None], near.T.shape), axis=0)
         # footrule of a vector that shares no pivot with a query
         self.apart = self.prefix * (self.prefix + 1)
 
     def footrule(self, near: np.ndarray) -> np.ndarray:
         """Distances of all vectors from a query with these nearest pivots."""
         out = np.full(len(self.vectors), self.apart, np.int32)
-        for q, p in enumerate(near):
-            s = slice(self.file[p], self.file[p + 1])
+        some = np.zeros(len(self.vectors), np.int16)
+        for q, p in enumerate(near.tolist()):
             # shared: |place - q| instead of both sides' distance to the end
-            out[self.owner[s]] += np.abs(self.place[s] - q) - (self.prefix - q) - (self.prefix - self.place[s])
-        return out
+            file = self.files[p]
+            some += np.abs(file - np.int16(q))
+            some += file
+            if q % 32 == 31:  # before 16 bits overflow
+                out += some
+                some[:] = 0
+        return out + some - sum(2 * self.prefix - q for q in range(len(near)))
 
     def nearest(self, query: np.ndarray, near: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
         """The ``count`` first by footrule, and their true distances."""
@@ -87,11 +94,10 @@ class Index:
         return at, np.sqrt(((self.vectors[at] - query) ** 2).sum(axis=1))
 
 
-def _search(pivots, k: int, prefix: int, share: float, least: int):
+def _search(k: int, pivots: int, prefix: int, share: float):
     def run(key, queries: pa.Table, vectors: pa.Table) -> pa.Table:
         if not queries.num_rows or not vectors.num_rows:
             return _OUT.empty_table()
-        p = pivots.value
         x = _matrix(vectors.column("vector"), vectors.num_rows)
         ids = vectors.column("vec_id").to_numpy().astype(np.int64)
         q = _matrix(queries.column("vector"), queries.num_rows)
@@ -102,9 +108,10 @@ def _search(pivots, k: int, prefix: int, share: float, least: int):
         _, head, which = np.unique((x + 0.0).view(f"V{8 * x.shape[1]}").ravel(), return_index=True, return_inverse=True)
         by = np.argsort(which, kind="stable")
         edge = np.searchsorted(which[by], np.arange(len(head) + 1))
-        index = Index(x[head], p, prefix)
-        near = _places(q, p, index.prefix)
-        count = max(least, int(np.ceil(share * len(head))))
+        chosen = head[np.argsort(mix(ids[head].view(np.uint64)), kind="stable")[:pivots]]
+        index = Index(x[head], x[chosen], prefix)
+        near = _places(q, index.pivots, index.prefix)
+        count = max(k + 1, int(np.ceil(share * len(head))))
         out = [], [], []
         for i in range(len(qid)):
             at, d = index.nearest(q[i], near[i], count)
@@ -125,7 +132,7 @@ def _search(pivots, k: int, prefix: int, share: float, least: int):
     return run
 
 
-def search(vectors: DataFrame, is_query: F.Column, k: int = 10, pivots: int = PIVOTS, prefix: int = PREFIX, share: float = SHARE, least: int = LEAST) -> DataFrame:
+def search(vectors: DataFrame, is_query: F.Column, k: int = 10, pivots: int = PIVOTS, prefix: int = PREFIX, share: float = SHARE, block: int = BLOCK_VALUES) -> DataFrame:
     """query_id, rank, vec_id, score (Euclidean distance) for each query row of
     ``vectors`` (vec_id, embedding)."""
     spark = vectors.sparkSession
@@ -133,21 +140,21 @@ def search(vectors: DataFrame, is_query: F.Column, k: int = 10, pivots: int = PI
     v = plain(vectors, "vec_id", "embedding").select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vector"))
     sound = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     v = v.where("vec_id is not null and vector is not null and size(vector) > 0").where(sound & F.exists("vector", lambda x: x != 0))
-    sample = v.select("vector").orderBy(F.xxhash64("vec_id"), "vec_id").limit(4 * pivots).collect()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not sample:
-        return spark.createDataFrame([], schema)
-    sizes = [len(r.vector) for r in sample]
-    size = max(set(sizes), key=lambda s: (sizes.count(s), s))
-    chosen = list(dict.fromkeys(tuple(r.vector) for r in sample if len(r.vector) == size))[:pivots]
-    sent = spark.sparkContext.broadcast(np.array(chosen))
-    v = v.where(F.size("vector") == size)
-    queries = v.where(is_query).dropDuplicates(["vec_id"])
-    n, m = (r[0] for r in v.selectExpr("count(*)").unionAll(queries.selectExpr("count(*)")).collect())
-    blocks = max(spark.sparkContext.defaultParallelism, -(-n // BLOCK))
-    shares = max(1, -(-m // QUERIES))
-    left = queries.withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shares)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = v.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
-    found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(_search(sent, k, prefix, share, least), "query_id long, vec_id long, score double")
+    v = v.withColumn("dim", F.size("vector"))
+    queries = v.where(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector")).withColumn("dim", F.size("vector"))
+    counts = v.groupBy("dim").agg(F.count("*").alias("n"), F.count_if(is_query).alias("asked")).where("asked > 0")
+    n, blocks_, asked = counts.select(F.sum("n"), F.sum(F.ceil(F.col("n") * F.col("dim") / block)), F.sum("asked")).first()
+    # queries of a block may be dealt to several tasks; that changes no result
+    tasks = spark.sparkContext.defaultParallelism
+    counts = counts.select("dim", "n", F.ceil(F.col("n") * F.col("dim") / block).cast("int").alias("blocks"), F.ceil(F.col("asked") / QUERIES).cast("int").alias("by_size"))
+    counts = counts.select("dim", "n", "blocks", F.greatest("by_size", F.lit(min(-(-tasks // (blocks_ or 1)), asked or 1))).alias("shares"))
+    left = join_counted(queries, counts, ["dim"], "n", n or 0)
+    left = left.withColumn("part", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("shares")).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    right = join_counted(v, counts, ["dim"], "n", n or 0)
+    right = right.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+    keys, columns = ["dim", "block", "part"], ["dim", "block", "part", "vec_id", "vector"]
+    left, right = (x.select(*[F.col(c).alias(c) for c in columns]) for x in (left, right))
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_search(k, pivots, prefix, share), "query_id long, vec_id long, score double")
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

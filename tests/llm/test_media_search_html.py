@@ -132,7 +132,7 @@ def test_search(spark):
     rows += [(2000, None, 0, "p"), (2100, [0.0] * 16, 0, "p"), (2200, [float("nan")] * 16, 0, "p"), (2300, [float("inf")] * 16, 0, "p"), (None, [1.0] * 16, 0, "p"), (2400, [1.0, 2.0], 0, "p"), (2500, [None] * 16, 0, "p"), (100, rows[100][1], 0, "p")]
     df = spark.createDataFrame(rows, VECTORS).repartition(5)
     got = {}
-    for r in permutation_ann.search(df, F.col("vec_id") % 100 == 0, least=60).collect():
+    for r in permutation_ann.search(df, F.col("vec_id") % 100 == 0, block=8000).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     x = x.astype(np.float64)
     hits = 0
@@ -266,20 +266,47 @@ def test_wrapper_with_a_stub(spark):
     assert {r.page_id: r.text for r in wrapper_induction.main_text(df).collect()} == want
 
 
-def test_recall_of_a_full_block():
-    """The index by itself: one full block, the least number not binding."""
-    rnd = np.random.default_rng(3)
-    x = rnd.normal(size=(permutation_ann.BLOCK, 64))
-    pivots = x[: permutation_ann.PIVOTS]
-    index = permutation_ann.Index(x, pivots, permutation_ann.PREFIX)
-    count, hits = int(permutation_ann.SHARE * len(x)), 0
-    assert count > permutation_ann.LEAST
-    for q in range(1000, 1060):
-        at, d = index.nearest(x[q], permutation_ann._places(x[q : q + 1], pivots, index.prefix)[0], count)
-        assert len(at) < len(x) / 2
+def recall(x, queries, share=permutation_ann.SHARE):
+    """Share of the true ten nearest among those reranked, and reranked share."""
+    index = permutation_ann.Index(x, x[: permutation_ann.PIVOTS], permutation_ann.PREFIX)
+    hits, seen = 0, 0
+    for q in queries:
+        at, _ = index.nearest(x[q], permutation_ann._places(x[q : q + 1], index.pivots, index.prefix)[0], int(np.ceil(share * len(x))))
         best = np.argsort(((x - x[q]) ** 2).sum(axis=1))[1:11]
-        hits += len(set(best) & set(at[np.argsort(d)][:11]))
-    assert hits >= 0.9 * 600
+        hits, seen = hits + len(set(best) & set(at)), seen + len(at)
+    return hits / 10 / len(queries), seen / len(x) / len(queries)
+
+
+def test_recall_of_a_full_block():
+    """The index by itself prunes, and still finds."""
+    x = np.random.default_rng(3).normal(size=(permutation_ann.BLOCK_VALUES // 64, 64))
+    found, seen = recall(x, range(1000, 1040))
+    assert found >= 0.9 and seen <= 0.105
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test data here")
+def test_recall_with_pruning(spark):
+    """Over sf0.1, where a tenth of the vectors is reranked, against all pairs."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = df.collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    got = {}
+    for r in permutation_ann.search(df, F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for i in np.flatnonzero(ids % 100 == 0):
+        d = np.sqrt(((x - x[i]) ** 2).sum(axis=1))
+        d[i] = np.inf
+        hits += len(got[ids[i]] & set(ids[np.lexsort((ids, d))[:10]].tolist()))
+    assert hits >= 0.9 * 10 * len(got)
+    assert recall(x, range(0, len(x), 40))[1] <= 0.105
+
+
+def test_search_of_lengths_and_repeats(spark):
+    rows = [(0, [1.0, 0.0], 0, ""), (0, [0.0, 2.0], 0, ""), (1, [0.0, 1.0], 0, ""), (1, [0.0, 3.0], 0, ""), (2, [1.0, 1.0], 0, ""), (3, [1.0, 1.0, 1.0], 0, ""), (100, [1.0, 1.0, 2.0], 0, "")]
+    got = sorted((r.query_id, r.rank, r.vec_id, round(r.score, 6)) for r in permutation_ann.search(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 100 == 0).collect())
+    # the least vector of id 0 asks; its other row is no candidate of its own
+    assert got == [(0, 1, 1, 1.0), (0, 2, 2, 1.414214), (100, 1, 3, 1.0)]
 
 
 def test_deep_and_unbalanced_pages():
