@@ -6,15 +6,19 @@ Training, on at most ``TRAIN_ROWS`` labelled documents chosen by hash:
    compounds share evidence.  Each feature gets a log-odds ratio of document
    counts under an informative Dirichlet prior (as strong as a share of the
    training documents, in proportion to the feature's frequency) and a z score.
-2. Features below a z threshold score nothing; every other token costs
-   ``DRIFT``, so that chance hits decay.
+2. A token's score is the log-odds of its feature of greatest absolute z: above
+   zero where z passes a threshold, below where it passes ``CLEAN`` times that
+   threshold on the other side (toxic documents are few, so no word that they
+   lack can have a z as great).  Every other token costs ``DRIFT``.
 3. On a fold that gave no counts, the maxima of clean documents fit an
    extreme-value law, P(max < s) = exp(-K n exp(-lambda s)), by censored
    likelihood; a logistic curve on lambda s - ln(K n) gives the score.  The
    prior and threshold with the least loss on this fold are kept.
 
 Scoring walks each text once: all maximal scoring segments come from one pass
-over its hits.  The model is bounded (at most ``FEATURES`` features).
+over its toxic words, between which sums of scores say what clean ones cost.
+The model holds the features that pass the least threshold; they come from at
+most ``TRAIN_ROWS`` documents.
 
 Edge cases: null or empty text scores as a text without hits; rows without
 labels are scored like others; labels that are null, not 0 or 1, or without a
@@ -37,9 +41,9 @@ from .common import Words, batch, materialize, plain, ship, span_hashes, text_sl
 
 #: Bound on the labelled documents that training reads.
 TRAIN_ROWS = 40_000
-#: Bound on the model's features: those of greatest z are kept.
-FEATURES = 50_000
 DRIFT = 0.1
+#: The threshold for clean words, as a share of that for toxic ones.
+CLEAN = 0.5
 PREFIXES = (4, 5, 6, 7, 8)
 PRIORS = (0.005, 0.02)
 THRESHOLDS = (3.0, 4.0, 5.0, 6.0, 8.0)
@@ -111,35 +115,27 @@ def log_odds(toxic: np.ndarray, clean: np.ndarray, docs: tuple[int, int], share:
     return odds, odds / np.sqrt(1 / t + 1 / c)
 
 
-def _hits(w: Words, kinds, t: Table) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens with a feature of the table, and the log-odds of its best."""
-    best, odds = np.full(len(w.start), -np.inf), np.zeros(len(w.start))
+def _scores(w: Words, kinds, t: Table) -> np.ndarray:
+    """Each token's score by the table: its best feature's log-odds."""
+    best, score = np.zeros(len(w.start)), np.full(len(w.start), -DRIFT)
     low = np.uint64(len(t.maybe) - 1)
     for i, h in kinds if len(t.keys) else []:
         some = np.flatnonzero(t.maybe[(h & low).astype(np.int64)])
         at = np.minimum(np.searchsorted(t.keys, h[some]), len(t.keys) - 1)
         found = t.keys[at] == h[some]
         at, token = at[found], i[some[found]]
-        better = t.z[at] > best[token]
-        best[token[better]], odds[token[better]] = t.z[at[better]], t.odds[at[better]]
-    at = np.flatnonzero(best > -np.inf)
-    return at, odds[at]
-
-
-def segments(at: list[int], odds: list[float], drift: float = DRIFT) -> list[tuple[float, int, int]]:
-    """All maximal scoring segments (score, first token, last token) of a text
-    whose other tokens each cost ``drift``; linear in the hits."""
-    out: list[list] = []  # score before, score after, first, last
-    total, last = 0.0, None
-    for p, s in zip(at, odds, strict=True):
-        if last is not None:
-            total -= drift * (p - last - 1)
-        last = p
-        if s <= 0:
-            total += s
-            continue
-        new = [total, total + s, p, p]
-        total += s
+        better = np.abs(t.z[at]) > best[token]
+        best[token[better]], score[token[better]] = np.abs(t.z[at[better]]), t.odds[at[better]]
+    return score
+
+
+def segments(at: list[int], before: list[float], after: list[float]) -> list[tuple[float, int, int]]:
+    """All maximal scoring segments (score, first token, last token) of a text,
+    from the places of its positive scores and the sums of all scores before and
+    after each; linear in those places."""
+    out: list[list] = []  # sum before, sum after, first, last
+    for p, b, a in zip(at, before, after, strict=True):
+        new = [b, a, p, p]
         while True:
             k = len(out) - 1
             while k >= 0 and out[k][0] >= new[0]:
@@ -152,6 +148,16 @@ def segments(at: list[int], odds: list[float], drift: float = DRIFT) -> list[tup
     return [(b - a, first, end) for a, b, first, end in out]
 
 
+def _found(w: Words, kinds, t: Table) -> list[list[tuple[float, int, int]]]:
+    """The segments of each document; tokens count from its first one."""
+    score = _scores(w, kinds, t)
+    total = np.cumsum(score)
+    at = np.flatnonzero(score > 0)
+    edge, after, before = np.searchsorted(at, w.first).tolist(), total[at].tolist(), (total[at] - score[at]).tolist()
+    place = (at - np.repeat(w.first[:-1], np.diff(edge))).tolist()
+    return [segments(place[a:b], before[a:b], after[a:b]) if a < b else [] for a, b in zip(edge[:-1], edge[1:], strict=True)]
+
+
 class Model(NamedTuple):
     table: Table
     rate: float
@@ -196,24 +202,23 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     return w, float(-(y * np.log(p) + (1 - y) * np.log(1 - p)).mean())
 
 
-_TRIALS = pa.schema([("toxic", pa.int32()), ("n", pa.int64()), ("found", pa.list_(pa.list_(pa.float64())))])
+_TRIALS = pa.schema([("toxic", pa.int32()), ("n", pa.int64()), ("values", pa.list_(pa.float64()))])
 
 
-def _try(tables):
-    """What each candidate table finds in the calibration documents."""
+def _try(tables, laws: list[tuple[float, float]] | None = None):
+    """Per calibration document a number for each candidate table, its best
+    segment's score, or two by the tables' extreme-value laws, its evidence."""
 
     def run(batches):
         for b in text_slices(batches, 0, SLICE_BYTES):
             w, kinds = _features(b.column(0))
-            n = w.counts()
-            found: list[list] = [[] for _ in n]
-            for t in tables.value:
-                at, odds = _hits(w, kinds, t)
-                edge = np.searchsorted(at, w.first)
-                for d in range(len(n)):
-                    x = slice(edge[d], edge[d + 1])
-                    found[d].append([s for s, _, _ in segments(at[x].tolist(), odds[x].tolist())] if edge[d] < edge[d + 1] else [])
-            yield batch(_TRIALS, b.column(1).cast(pa.int32()), n, found)
+            n = w.counts().tolist()
+            values: list[list] = [[] for _ in n]
+            for i, t in enumerate(tables.value):
+                for to, m, found in zip(values, n, _found(w, kinds, t), strict=True):
+                    scores = [f[0] for f in found]
+                    to.extend(evidence(scores, m, *laws[i]) if laws else [max(scores, default=0.0)])
+            yield batch(_TRIALS, b.column(1).cast(pa.int32()), n, values)
 
     return run
 
@@ -237,28 +242,36 @@ def learn(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
     counts = train.where("not calibrate").select("text", "toxic").mapInArrow(_count, "feature long, toxic long, clean long")
     counts = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    # features more frequent among toxic documents, by the greatest excess
-    more = (F.col("toxic") / sizes[1] - F.col("clean") / sizes[0]) / F.sqrt((F.col("toxic") + F.col("clean")) / (sizes[0] + sizes[1]))
-    kept = counts.where((F.col("toxic") >= 3) & (more > 0)).withColumn("more", more).orderBy(F.desc("more"), "feature").limit(FEATURES).toPandas()
+    # features that pass the least threshold under some prior, by the formula of log_odds
+    n_clean, n_toxic = sizes
+    total, passing = n_clean + n_toxic, F.lit(False)
+    for share in PRIORS:
+        a = F.lit(share) * (F.col("toxic") + F.col("clean"))
+        t, c, strength = F.col("toxic") + a, F.col("clean") + a, share * total
+        odds = F.log(t / F.greatest(n_toxic + strength - t, F.lit(1e-9))) - F.log(c / F.greatest(n_clean + strength - c, F.lit(1e-9)))
+        z = odds / F.sqrt(1 / t + 1 / c)
+        passing = passing | (z >= 0.999 * min(THRESHOLDS)) | (z <= -0.999 * CLEAN * min(THRESHOLDS))
+    kept = counts.where(passing).toPandas()
     keys, toxic, clean = kept.feature.to_numpy().view(np.uint64), kept.toxic.to_numpy(), kept.clean.to_numpy()
     tables = []
     for share in PRIORS:
         odds, z = log_odds(toxic, clean, sizes, share)
         for least in THRESHOLDS:
-            good = z >= least
+            good = (z >= least) | (z <= -CLEAN * least)
             tables.append(table(keys[good], odds[good], z[good]))
     sent = spark.sparkContext.broadcast(tables)
-    trials = train.where("calibrate").select("text", "toxic").mapInArrow(_try(sent), "toxic int, n long, found array<array<double>>").collect()
-    y, n_tokens = np.array([r.toxic for r in trials]), np.array([r.n for r in trials])
+    # a few numbers for each of at most ``rows`` documents come to the driver
+    tried = lambda *laws: train.where("calibrate").select("text", "toxic").mapInArrow(_try(sent, *laws), "toxic int, n long, values array<double>").collect()
+    trials = tried()
+    y, n_tokens, top = np.array([r.toxic for r in trials]), np.array([r.n for r in trials]), np.array([r["values"] for r in trials])
+    laws = [extreme_value(top[y == 0, i], n_tokens[y == 0]) for i in range(len(tables))]
+    trials = tried(laws)
+    y, x = np.array([r.toxic for r in trials]), np.array([r["values"] for r in trials])
     best = None
-    for i, t in enumerate(tables):
-        found = [r.found[i] for r in trials]
-        top = np.array([max(f, default=0.0) for f in found])
-        scale, size = extreme_value(top[y == 0], n_tokens[y == 0])
-        x = np.array([evidence(f, m, scale, size) for f, m in zip(found, n_tokens, strict=True)])
-        w, loss = logistic(x, y)
+    for i, (t, law) in enumerate(zip(tables, laws, strict=True)):
+        w, loss = logistic(x[:, 2 * i : 2 * i + 2], y)
         if best is None or loss < best[0] - 1e-6:
-            best = (loss, Model(t, rate, scale, size, tuple(float(v) for v in w)))
+            best = (loss, Model(t, rate, *law, tuple(float(v) for v in w)))
     return best[1]
 
 
@@ -270,6 +283,13 @@ def _score(model: Model, found: list[float], n: int) -> float:
     return 1 / (1 + math.exp(-min(max(z, -35.0), 35.0)))
 
 
+def _judged(model: Model, texts: pa.Array) -> tuple[list[float], list[list], list[int]]:
+    """Score, segments and tokens of each text."""
+    w, kinds = _features(texts)
+    n, found = w.counts().tolist(), _found(w, kinds, model.table)
+    return [_score(model, [s for s, _, _ in f], m) for f, m in zip(found, n, strict=True)], found, n
+
+
 _OUT = pa.schema([("row_id", pa.int64()), ("score", pa.float64()), ("passages", pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("evidence", pa.float64())])))])
 
 
@@ -277,21 +297,9 @@ def _apply(model):
     def run(batches):
         m = model.value
         for b in text_slices(batches, 1, SLICE_BYTES):
-            w, kinds = _features(b.column(1))
-            n = w.counts().tolist()
-            at, odds = _hits(w, kinds, m.table)
-            edge = np.searchsorted(at, w.first).tolist()
-            scores, passages = [], []
-            for d in range(len(n)):
-                found = []
-                if edge[d] < edge[d + 1]:
-                    x = slice(edge[d], edge[d + 1])
-                    found = segments(at[x].tolist(), odds[x].tolist())
-                scores.append(_score(m, [f[0] for f in found], n[d]))
-                first = int(w.first[d])
-                beyond = [(evidence([s], n[d], m.scale, m.size)[0], i - first, j - first) for s, i, j in found]
-                passages.append([{"first": i, "last": j, "evidence": e} for e, i, j in beyond if e > 0])
-            yield batch(_OUT, b.column(0), scores, passages)
+            scores, found, n = _judged(m, b.column(1))
+            beyond = [[(evidence([s], k, m.scale, m.size)[0], i, j) for s, i, j in f] for f, k in zip(found, n, strict=True)]
+            yield batch(_OUT, b.column(0), scores, [[{"first": i, "last": j, "evidence": e} for e, i, j in x if e > 0] for x in beyond])
 
     return run
 
@@ -312,17 +320,8 @@ def keep_clean(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Da
     text = docs.columns.index("text")
 
     def run(batches):
-        m = model.value
         for b in text_slices(batches, text, SLICE_BYTES):
-            w, kinds = _features(b.column(text).cast(pa.string()))
-            n = w.counts().tolist()
-            at, odds = _hits(w, kinds, m.table)
-            edge = np.searchsorted(at, w.first).tolist()
-            keep = []
-            for d in range(len(n)):
-                x = slice(edge[d], edge[d + 1])
-                found = [s for s, _, _ in segments(at[x].tolist(), odds[x].tolist())] if edge[d] < edge[d + 1] else []
-                keep.append(_score(m, found, n[d]) < 0.5)
-            yield b.filter(pa.array(keep))
+            scores, _, _ = _judged(model.value, b.column(text).cast(pa.string()))
+            yield b.filter(pa.array([x < 0.5 for x in scores], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,8 +1,10 @@
 import collections
 import math
 import random
+import re
 import zlib
 
+import numpy as np
 import pytest
 
 from glotta.llm import kneser_ney, packing, pii, sentence_pieces, toxicity, word_bpe
@@ -141,14 +143,68 @@ def test_toxicity(spark):
     assert toxicity.score(df.limit(0), lf).count() == 0
 
 
+def test_toxicity_as_plain_python(spark):
+    """The whole score against its definition: features by slices of words, all
+    segments by their sums, from the learned table."""
+    from glotta.llm.common import span_hashes
+
+    rnd = random.Random(8)
+    words = ["".join(rnd.choices("abcdefgh", k=rnd.randint(2, 9))) for _ in range(150)]
+    nice, bad = ["gentleness", "kindly", "lovely"], ["vileness", "vilest", "foulness"]
+    docs = []
+    for d in range(1200):
+        w = rnd.choices(words, k=rnd.randint(0, 60))
+        for x in rnd.choices(bad if d % 6 == 0 else nice, k=3) if d % 6 == 0 or rnd.random() < 0.6 else []:
+            w.insert(rnd.randint(0, len(w)), x)
+        docs.append((d, rnd.choice([" ", ", ", "\n"]).join(w)))
+    docs += [(2000, None), (2001, "Vileness! " * 3 + "x " * 40_000 + "foulness"), (2002, "É vileness é")]
+    df = spark.createDataFrame([(d, t, 0.5, "q") for d, t in docs], "doc_id long, text string, score double, passages string")
+    lf = spark.createDataFrame([(d, int(d % 6 == 0), 1) for d in range(1200)], "doc_id long, toxic int, text int")
+    m = toxicity.learn(df, lf)
+    known = {int(k): (o, z) for k, o, z in zip(m.table.keys, m.table.odds, m.table.z)}
+    assert min(m.table.odds) < 0 < max(m.table.odds)
+
+    def hashed(raw, seed):
+        a = np.frombuffer(raw, np.uint8)
+        return int(span_hashes(a, np.array([0]), np.array([len(a)]), seed)[0])
+
+    def plain(text):
+        tokens = re.findall(rb"[a-z\x80-\xff]+", (text or "").lower().encode())
+        scores = []
+        for t in tokens:
+            has = [known[h] for h in [hashed(t, 1), *(hashed(t[:k], 2) for k in toxicity.PREFIXES if len(t) >= k)] if h in known]
+            scores.append(max(has, key=lambda x: abs(x[1]))[0] if has else -toxicity.DRIFT)
+        found, todo = [], [(0, len(scores))]
+        while todo:  # the best segment, then those on its sides
+            a, b = todo.pop()
+            best, low, start, total = (0.0, 0, 0), 0.0, a, 0.0
+            for i in range(a, b):
+                if total <= low:
+                    low, start = total, i
+                total += scores[i]
+                if total - low > best[0] + 1e-12:
+                    best = (total - low, start, i)
+            if best[0] > 0:
+                found.append(best)
+                todo += [(a, best[1]), (best[2] + 1, b)]
+        chance = math.log(max(m.size * max(len(tokens), 1), 1e-12))
+        beyond = sorted((m.scale * f[0] - chance for f in found), reverse=True) or [-chance]
+        z = m.curve[0] + m.curve[1] * min(beyond[0], 60) + m.curve[2] * min(sum(x for x in beyond[1:] if x > 0), 60)
+        return 1 / (1 + math.exp(-min(max(z, -35), 35)))
+
+    got = {r.doc_id: r.score for r in toxicity.score(df, lf).collect()}
+    for d, t in docs:
+        assert math.isclose(got[d], plain(t), abs_tol=1e-6), d
+    kept = {r.doc_id for r in toxicity.keep_clean(df, lf).collect()}
+    assert kept == {d for d, s in got.items() if s < 0.5}
+
+
 def test_segments_against_all():
     rnd = random.Random(4)
     for _ in range(200):
-        n = rnd.randint(1, 14)
-        s = [rnd.choice([2.0, 1.0, None, None]) for _ in range(n)]
-        at = [i for i, x in enumerate(s) if x]
-        found = toxicity.segments(at, [s[i] for i in at], 0.7)
-        full = [x if x else -0.7 for x in s]
+        full = [rnd.choice([2.0, 1.0, -0.7, -0.7, -1.5]) for _ in range(rnd.randint(1, 14))]
+        n, at = len(full), [i for i, x in enumerate(full) if x > 0]
+        found = toxicity.segments(at, [sum(full[:i]) for i in at], [sum(full[: i + 1]) for i in at])
         best = max((sum(full[i : j + 1]) for i in range(n) for j in range(i, n)), default=0)
         assert math.isclose(max((f[0] for f in found), default=0.0), max(best, 0.0), abs_tol=1e-9)
         assert all(math.isclose(f[0], sum(full[f[1] : f[2] + 1]), abs_tol=1e-9) for f in found)
