@@ -4,13 +4,18 @@ Texts are cut where no piece can reach across: before a space that follows
 something else, and around bytes that no longer piece holds.  Distinct segments
 of a slice are encoded once, equal lengths together, and gathered back.
 
-*Unigram models* take the best segmentation by batched Viterbi: at each end
-position, substring hashes of all words probe the sorted piece keys, one length
-after the other, and vectorised maxima store backpointers.
-
-*BPE models* (the installed public model is one) define their result by merge
-order, which the best sum of scores does not give; they advance equal-length
-words through :class:`bpe.Merger`, which probes sorted pair keys.
+*Best segmentation* (``unigram``) by batched Viterbi: hashes of all substrings
+that begin a piece grow by one character at a time and probe the sorted piece
+keys; then all words of a length advance together from end to end, and
+vectorised maxima store backpointers.  A unigram model has scores; of a BPE
+model, whose pieces come in the order of their merges, a piece's score is
+-ln(rank + 1), as Zipf's law has it.  Equal sums go to the longer last piece, in
+single precision within a segment, as in the library's unigram models.
+
+*Merges* (``merges``): a BPE model's own result is defined by merge order, which
+no sum of scores gives; equal-length words advance through
+:class:`bpe.Merger`, which probes sorted pair keys.  The installed public model
+is one; the library returns these ids for it.
 
 Only the identity normalizer is read.  U+2581 in a text is a space to the
 library, and so it is here; every other text comes back from its ids exactly.
@@ -38,41 +43,69 @@ _SPACE = "▁"
 _PAST = 0x110000
 
 
+#: Longer words advance one end at a time through the pieces found in them.
+LONG = 512
+
+
 class Viterbi:
     """Best segmentations over pieces with scores."""
 
     def __init__(self, pieces: list[str], scores: np.ndarray, ids: np.ndarray, unknown: float):
-        flat = [np.array([ord(c) for c in p], np.uint64) for p in pieces]
-        self.longest = max(map(len, flat), default=1)
-        keys = np.array([self._hash(f[None, :])[0] for f in flat], np.uint64)
+        self.longest = max(map(len, pieces), default=1)
+        self.unknown = np.float32(unknown)
+        found: dict[int, int] = {}
+        for k, p in enumerate(pieces):  # each piece's beginnings too: -1 where none is a piece
+            h = np.zeros(1, np.uint64)
+            for i, c in enumerate(p):
+                h = mix(h ^ np.uint64(ord(c) + 1))
+                if i + 1 < len(p):
+                    found.setdefault(int(h[0]), -1)
+            found[int(h[0])] = k
+        keys = np.array(list(found), np.uint64)
         order = np.argsort(keys)
-        self.keys, self.scores, self.ids, self.unknown = keys[order], scores[order], ids[order], unknown
+        self.keys, self.which = keys[order], np.array(list(found.values()))[order]
+        self.scores, self.ids = np.asarray(scores, np.float32), ids
 
-    @staticmethod
-    def _hash(points: np.ndarray) -> np.ndarray:
-        h = np.full(len(points), points.shape[1] + 1, np.uint64)
-        for i in range(points.shape[1]):
-            h = mix(h ^ points[:, i])
-        return h
+    def _pieces(self, words: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per size, which cells of (word, start) begin a piece, and its number."""
+        n, length = words.shape
+        flat, cell = words.ravel().astype(np.uint64) + np.uint64(1), np.arange(n * length)
+        h, out = np.zeros(n * length, np.uint64), []
+        for size in range(1, min(self.longest, length) + 1):
+            fits = cell % length + size <= length
+            cell, h = cell[fits], h[fits]
+            h = mix(h ^ flat[cell + size - 1])
+            at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+            alive = self.keys[at] == h
+            cell, h, k = cell[alive], h[alive], self.which[at[alive]]
+            out.append((cell[k >= 0], k[k >= 0]))
+            if not len(cell):
+                break
+        return out
 
     def __call__(self, words: np.ndarray) -> list[list[int]]:
         """Ids (-code point - 1 where unknown) of equal-length words, a row of
         code points each."""
         n, length = words.shape
-        best = np.full((n, length + 1), -np.inf)
+        found = self._pieces(words)
+        if length > LONG:
+            return [self._long(w, found, i * length) for i, w in enumerate(words)]
+        table = np.full((len(found), n * length), -1, np.int32)
+        for size, (cell, k) in enumerate(found, 1):
+            table[size - 1, cell] = k
+        table = table.reshape(len(found), n, length)
+        best = np.full((n, length + 1), -np.inf, np.float32)
         best[:, 0] = 0
-        back, piece = np.zeros((n, length + 1), np.int64), np.zeros((n, length + 1), np.int64)
-        words = words.astype(np.uint64)
+        back, piece = np.zeros((n, length + 1), np.int32), np.zeros((n, length + 1), np.int64)
         for end in range(1, length + 1):
-            for size in range(1, min(end, self.longest) + 1):
-                h = self._hash(words[:, end - size : end])
-                at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-                hit = self.keys[at] == h
-                score = np.where(hit, best[:, end - size] + self.scores[at], -np.inf)
-                made = self.ids[at]
+            for size in range(min(end, max(len(found), 1)), 0, -1):
+                k = table[size - 1, :, end - size] if len(found) else np.full(n, -1)
+                before = best[:, end - size]
+                score = np.where(k >= 0, before + self.scores[k], np.float32(-np.inf))
+                made = self.ids[k]
                 if size == 1:
-                    made = np.where(hit, made, -words[:, end - 1].astype(np.int64) - 1)
-                    score = np.where(hit, score, best[:, end - 1] + self.unknown)
+                    made = np.where(k >= 0, made, -words[:, end - 1].astype(np.int64) - 1)
+                    score = np.where(k >= 0, score, before + self.unknown)
                 better = score > best[:, end]
                 best[better, end], back[better, end], piece[better, end] = score[better], end - size, made[better]
         out = []
@@ -84,9 +117,42 @@ class Viterbi:
             out.append(ids[::-1])
         return out
 
+    def _long(self, word: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]], first: int) -> list[int]:
+        """As above for one word, a visit for each piece found in it."""
+        starts, sizes, pieces = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for size, (cell, k) in enumerate(found, 1):
+            x = slice(*np.searchsorted(cell, [first, first + len(word)]))
+            starts.append(cell[x] - first)
+            sizes.append(np.full(len(starts[-1]), size))
+            pieces.append(k[x])
+        start, size, k = (np.concatenate(c) for c in (starts, sizes, pieces))
+        order = np.lexsort((-size, start + size))
+        edge = np.searchsorted((start + size)[order], np.arange(len(word) + 2)).tolist()
+        start, k, score = start[order].tolist(), k[order].tolist(), self.scores[k[order]]
+        best, back = np.zeros(len(word) + 1, np.float32), [(0, 0)] * (len(word) + 1)
+        for end in range(1, len(word) + 1):
+            top, choice, single = None, None, False
+            for e in range(edge[end], edge[end + 1]):
+                s = best[start[e]] + score[e]
+                single |= start[e] == end - 1
+                if top is None or s > top:
+                    top, choice = s, (start[e], int(self.ids[k[e]]))
+            if not single:
+                s = best[end - 1] + self.unknown
+                if top is None or s > top:
+                    top, choice = s, (end - 1, -int(word[end - 1]) - 1)
+            best[end], back[end] = top, choice
+        out, end = [], len(word)
+        while end:
+            end, made = back[end]
+            out.append(made)
+        return out[::-1]
+
 
 class Pieces:
-    def __init__(self, path: str):
+    """A model read from ``path``; ``how`` is "unigram" or "merges"."""
+
+    def __init__(self, path: str, how: str = "unigram"):
         from sentencepiece import sentencepiece_model_pb2
 
         m = sentencepiece_model_pb2.ModelProto()
@@ -122,7 +188,11 @@ class Pieces:
             raise ValueError(f"{path} has pieces across words")
         self.merge = self.viterbi = None
         score = np.array([p.score for p in m.pieces])
-        if m.trainer_spec.model_type == 2:
+        if m.trainer_spec.model_type not in (1, 2):
+            raise ValueError(f"{path} is neither a BPE nor a unigram model")
+        if how == "merges":
+            if m.trainer_spec.model_type != 2:
+                raise ValueError(f"{path} has no merges")
             as_symbol = lambda s: usable.get(s, self.n + ord(s) if len(s) == 1 else None)
             rank = {i: r for r, i in enumerate(sorted((usable[s] for s in longer), key=lambda i: (-score[i], i)))}
             rules = [(a, b, usable[s]) for s in longer for k in range(1, len(s)) if (a := as_symbol(s[:k])) is not None and (b := as_symbol(s[k:])) is not None]
@@ -130,11 +200,10 @@ class Pieces:
             made_by_rank = np.array(sorted(rank, key=rank.get), np.int32)
             self.merge = Merger(left, right, made, np.array([rank[i] for i in made.tolist()]), self.n + _PAST)
             self.merge.made = made_by_rank
-        elif m.trainer_spec.model_type == 1:
-            ids = np.array(list(usable.values()))
-            self.viterbi = Viterbi(list(usable), score[ids], ids, float(score[ids].min()) - 10)
-        else:
-            raise ValueError(f"{path} is neither a BPE nor a unigram model")
+            return
+        ids = np.array(list(usable.values()))
+        score = (score if m.trainer_spec.model_type == 1 else rank_scores(len(m.pieces)))[ids]
+        self.viterbi = Viterbi(list(usable), score, ids, float(score.min()) - 10)
 
     def _segments(self, segments: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and offsets of distinct segments."""
@@ -198,9 +267,14 @@ class Pieces:
         return [raw[a + (cut if raw[a : a + 1] == b" " else 0) : b] if b > a else b"" for a, b in zip(edge[:-1], edge[1:], strict=True)]
 
 
+def rank_scores(n: int) -> np.ndarray:
+    """Scores of a BPE model's pieces by their places."""
+    return -np.log(np.arange(n) + 1.0)
+
+
 @functools.lru_cache(maxsize=4)
-def load(path: str) -> Pieces:
-    return Pieces(path)
+def load(path: str, how: str = "unigram") -> Pieces:
+    return Pieces(path, how)
 
 
 def default_path() -> str:
@@ -209,15 +283,15 @@ def default_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """doc_id and ids of every row."""
+def encoded(docs: DataFrame, path: str | None = None, how: str = "unigram") -> DataFrame:
+    """doc_id and ids of every row, by the best sum of scores or by merges."""
     ship(docs.sparkSession)
     path = path or default_path()
     schema = pa.schema([("row_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches):
         for b in text_slices(batches, 1, 6 << 20):
-            ids, to = load(path).encode(b.column(1))
+            ids, to = load(path, how).encode(b.column(1))
             yield batch(schema, b.column(0), pa.ListArray.from_arrays(pa.array(to.astype(np.int32)), pa.array(ids, pa.int32())))
 
     docs = plain(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -243,14 +317,14 @@ def decoded(tokens: DataFrame, path: str | None = None) -> DataFrame:
 _OUT = pa.schema([("row_id", pa.int64()), ("n_ids", pa.int64()), ("ids_crc32", pa.int64()), ("n_bytes", pa.int64()), ("decoded_sha256", pa.string()), ("round_trip", pa.bool_())])
 
 
-def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
+def digests(docs: DataFrame, path: str | None = None, how: str = "unigram") -> DataFrame:
     """doc_id, n_ids, ids_crc32 (of little-endian unsigned 32-bit ids), n_bytes
     and decoded_sha256 of the text decoded again, round_trip: is it the text?"""
     ship(docs.sparkSession)
     path = path or default_path()
 
     def run(batches):
-        pieces = load(path)
+        pieces = load(path, how)
         for b in text_slices(batches, 1, 6 << 20):
             ids, to = pieces.encode(b.column(1))
             flat, edge = ids.astype("<u4"), to.tolist()

@@ -54,7 +54,7 @@ def test_pieces(spark):
     import sentencepiece
 
     library = sentencepiece.SentencePieceProcessor(model_file=sentence_pieces.default_path())
-    tokens = sentence_pieces.encoded(frame(spark, TEXTS))
+    tokens = sentence_pieces.encoded(frame(spark, TEXTS), how="merges")
     got = {r.doc_id: r.ids for r in tokens.collect()}
     assert got == {i: library.encode(t or "") for i, t in enumerate(TEXTS)}
     assert {r.doc_id: r.text for r in sentence_pieces.decoded(tokens).collect()} == {i: t or "" for i, t in enumerate(TEXTS)}
@@ -62,11 +62,33 @@ def test_pieces(spark):
     assert sentence_pieces.digests(frame(spark, [])).count() == 0
 
 
+def test_best_segmentations(spark):
+    """The query's model against the library's own Viterbi, which reads the same
+    pieces and scores as a unigram model; it adds up whole texts in single
+    precision, so texts are short."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    m = sentencepiece_model_pb2.ModelProto()
+    with open(sentence_pieces.default_path(), "rb") as f:
+        m.ParseFromString(f.read())
+    m.trainer_spec.model_type = 1
+    for p, score in zip(m.pieces, sentence_pieces.rank_scores(len(m.pieces)), strict=True):
+        p.score = score
+    library = sentencepiece.SentencePieceProcessor(model_proto=m.SerializeToString())
+    rnd = random.Random(12)
+    words = "the internationalisation of naïve Straße 12345 don't -- aaaa  日本語 😀 \u0301 Überraschung encyclopédie xyzzyq\t\n".split(" ")
+    texts = [None, ""] + words + [rnd.choice([" ", "  ", ""]).join(rnd.choices(words, k=3)) for _ in range(300)]
+    texts += ["".join(chr(rnd.choice([rnd.randint(32, 126), rnd.randint(160, 1200)])) for _ in range(rnd.randint(1, 12))) for _ in range(300)]
+    tokens = sentence_pieces.encoded(frame(spark, texts))
+    got = {r.doc_id: r.ids for r in tokens.collect()}
+    assert got == {i: library.encode(t or "") for i, t in enumerate(texts)}
+    assert {r.doc_id: r.text for r in sentence_pieces.decoded(tokens).collect()} == {i: t or "" for i, t in enumerate(texts)}
+
+
 def test_viterbi():
     import itertools
 
-    import numpy as np
-
     pieces, scores = ["a", "b", "ab", "abc", "bc", "c", "ca"], [-2.0, -2.1, -3.3, -5.0, -3.0, -1.9, -4.5]
     model = sentence_pieces.Viterbi(pieces, np.array(scores), np.arange(7), -20.0)
 
@@ -78,8 +100,16 @@ def test_viterbi():
 
     every = ["".join(w) for w in itertools.product("abcx", repeat=4)]
     for w, ids in zip(every, model(np.array([[ord(c) for c in w] for w in every])), strict=True):
-        assert math.isclose(sum(scores[i] if i >= 0 else -20.0 for i in ids), best(w))
+        assert math.isclose(sum(scores[i] if i >= 0 else -20.0 for i in ids), best(w), abs_tol=1e-5)
         assert "".join(pieces[i] if i >= 0 else chr(-i - 1) for i in ids) == w
+    rnd = random.Random(2)
+    long = np.array([[ord(c) for c in rnd.choices("abcx", k=sentence_pieces.LONG + 9)] for _ in range(3)])
+    as_long = model(long)
+    sentence_pieces.LONG, kept = 10**9, sentence_pieces.LONG
+    try:
+        assert model(long) == as_long
+    finally:
+        sentence_pieces.LONG = kept
 
 
 def naive_pii(text):
