@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MOST_HEAVY, batch, materialize, plain, ship, text_slices
+from .common import MOST_HEAVY, batch, materialize, only_members, plain, ship, text_slices
 
 #: Share of aligned pages, and least number of them, that make a template.
 CONSTANT = 0.9
@@ -61,6 +61,8 @@ VARIES = 0.1
 DRAWS = 15
 CHOSEN = (DRAWS // 2, 3 * DRAWS // 4)
 BROADCAST_BYTES = 32 << 20
+#: References, as (host, two numbers), that are broadcast.
+BROADCAST_ROWS = 100_000
 #: Pages of a host that one task takes, where wrappers aren't broadcast.
 SHARE_PAGES = 2000
 #: Cells of one alignment of two child lists in plain Python; larger ones go
@@ -300,14 +302,6 @@ def _label(n: Node) -> str:
     return n.tag
 
 
-def _shapes(tree: Tree, known: dict) -> list[int]:
-    """Per node a number that equal trees of tags share."""
-    out = [0] * len(tree.nodes)
-    for i in range(len(out) - 1, -1, -1):  # children come after their parents
-        out[i] = known.setdefault((_label(tree.nodes[i]), tuple(out[c] for c in tree.below[i])), len(known))
-    return out
-
-
 def _short_plan(x: list[int], y: list[int], weight: Callable[[int, int], int]) -> tuple[int, list[tuple[int, int]]]:
     """The greatest sum of an ordered alignment of two lists, and its places."""
     # rows of the best sums; choices are read back from them
@@ -333,10 +327,9 @@ def _short_plan(x: list[int], y: list[int], weight: Callable[[int, int], int]) -
     return table[-1][-1], plan
 
 
-def _long_plan(x: list[int], y: list[int], weight: Callable[[int, int], int]) -> tuple[int, list[tuple[int, int]]]:
+def _plan(x: list[int], y: list[int], weight: Callable[[int, int], int]) -> tuple[int, list[tuple[int, int]]]:
     """As ``_short_plan``.  Equal shapes at both ends pair up, which no other
-    alignment beats; of the rows between, every ``step``-th is kept and those
-    after it are computed again when the choices are read back."""
+    alignment beats; the rest goes through plain Python or numpy."""
     n, head, tail = min(len(x), len(y)), 0, 0
     while head < n and x[head] == y[head]:
         head += 1
@@ -347,6 +340,13 @@ def _long_plan(x: list[int], y: list[int], weight: Callable[[int, int], int]) ->
     x, y = x[head : len(x) - tail], y[head : len(y) - tail]
     if not x or not y:
         return total, plan
+    more, middle = (_long_plan if len(x) * len(y) > CELLS else _short_plan)(x, y, weight)
+    return total + more, plan + [(head + r, head + k) for r, k in middle]
+
+
+def _long_plan(x: list[int], y: list[int], weight: Callable[[int, int], int]) -> tuple[int, list[tuple[int, int]]]:
+    """As ``_short_plan``; every ``step``-th row is kept, and those after it are
+    computed again when the choices are read back."""
     (one, p), (two, q) = (np.unique(z, return_inverse=True) for z in (x, y))
     weights = np.array([[weight(i, j) for j in two.tolist()] for i in one.tolist()], np.int64)
 
@@ -360,7 +360,7 @@ def _long_plan(x: list[int], y: list[int], weight: Callable[[int, int], int]) ->
         if r % step == 0:
             kept.append(row)
         row = after(row, r)
-    total += int(row[-1])
+    total, plan = int(row[-1]), []
     r, k = len(x), len(y)
     while r and k:
         first = (r - 1) // step * step
@@ -375,51 +375,81 @@ def _long_plan(x: list[int], y: list[int], weight: Callable[[int, int], int]) ->
                 k -= 1
             else:
                 r, k = r - 1, k - 1
-                plan.append((head + r, head + k))
+                plan.append((r, k))
     return total, plan
 
 
-def match(a: Tree, b: Tree) -> list[tuple[int, int]]:
-    """Simple tree matching: the pairs of nodes of a largest top-down, ordered
-    alignment of equal tags.  A pair's alignment follows from its two shapes."""
-    known: dict = {}
-    mine, other = _shapes(a, known), _shapes(b, known)
-    left, right = ({s: i for i, s in enumerate(z)} for z in (mine, other))  # a node of each shape
-    sizes: dict[tuple[int, int], int] = {}
-    plans: dict[tuple[int, int], list[tuple[int, int]]] = {}
-
-    def weight(s: int, t: int) -> int:
-        return sizes.get((s, t), 0)
-
-    todo = [(mine[0], other[0])]
-    while todo:
-        s, t = todo[-1]
-        if (s, t) in sizes:
+#: Results of alignments that a task keeps for a reference.
+KEPT = 200_000
+
+
+class Matcher:
+    """Simple tree matching with one tree.  A pair's alignment follows from its
+    two shapes, so pages that share shapes share the work."""
+
+    def __init__(self, tree: Tree):
+        self.tree = tree
+        self._begin()
+
+    def _begin(self) -> None:
+        self.known: dict = {}  # a tree of tags -> its shape's number
+        self.of: list[tuple[str, tuple[int, ...]]] = []
+        self.sizes: dict[tuple[int, int], int] = {}
+        self.plans: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        self.mine = self._shapes(self.tree)
+
+    def _shapes(self, tree: Tree) -> list[int]:
+        """Per node a number that equal trees of tags share."""
+        out = [0] * len(tree.nodes)
+        for i in range(len(out) - 1, -1, -1):  # children come after their parents
+            shape = (_label(tree.nodes[i]), tuple(out[c] for c in tree.below[i]))
+            out[i] = self.known.setdefault(shape, len(self.of))
+            if out[i] == len(self.of):
+                self.of.append(shape)
+        return out
+
+    def __call__(self, other: Tree) -> list[tuple[int, int]]:
+        """The pairs of nodes of a largest top-down, ordered alignment of equal
+        tags."""
+        if len(self.sizes) + len(self.of) > KEPT + 2 * len(self.mine):
+            self._begin()
+        mine, theirs = self.mine, self._shapes(other)
+        of, sizes, plans = self.of, self.sizes, self.plans
+
+        def weight(s: int, t: int) -> int:
+            return sizes.get((s, t), 0)
+
+        todo = [(mine[0], theirs[0])]
+        while todo:
+            s, t = todo[-1]
+            if (s, t) in sizes:
+                todo.pop()
+                continue
+            x, y = of[s][1], of[t][1]
+            by_label: dict[str, list[int]] = {}
+            for q in dict.fromkeys(y):
+                by_label.setdefault(of[q][0], []).append(q)
+            before = len(todo)
+            for p in dict.fromkeys(x):
+                todo.extend((p, q) for q in by_label.get(of[p][0], ()) if (p, q) not in sizes)
+            if len(todo) > before:
+                continue
             todo.pop()
-            continue
-        i, j = left[s], right[t]
-        x, y = [mine[c] for c in a.below[i]], [other[c] for c in b.below[j]]
-        by_label: dict[str, list[int]] = {}
-        for q in dict.fromkeys(y):
-            by_label.setdefault(_label(b.nodes[right[q]]), []).append(q)
-        before = len(todo)
-        for p in dict.fromkeys(x):
-            todo.extend((p, q) for q in by_label.get(_label(a.nodes[left[p]]), ()) if (p, q) not in sizes)
-        if len(todo) > before:
-            continue
-        todo.pop()
-        sizes[s, t] = 1
-        if x and y:
-            total, plans[s, t] = (_long_plan if len(x) * len(y) > CELLS else _short_plan)(x, y, weight)
-            sizes[s, t] += total
+            sizes[s, t] = 1
+            if x and y:
+                total, plans[s, t] = _plan(x, y, weight)
+                sizes[s, t] += total
+        out, stack = [], [(0, 0)]
+        while stack:
+            i, j = stack.pop()
+            out.append((i, j))
+            x, y = self.tree.below[i], other.below[j]
+            stack.extend((x[r], y[k]) for r, k in plans.get((mine[i], theirs[j]), ()))
+        return out
 
-    out, stack = [], [(0, 0)]
-    while stack:
-        i, j = stack.pop()
-        out.append((i, j))
-        x, y = a.below[i], b.below[j]
-        stack.extend((x[r], y[k]) for r, k in plans.get((mine[i], other[j]), ()))
-    return out
+
+def match(a: Tree, b: Tree) -> list[tuple[int, int]]:
+    return Matcher(a)(b)
 
 
 def _marked(n: Node) -> bool:
@@ -509,6 +539,7 @@ class Wrapper:
     def __init__(self, page: str, fixed: list[int], region: int):
         self.page, self.fixed, self.region = page, frozenset(fixed), region
         self.tree = Tree(page)
+        self.match = Matcher(self.tree)
 
 
 def induce(tree: Tree, counts: dict[int, tuple[int, int, int]]) -> tuple[list[int], int]:
@@ -550,7 +581,7 @@ def apply(wrappers: list[Wrapper], page: str, marks: bool = True) -> str:
     for w in wrappers:
         if not w.fixed and w.region < 0:
             continue
-        pairs = match(w.tree, tree)
+        pairs = w.match(tree)
         template |= {j for i, j in pairs if i in w.fixed and w.tree.text(i) == tree.text(j)}
         region = next((j for i, j in pairs if i == w.region), None)
         if regions is None and region is not None:
@@ -627,7 +658,7 @@ def _align(sent):
                     if page == w.page:
                         continue
                     partner = [-1] * len(tree.nodes)
-                    for i, j in match(w.tree, tree):
+                    for i, j in w.match(tree):
                         partner[j] = i
                         c = found.setdefault((host, which, i), [0, 0, 0])
                         c[0] += 1
@@ -700,7 +731,11 @@ def _references(pages: DataFrame) -> DataFrame:
     pages = pages.withColumn("own", F.xxhash64("html"))
     one = [F.min(F.struct(F.xxhash64("own", F.lit(k)).alias("hash"), F.length("html").alias("size"), "own")) for k in range(DRAWS)]
     drawn = pages.groupBy("host").agg(F.sort_array(F.transform(F.array(*one), lambda r: F.struct(r["size"].alias("size"), r["own"].alias("own")))).alias("drawn"))
-    chosen = drawn.select("host", F.posexplode(F.array_distinct(F.array(*[F.col("drawn")[k]["own"] for k in CHOSEN]))).alias("which", "own"))
+    chosen = materialize(drawn.select("host", F.posexplode(F.array_distinct(F.array(*[F.col("drawn")[k]["own"] for k in CHOSEN]))).alias("which", "own")), "chosen")
+    if chosen.count() <= BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
+    else:  # no html but the references' goes through the shuffle
+        pages = only_members(pages, "own", chosen.select("own"))
     found = pages.join(chosen, ["host", "own"]).groupBy("host", "which").agg(F.min("html").alias("html"))
     return found.select("host", "which", "html", F.array().cast("array<int>").alias("fixed"), F.lit(-1).alias("region"))
 

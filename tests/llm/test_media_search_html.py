@@ -219,11 +219,15 @@ def test_wrapper(spark):
     df = spark.createDataFrame(pages, "page_id long, url string, html string, host string").repartition(4)
     got = {r.page_id: (r.text, r.n_chars) for r in wrapper_induction.main_text(df).collect()}
     assert got == {i: (t, len(t)) for i, t in want.items()}
-    wrapper_induction.BROADCAST_BYTES, kept = -1, wrapper_induction.BROADCAST_BYTES
+    names = ("BROADCAST_BYTES", "BROADCAST_ROWS", "SHARE_PAGES", "KEPT")
+    kept = [getattr(wrapper_induction, n) for n in names]
     try:
+        for n, v in zip(names, (-1, -1, 7, 0), strict=True):
+            setattr(wrapper_induction, n, v)
         assert {r.page_id: r.text for r in wrapper_induction.main_text(df).collect()} == want
     finally:
-        wrapper_induction.BROADCAST_BYTES = kept
+        for n, v in zip(names, kept, strict=True):
+            setattr(wrapper_induction, n, v)
     assert wrapper_induction.main_text(df.limit(0)).count() == 0
 
 
