@@ -83,39 +83,54 @@ class Viterbi:
                 break
         return out
 
-    def __call__(self, words: np.ndarray) -> list[list[int]]:
-        """Ids (-code point - 1 where unknown) of equal-length words, a row of
-        code points each."""
+    def __call__(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids (-code point - 1 where unknown) of equal-length words, a row
+        of code points each, and the number of each word's."""
         n, length = words.shape
         found = self._pieces(words)
         if length > LONG:
-            return [self._long(w, found, i * length) for i, w in enumerate(words)]
-        table = np.full((len(found), n * length), -1, np.int32)
-        for size, (cell, k) in enumerate(found, 1):
-            table[size - 1, cell] = k
-        table = table.reshape(len(found), n, length)
-        best = np.full((n, length + 1), -np.inf, np.float32)
-        best[:, 0] = 0
-        back, piece = np.zeros((n, length + 1), np.int32), np.zeros((n, length + 1), np.int64)
+            runs = [self._long(w, found, i * length) for i, w in enumerate(words)]
+            return np.array([i for r in runs for i in r], np.int64), np.array([len(r) for r in runs], np.int64)
+        lone = np.ones(n * length, bool)
+        lone[found[0][0]] = False
+        by_start = [self._by_start(cell, k, length) for cell, k in found]
+        unknown = self._by_start(np.flatnonzero(lone), None, length)
+        best = np.full((length + 1, n), -np.inf, np.float32)
+        best[0] = 0
+        back, piece = np.zeros((length + 1, n), np.int32), np.zeros((length + 1, n), np.int64)
         for end in range(1, length + 1):
-            for size in range(min(end, max(len(found), 1)), 0, -1):
-                k = table[size - 1, :, end - size] if len(found) else np.full(n, -1)
-                before = best[:, end - size]
-                score = np.where(k >= 0, before + self.scores[k], np.float32(-np.inf))
-                made = self.ids[k]
-                if size == 1:
-                    made = np.where(k >= 0, made, -words[:, end - 1].astype(np.int64) - 1)
-                    score = np.where(k >= 0, score, before + self.unknown)
-                better = score > best[:, end]
-                best[better, end], back[better, end], piece[better, end] = score[better], end - size, made[better]
-        out = []
-        for i in range(n):
-            end, ids = length, []
-            while end:
-                ids.append(int(piece[i, end]))
-                end = int(back[i, end])
-            out.append(ids[::-1])
-        return out
+            top = best[end]
+            for size in range(min(end, len(found)), 0, -1):
+                word, k, edge = by_start[size - 1]
+                x = slice(edge[end - size], edge[end - size + 1])
+                score = best[end - size, word[x]] + self.scores[k[x]]
+                better = score > top[word[x]]
+                to = word[x][better]
+                top[to], back[end, to], piece[end, to] = score[better], end - size, self.ids[k[x][better]]
+            word, _, edge = unknown
+            to = word[edge[end - 1] : edge[end]]
+            to = to[best[end - 1, to] + self.unknown > top[to]]
+            top[to], back[end, to], piece[end, to] = best[end - 1, to] + self.unknown, end - 1, -words[to, end - 1].astype(np.int64) - 1
+        # all words walk back from their ends together
+        row, end, steps = np.arange(n), np.full(n, length), []
+        count = np.zeros(n, np.int64)
+        while len(row):
+            made = np.zeros(n, np.int64)
+            made[row] = piece[end, row]
+            steps.append(made)
+            count[row] += 1
+            end = back[end, row]
+            row, end = row[end > 0], end[end > 0]
+        last = np.repeat(np.cumsum(count), count) - 1 - np.arange(count.sum())  # steps still to come
+        return np.array(steps)[last, np.repeat(np.arange(n), count)] if steps else np.zeros(0, np.int64), count
+
+    @staticmethod
+    def _by_start(cell: np.ndarray, k: np.ndarray | None, length: int) -> tuple[np.ndarray, np.ndarray | None, list[int]]:
+        """Words and pieces of cells in the order of their starts."""
+        start = cell % length
+        order = np.argsort(start, kind="stable")
+        edge = np.searchsorted(start[order], np.arange(length + 1)).tolist()
+        return cell[order] // length, k if k is None else k[order], edge
 
     def _long(self, word: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]], first: int) -> list[int]:
         """As above for one word, a visit for each piece found in it."""
@@ -216,15 +231,19 @@ class Pieces:
             ids, to = self.merge(self.symbol[points], offs)
         else:
             size = np.diff(offs)
-            runs: list = [None] * len(size)
+            rows, parts, counts = [], [], []
             for length in np.unique(size):
-                rows = np.flatnonzero(size == length)
-                for a in range(0, len(rows), max(1, 500_000 // int(length))):
-                    some = rows[a : a + max(1, 500_000 // int(length))]
-                    for r, got in zip(some.tolist(), self.viterbi(points[offs[some][:, None] + np.arange(length)]), strict=True):
-                        runs[r] = [i if i >= 0 else self.n - i - 1 for i in got]
-            ids = np.array([i for r in runs for i in r], np.int32)
-            to = np.concatenate([[0], np.cumsum([len(r) for r in runs])])
+                same = np.flatnonzero(size == length)
+                for a in range(0, len(same), max(1, 500_000 // int(length))):
+                    some = same[a : a + max(1, 500_000 // int(length))]
+                    part, count = self.viterbi(points[offs[some][:, None] + np.arange(length)])
+                    rows.append(some)
+                    parts.append(np.where(part >= 0, part, self.n - part - 1).astype(np.int32))
+                    counts.append(count)
+            rows, counts = np.concatenate(rows), np.concatenate(counts)
+            place = np.empty(len(size), np.int64)
+            place[rows] = np.arange(len(rows))
+            ids, to = gather(np.concatenate(parts), np.concatenate([[0], np.cumsum(counts)]), place)
         odd = np.flatnonzero(ids >= self.n)
         if not len(odd):
             return ids, to
