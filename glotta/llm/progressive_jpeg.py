@@ -11,7 +11,8 @@ then the lowest bits.  A comment segment holds the payload's length.
 decoded with numpy: a table over every bit position's next 16 bits gives symbol
 and step, and a walk over the steps picks the true positions; a scan with one
 fixed step, or one whose coefficients are all refined, needs no walk.  Other
-streams take a general path, bit by bit.  The inverse transform is one matrix
+streams take a general path, bit by bit.  DC scans may interleave components, as
+most encoders write them, and scans may hold restart markers.  The inverse transform is one matrix
 product; chroma is upsampled by repetition; the result is an RGB tensor of full
 resolution.
 
@@ -200,24 +201,29 @@ def _extended(extra: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.where(extra < (1 << size >> 1), extra - (1 << size) + 1, extra)
 
 
-def _dc_first(data: np.ndarray, code: Code, n: int, low: int) -> np.ndarray:
-    """n DC values: table every bit position, walk the steps, add up."""
+def _dc_steps(data: np.ndarray, codes: list[Code], n: int) -> np.ndarray:
+    """n DC differences, whose codes take turns: table every bit position for
+    each code, and walk the steps."""
     padded = np.concatenate([data, np.full(4, 255, np.uint8)]).astype(np.uint32)
     word = padded[:-3] << 24 | padded[1:-2] << 16 | padded[2:-1] << 8 | padded[3:]
     peek = (word[:, None] >> (16 - np.arange(8, dtype=np.uint32))[None, :] & 0xFFFF).ravel()
-    size = code.symbol[peek].astype(np.int64)
-    step = (code.length[peek] + size).tolist()
-    at, where = 0, []
-    for _ in range(n):
+    steps = {id(c): (c.length[peek] + c.symbol[peek].astype(np.int64)).tolist() for c in codes}
+    turn = [steps[id(c)] for c in codes]
+    at, end, where = 0, len(data) * 8, []
+    for i in range(n):
         where.append(at)
-        if at >= len(data) * 8 or not step[at]:
+        step = turn[i % len(turn)]
+        if at >= end or not step[at]:
             raise ValueError("the scan ends early or holds an unknown code")
         at += step[at]
-    pos = np.array(where)
-    s, skip = size[pos], code.length[peek[pos]].astype(np.int64)
-    p = pos + skip
-    wide = (word[np.minimum(p >> 3, len(word) - 1)].astype(np.int64) << (p & 7) & 0xFFFFFFFF) >> (32 - s)
-    return np.cumsum(_extended(wide, s)) << low
+    pos, out = np.array(where, np.int64), np.zeros(n, np.int64)
+    for k, code in enumerate(codes):
+        p = pos[k :: len(codes)]
+        size = code.symbol[peek[p]].astype(np.int64)
+        p = p + code.length[peek[p]]
+        wide = (word[np.minimum(p >> 3, len(word) - 1)].astype(np.int64) << (p & 7) & 0xFFFFFFFF) >> (32 - size)
+        out[k :: len(codes)] = _extended(wide, size)
+    return out
 
 
 def _ac_first(bits: Bits, code: Code, block: np.ndarray, first: int, last: int, low: int) -> None:
@@ -300,6 +306,7 @@ class Image:
     def __init__(self, raw: bytes):
         self.comment = b""
         codes: dict[int, Code] = {}
+        self.restart, self.ycc = 0, True
         self.tables: dict[int, np.ndarray] = {}
         at = 2
         if raw[:2] != b"\xff\xd8":
@@ -307,6 +314,8 @@ class Image:
         while True:
             if raw[at] != 0xFF:
                 raise ValueError("a marker is missing")
+            while raw[at + 1] == 0xFF:  # fill bytes
+                at += 1
             marker = raw[at + 1]
             if marker == 0xD9:
                 return
@@ -327,21 +336,27 @@ class Image:
                     body = body[17 + n :]
             elif marker == 0xC2:
                 self._frame(body)
-            elif marker in (0xC0, 0xC1, *range(0xC3, 0xC4), *range(0xC5, 0xC8), *range(0xC9, 0xD0), 0xDD):
-                raise ValueError("only progressive frames without restarts are read")
+            elif marker in (0xC0, 0xC1, *range(0xC3, 0xC4), *range(0xC5, 0xC8), *range(0xC9, 0xD0)):
+                raise ValueError("only progressive frames are read")
+            elif marker == 0xDD:
+                self.restart = body[0] << 8 | body[1]
+            elif marker == 0xEE and body.startswith(b"Adobe") and len(body) > 11:
+                self.ycc = body[11] > 0
             elif marker == 0xDA:
-                end = at
+                parts, end = [], at
                 while True:
                     end = raw.find(b"\xff", end)
-                    if end < 0 or raw[end + 1]:
+                    if end < 0 or end + 1 >= len(raw):
+                        raise ValueError("the last scan has no end")
+                    if 0xD0 <= raw[end + 1] <= 0xD7:  # a restart
+                        parts.append(raw[at:end])
+                        at = end + 2
+                    elif raw[end + 1]:
                         break
                     end += 2
-                if end < 0:
-                    raise ValueError("the last scan has no end")
-                data = raw[at:end]
-                if b"\xff" in data:
-                    data = data.replace(b"\xff\x00", b"\xff")
-                self._scan(body, np.frombuffer(data, np.uint8), codes)
+                parts.append(raw[at:end])
+                data = [np.frombuffer(p.replace(b"\xff\x00", b"\xff"), np.uint8) for p in parts]
+                self._scan(body, data, codes)
                 at = end
 
     def _frame(self, body: bytes) -> None:
@@ -350,31 +365,66 @@ class Image:
         spec = [body[6 + 3 * i : 9 + 3 * i] for i in range(n)]
         self.most = max(s[1] >> 4 for s in spec), max(s[1] & 15 for s in spec)
         self.units = -(-self.width // (8 * self.most[0])), -(-self.height // (8 * self.most[1]))
+        if n not in (1, 3):
+            raise ValueError("only images of one or three components are read")
         for c, hv, q in spec:
             h, v = hv >> 4, hv & 15
             self.parts[c] = (h, v, q, np.zeros((self.units[0] * h * self.units[1] * v, 64), np.int16))
 
-    def _scan(self, body: bytes, data: np.ndarray, codes: dict[int, Code]) -> None:
-        if body[0] != 1:
-            raise ValueError("only scans of one component are read")
-        c, tables = body[1], body[2]
-        first, last, high, low = body[3], body[4], body[5] >> 4, body[5] & 15
+    def _scan(self, body: bytes, data: list[np.ndarray], codes: dict[int, Code]) -> None:
+        """``data`` has a part for each restart interval."""
+        n = body[0]
+        spec = [(body[1 + 2 * i], body[2 + 2 * i]) for i in range(n)]
+        first, last, bits = body[1 + 2 * n : 4 + 2 * n]
+        high, low = bits >> 4, bits & 15
+        if n > 1:
+            if first or last:
+                raise ValueError("only DC scans interleave components")
+            self._interleaved(spec, high, low, data, codes)
+            return
+        c, tables = spec[0]
         h, v, _, block = self.parts[c]
         # a scan of one component has only the blocks that the image needs
         wide, tall = -(-(-(-self.width * h // self.most[0])) // 8), -(-(-(-self.height * v // self.most[1])) // 8)
         all_ = wide * tall == len(block)
         some = block if all_ else block.reshape(self.units[1] * v, self.units[0] * h, 64)[:tall, :wide].reshape(-1, 64)
-        if first == 0 and high == 0:
-            some[:, 0] = _dc_first(data, codes[tables >> 4], len(some), low)
-        elif first == 0:
-            some[:, 0] |= np.unpackbits(data)[: len(some)].astype(np.int16) << low
-        elif high == 0:
-            _ac_first(Bits(data), codes[0x10 | tables & 15], some, first, last, low)
-        else:
-            _ac_refine(Bits(data), codes[0x10 | tables & 15], some, first, last, low)
+        step = self.restart or len(some)
+        for i, part in enumerate(data):
+            blocks = some[i * step : (i + 1) * step]
+            if first == 0 and high == 0:
+                blocks[:, 0] = np.cumsum(_dc_steps(part, [codes[tables >> 4]], len(blocks))) << low
+            elif first == 0:
+                blocks[:, 0] |= np.unpackbits(part)[: len(blocks)].astype(np.int16) << low
+            elif high == 0:
+                _ac_first(Bits(part), codes[0x10 | tables & 15], blocks, first, last, low)
+            else:
+                _ac_refine(Bits(part), codes[0x10 | tables & 15], blocks, first, last, low)
         if not all_:
             block.reshape(self.units[1] * v, self.units[0] * h, 64)[:tall, :wide] = some.reshape(tall, wide, 64)
 
+    def _interleaved(self, spec: list[tuple[int, int]], high: int, low: int, data: list[np.ndarray], codes: dict[int, Code]) -> None:
+        """DC values of several components, unit by unit."""
+        turns, where = [], []
+        for c, tables in spec:
+            h, v, _, block = self.parts[c]
+            place = np.arange(len(block)).reshape(self.units[1], v, self.units[0], h).transpose(0, 2, 1, 3).reshape(-1, h * v)
+            where.append(place)
+            turns += [codes.get(tables >> 4)] * (h * v)
+        units = self.units[0] * self.units[1]
+        step = self.restart or units
+        for i, part in enumerate(data):
+            some = slice(i * step, min(units, (i + 1) * step))
+            n = (some.stop - some.start) * len(turns)
+            values = (_dc_steps(part, turns, n) if high == 0 else np.unpackbits(part)[:n].astype(np.int64)).reshape(-1, len(turns))
+            at = 0
+            for (c, _), place in zip(spec, where, strict=True):
+                block, mine = self.parts[c][3], values[:, at : at + place.shape[1]]
+                at += place.shape[1]
+                if high == 0:
+                    block[place[some].ravel(), 0] = np.cumsum(mine.ravel()) << low
+                else:
+                    block[place[some].ravel(), 0] |= (mine.ravel() << low).astype(np.int16)
+
     def payload(self) -> bytes:
         if not self.comment.startswith(_MARK):
             raise ValueError("no payload")
@@ -395,6 +445,9 @@ class Image:
         y = planes[0] + np.float32(128.5)
         if len(planes) == 1:
             out[:] = np.clip(y, 0, 255)[:, :, None]
+        elif not self.ycc:
+            for i, p in enumerate(planes):
+                out[:, :, i] = np.clip(p + np.float32(128.5), 0, 255)
         else:
             cb, cr = planes[1:]
             for i, p in enumerate((y + np.float32(1.402) * cr, y - np.float32(0.344136) * cb - np.float32(0.714136) * cr, y + np.float32(1.772) * cb)):

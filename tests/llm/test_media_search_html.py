@@ -121,6 +121,80 @@ def test_sparse_scans():
     assert (got[:, 1:] == blocks[:, 1:]).all()
 
 
+#: A 37 x 29 image as a usual encoder writes it: 4:2:0, DC scans that interleave
+#: all components, AC scans by band and bit.
+USUAL = """
+/9j/4AAQSkZJRgABAgAAAQABAAD/2wBDAAYEBQYFBAYGBQYHBwYIChAKCgkJChQODwwQFxQYGBcUFhYaHSUfGhsjHBYWICwgIyYnKSopGR8tMC0oMCUoKSj/2wBDAQcHBwoIChMKChMoGhYaKCgoKC
+goKCgoKCgoKCgoKCgoKCgoKCgoKCgoKCgoKCgoKCgoKCgoKCgoKCgoKCgoKCj/wgARCAAdACUDASIAAhEBAxEB/8QAGgAAAgMBAQAAAAAAAAAAAAAAAwQAAQYCBf/EABcBAAMBAAAAAAAAAAAAAAAA
+AAMEBQH/2gAMAwEAAhADEAAAATseelHV0p8a3tnXReGDmaCdtC2eT7Vfi8KT/8QAGxABAQACAwEAAAAAAAAAAAAAAQACAwQSMxP/2gAIAQEAAQUCGGGGGG2+lxfcYZw7PxtWnrmMRERf/8QAHhEAAg
+ICAgMAAAAAAAAAAAAAAQIAEQMEBRITFBX/2gAIAQMBAT8B4/T9h+t1PmeNS3aBJqu+E2hi7GVxRMCz/8QAGhEAAwEAAwAAAAAAAAAAAAAAAAETAgQRMf/aAAgBAgEBPwGfQsokRT9Fx8kz/8QAGxAA
+AAcBAAAAAAAAAAAAAAAAAAECEBESIDL/2gAIAQEABj8C0bJeZHQJVt//xAAfEAABBAAHAAAAAAAAAAAAAAAAARARISAxQWGBseH/2gAIAQEAAT8hwf8AS3divP0UtyNE7CT8GdiNIKRYsWLFH//aAA
+wDAQACAAMAAAAQ6Xw3GO//xAAeEQABAwQDAAAAAAAAAAAAAAABABEhMUFRgWFx0f/aAAgBAwEBPxBypA9HuBkZRGQsCaY2oFCcSGsY30jx2DwPFCv/xAAXEQEBAQEAAAAAAAAAAAAAAAABABEQ/9oA
+CAECAQE/EEDWQhnCHIdELN//xAAfEAACAQMFAQAAAAAAAAAAAAAAAREhQWEQMVFx8LH/2gAIAQEAAT8Q2K6GYzaieX18WjyvKzkGwLtEpVbsVw+5EXp2ZlNbzk5A8aNoNoNg/9k=
+"""
+#: What that encoder's own decoder shows at every 7th row and 9th column.
+SHOWN = [[[57, 200, 48], [100, 198, 59], [144, 195, 76], [168, 203, 85], [202, 200, 117]], [[66, 174, 52], [97, 180, 74], [164, 162, 88], [202, 162, 101], [201, 182, 126]], [[68, 154, 65], [130, 141, 73], [185, 66, 32], [214, 55, 36], [198, 160, 137]], [[65, 134, 79], [87, 144, 99], [129, 138, 111], [175, 137, 128], [200, 140, 152]], [[69, 113, 96], [102, 114, 112], [131, 119, 129], [165, 120, 143], [200, 118, 164]]]
+
+
+def test_usual_file():
+    import base64
+
+    image = progressive_jpeg.Image(base64.b64decode(USUAL))
+    rgb = image.rgb()
+    assert rgb.shape == (29, 37, 3) and [p[:2] for p in image.parts.values()] == [(2, 2), (1, 1), (1, 1)]
+    got, want = rgb[::7, ::9].astype(float), np.array(SHOWN, float)
+    brightness = np.array([0.299, 0.587, 0.114])
+    assert np.abs(got @ brightness - want @ brightness).max() < 2
+    # the other decoder smooths colours between samples, which moves them little inside an even area
+    assert np.abs(got - want)[0, 0].max() < 8 and np.abs(got - want).mean() < 8
+
+
+def test_restarts():
+    """Restart intervals begin anew, in scans of one component and of several."""
+    p = progressive_jpeg
+    frame = lambda parts: p._segment(0xC2, bytes([8, 0, 16, 0, 32, len(parts)]) + bytes(x for c in parts for x in c))
+    head = b"\xff\xd8" + p._segment(0xDB, b"\x00" + b"\x01" * 64) + p._TABLES + p._segment(0xDD, bytes([0, 2]))
+
+    def dc(values):
+        bits, last = Writer(), 0
+        for v in values:
+            d, last = v - last, v
+            n = abs(d).bit_length()
+            bits.put(n, 4)
+            bits.put(d if d > 0 else d + (1 << n) - 1, n) if n else None
+        return bits.data().tobytes().replace(b"\xff", b"\xff\x00")
+
+    values = [5, -3, 100, 100, 7, 0, -90, 1]
+    parts = [dc(values[i : i + 2]) for i in range(0, 8, 2)]
+    data = b"".join(x + bytes([255, 0xD0 + i]) for i, x in enumerate(parts[:-1])) + parts[-1]
+    one = p.Image(head + frame([(1, 0x11, 0)]) + p._segment(0xDA, bytes([1, 1, 0, 0, 0, 0])) + data + b"\xff\xff\xd9")
+    assert one.parts[1][3][:, 0].tolist() == values
+    # two units of four and two times one block each; a restart between them needs an interval of one
+    head = head.replace(p._segment(0xDD, bytes([0, 2])), p._segment(0xDD, bytes([0, 1])))
+    y, cb, cr = [1, 2, 30, 4, -5, 6, 7, 8], [9, -9], [50, 51]
+    shown = []
+    for u in range(2):
+        bits = Writer()
+        for group in (y[4 * u : 4 * u + 4], cb[u : u + 1], cr[u : u + 1]):
+            last = 0
+            for v in group:
+                d, last = v - last, v
+                n = abs(d).bit_length()
+                bits.put(n, 4)
+                bits.put(d if d > 0 else d + (1 << n) - 1, n)
+        shown.append(bits.data().tobytes())
+    three = p.Image(head + frame([(1, 0x22, 0), (2, 0x11, 0), (3, 0x11, 0)]) + p._segment(0xDA, bytes([3, 1, 0, 2, 0, 3, 0, 0, 0, 0])) + shown[0] + b"\xff\xd0" + shown[1] + b"\xff\xd9")
+    assert three.parts[1][3][:, 0].tolist() == [1, 2, -5, 6, 30, 4, 7, 8]
+    assert (three.parts[2][3][:, 0].tolist(), three.parts[3][3][:, 0].tolist()) == (cb, cr)
+
+
+def test_jpeg_of_megabytes(spark):
+    text = "größer 123 " * 200_000
+    r = progressive_jpeg.digests(progressive_jpeg.store(text_frame(spark, [text]))).first()
+    raw = text.encode() + b"\xff" * (-len(text.encode()) % 576)
+    assert r.payload_sha256 == hashlib.sha256(raw).hexdigest() and len(r.feature) > 10
+
+
 VECTORS = "vec_id long, embedding array<float>, block int, part string"
 
 
