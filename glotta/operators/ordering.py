@@ -1,7 +1,8 @@
 """Row numbers, order by hash, and splits, without one global sort task.
 
 Rows fall into buckets in key order; bucket sizes (a bounded table) give each
-bucket its first number, and a window numbers rows within their bucket.
+bucket its first number, and a window numbers rows within their bucket.  Up to
+``FEW`` rows are one bucket.
 """
 
 from __future__ import annotations
@@ -9,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bound on the buckets that numbering uses, and so on the table it broadcasts.
-BUCKETS = 4096
+#: Rows that one task numbers by itself.
+FEW = 100_000
 #: Numeric keys are cut at so many quantiles, at least and at most, with about
 #: ROWS rows between two of them.
 CUTS, MOST_CUTS = 64, 1024
@@ -29,13 +30,17 @@ def _numbered(df: DataFrame, bucket: Column, order: list[Column], name: str, by:
 
 def number_rows(df: DataFrame, key: str, name: str = "n", ties: list[str] | None = None) -> DataFrame:
     """``name``: 1, 2, ... by a numeric ``key``, then ``ties``.  Nulls first."""
+    order = [F.col(c) for c in [key, *(ties or [])]]
+    n = df.count()
+    if n <= FEW:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
     shares = F.array(*[F.lit(i / MOST_CUTS) for i in range(1, MOST_CUTS)])
-    n, cuts = df.select(F.count("*"), F.percentile_approx(key, shares, 10 * MOST_CUTS)).first()
+    cuts = df.select(F.percentile_approx(key, shares, 10 * MOST_CUTS)).first()[0]
     step = MOST_CUTS // min(MOST_CUTS, max(CUTS, n // ROWS))
     cuts = (cuts or [])[step - 1 :: step]
     bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
     bucket = F.coalesce(F.size(F.filter(bounds, lambda b: b < F.col(key))), F.lit(-1))
-    return _numbered(df, bucket, [F.col(c) for c in [key, *(ties or [])]], name, [])
+    return _numbered(df, bucket, order, name, [])
 
 
 def shuffle_key(id_: Column, seed: int = 42) -> Column:

@@ -59,16 +59,14 @@ def pcm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signals(spark, sf_dir).select("vec_id", F.transform("x", lambda v: F.round(v * 20000).cast("int")).alias("x"))
 
 
-def utterance_pairs(spark: SparkSession, sf_dir: str, most: int | None = 40) -> DataFrame:
-    """A turn and the next one as reference and hypothesis: ``most`` words of
-    each, as the SQL reads, or all."""
+def utterance_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A turn and the next one as reference and hypothesis."""
     from ..functions.text import words
 
     c = table(spark, sf_dir, "conversations")
-    some = (lambda w: F.slice(w, 1, most)) if most else (lambda w: w)
-    head = lambda t: F.array_join(some(words(F.lower(t))), " ")
+    text = F.array_join(words(F.lower("text")), " ")
     w = Window.partitionBy("conv_id").orderBy("turn")
-    pairs = c.select("conv_id", "turn", head(F.col("text")).alias("ref"), F.lead(head(F.col("text"))).over(w).alias("hyp"), (F.lead("turn").over(w) - F.col("turn")).alias("step"))
+    pairs = c.select("conv_id", "turn", text.alias("ref"), F.lead(text).over(w).alias("hyp"), (F.lead("turn").over(w) - F.col("turn")).alias("step"))
     return pairs.where("step = 1").drop("step")
 
 
@@ -95,10 +93,14 @@ SQL = {
     "clips_keyed": "clips_keyed AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos, round(value / 10.0, 3) AS dur FROM events)",
     "signals": "signals AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings)",
     "pcm": "pcm AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda v: round(v * 20000)::INT) AS x FROM embeddings)",
-    "utterances": rf"""heads AS (SELECT conv_id, turn, regexp_extract_all(lower(text), '\S+')[1:40] AS w FROM conversations),
+    # word edits row by row: each takes the row above and the costs of one word
+    "utterances": r"""heads AS (SELECT conv_id, turn, regexp_extract_all(lower(text), '\S+') AS w FROM conversations),
 pairs AS (SELECT a.conv_id, a.turn, a.w AS r, b.w AS h FROM heads a JOIN heads b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1),
-coded AS (SELECT *, list_distinct(r || h) AS v FROM pairs),
-edits AS (SELECT conv_id, turn, len(r) AS n, len(h) AS m, levenshtein(array_to_string(list_transform(r, lambda w: chr(32 + list_position(v, w)::INT)), ''), array_to_string(list_transform(h, lambda w: chr(32 + list_position(v, w)::INT)), '')) AS e FROM coded)""",
+costs AS (SELECT conv_id, turn, len(r) AS n, len(h) AS m, list_transform(r, lambda a: list_transform(h, lambda b: CASE WHEN a = b THEN 0 ELSE 1 END)) AS c FROM pairs),
+rows AS (SELECT conv_id, turn, n, m, list_reduce(c, lambda p, k: list_transform(
+  [list_transform(range(1, m + 2), lambda i: (CASE WHEN i = 1 THEN p[1] + 1 ELSE least(p[i] + 1, p[i - 1] + k[i - 1]) END) - (i - 1))],
+  lambda q: list_transform(range(1, m + 2), lambda j: j - 1 + list_min(q[1:j])))[1], range(m + 1)) AS row FROM costs),
+edits AS (SELECT conv_id, turn, n, m, CASE WHEN n = 0 THEN m ELSE row[-1] END AS e FROM rows)""",
     "mic": "mic AS (SELECT user_id AS session, ts, event_id, CASE event_type WHEN 'signup' THEN 'f1' WHEN 'click' THEN 'f2' WHEN 'purchase' THEN 'f3' ELSE 'chunk' END AS kind, value FROM events)",
 }
 

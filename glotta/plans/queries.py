@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import ConcatConfig
 from ..functions import signal as S
 from ..functions import text as T
 from ..operators import manifest as M
@@ -45,18 +44,9 @@ def manifest_clean_rows(spark, d):
     return M.clean_rows(X.clips(spark, d)).select("pos", "audio_path", "transcription")
 
 
-@query("SELECT pos AS line, stem, regexp_replace(split_part(replace(transcription, '|', ' '), chr(10), 1), '^\\s+|\\s+$', '', 'g') AS text FROM clips WHERE pos > 0", "clips")
-def meta_parse(spark, d):
-    return _metadata(spark, d, lambda t: F.split(t, "\n")[0])
-
-
 @query("SELECT pos AS line, stem, regexp_replace(replace(replace(transcription, '|', ' '), chr(10), ' '), '^\\s+|\\s+$', '', 'g') AS text FROM clips WHERE pos > 0", "clips")
-def meta_parse_whole(spark, d):
-    return _metadata(spark, d, lambda t: F.replace(t, F.lit("\n"), F.lit(" ")))
-
-
-def _metadata(spark: SparkSession, d: str, line: Callable[[Column], Column]) -> DataFrame:
-    one = line(F.replace("transcription", F.lit("|"), F.lit(" ")))
+def meta_parse(spark, d):
+    one = F.replace(F.replace("transcription", F.lit("|"), F.lit(" ")), F.lit("\n"), F.lit(" "))
     lines = X.clips(spark, d).select(F.col("pos").alias("line"), F.when(F.col("pos") == 0, "filename|text").otherwise(F.concat_ws("|", F.concat("stem", F.lit(".wav")), one)).alias("value"))
     return M.metadata_rows(lines)
 
@@ -216,7 +206,7 @@ def validate_duration(spark, d):
 
 
 @query(
-    ", v(idx, voice, rate) AS (VALUES " + ", ".join(str(v) for v in M.VOICES) + "), n AS (SELECT pos, row_number() OVER (ORDER BY pos) AS i FROM clips) SELECT pos, voice, rate, 'tts_' || printf('%05d', i) || '.wav' AS file FROM n JOIN v ON (i - 1) % 8 = idx",
+    ", v(idx, voice, rate) AS (VALUES " + ", ".join(str((i, *v)) for i, v in enumerate(M.VOICES)) + "), n AS (SELECT pos, row_number() OVER (ORDER BY pos) AS i FROM clips) SELECT pos, voice, rate, 'tts_' || printf('%05d', i) || '.wav' AS file FROM n JOIN v ON (i - 1) % 8 = idx",
     "clips",
 )
 def voice_round_robin(spark, d):
@@ -274,24 +264,23 @@ s AS (SELECT pos, stem || '.wav' AS filename, CASE WHEN bad LIKE 'load_failed%'
 """
 
 
-def _scored(spark, d, transcribe=True):
+def _scored(spark, d, transcribe=True, expand=True):
     t = F.col("transcription")
     hyp = F.substring(t, 1, F.greatest(F.length(t) - 40, F.lit(0)))
     c = M.with_reference(X.clips(spark, d), X.meta(spark, d).select("stem", F.col("text").alias("reference")))
     c = c.withColumn("filename", F.concat("stem", F.lit(".wav"))).withColumn("hypothesis", hyp).withColumnRenamed("audio_err", "load_error")
-    # no abbreviations here: RE2 has no Unicode word boundary to compare by
-    return validate.score(c, transcribe=transcribe, normalize=lambda x: T.normalize_text(x, expand=False))
+    return validate.score(c, transcribe=transcribe, normalize=lambda x: T.normalize_text(x, expand=expand))
 
 
 @query(_SCORED + "SELECT filename, duration, reject_reason, norm_text FROM s", "clips", "meta")
-def validate_and_score(spark, d):
-    return _scored(spark, d).select("filename", "duration", "reject_reason", "norm_text")
+def validate_plain(spark, d):
+    """Without abbreviations: RE2 has no Unicode word boundary to compare by."""
+    return _scored(spark, d, expand=False).select("filename", "duration", "reject_reason", "norm_text")
 
 
 @query()
-def validate_wer(spark, d):
-    """The score's word error rates and flags, beside its other columns."""
-    return _scored(spark, d).select("filename", "wer", "flagged")
+def validate_and_score(spark, d):
+    return _scored(spark, d).select("filename", "duration", "reject_reason", "norm_text", "wer", "flagged")
 
 
 @query("SELECT stem || '.wav' AS filename, CASE WHEN audio_err IS NOT NULL THEN audio_err WHEN duration_s < 1 OR duration_s > 15 THEN 'duration ' || printf('%.2f', round(duration_s, 2)) || 's out of range' ELSE '' END AS reject_reason FROM clips", "clips")
@@ -328,11 +317,6 @@ def corpus_wer(spark, d):
     return reports.corpus_wer(X.utterance_pairs(spark, d), "ref", "hyp")
 
 
-@query()
-def corpus_wer_whole(spark, d):
-    return reports.corpus_wer(X.utterance_pairs(spark, d, None), "ref", "hyp")
-
-
 # -------------------------------------------------------------- aggregations
 
 
@@ -401,10 +385,10 @@ def pack_counters(spark, d):
 
 @query("""WITH RECURSIVE k AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos, round(value / 10.0, 3) AS dur FROM events),
 f(user_id, pos, dur, file, buf) AS (SELECT user_id, pos, dur, 1::BIGINT, dur FROM k WHERE pos = 1
-  UNION ALL SELECT k.user_id, k.pos, k.dur, CASE WHEN f.buf + k.dur > 60 THEN f.file + 1 ELSE f.file END, CASE WHEN f.buf + k.dur > 60 THEN k.dur ELSE f.buf + 0.5::DOUBLE + k.dur END FROM f JOIN k ON k.user_id = f.user_id AND k.pos = f.pos + 1)
+  UNION ALL SELECT k.user_id, k.pos, k.dur, CASE WHEN f.buf + k.dur > 300 THEN f.file + 1 ELSE f.file END, CASE WHEN f.buf + k.dur > 300 THEN k.dur ELSE f.buf + 0.5::DOUBLE + k.dur END FROM f JOIN k ON k.user_id = f.user_id AND k.pos = f.pos + 1)
 SELECT user_id, pos::INT AS pos, file FROM f""")
 def pack_max_duration(spark, d):
-    return G.pack_to_length(X.clips_keyed(spark, d).select("user_id", "pos", "dur"), "user_id", ["pos"], "dur", ConcatConfig(max_s=60.0)).select("user_id", "pos", "file")
+    return G.pack_to_length(X.clips_keyed(spark, d).select("user_id", "pos", "dur"), "user_id", ["pos"], "dur").select("user_id", "pos", "file")
 
 
 _FRAMES = "list_transform(range(0, 49, 8), lambda i: sqrt(list_sum(list_transform(x[i + 1:i + 16], lambda v: v * v)) / 16))"
@@ -470,14 +454,8 @@ def combine_transcripts(spark, d):
     return c.select("conv_id", T.combine_transcripts(F.transform("turns", lambda x: x["text"])).alias("text"))
 
 
-@query("SELECT 0 AS src_rank, pos, stem FROM clips WHERE pos % 3 = 0 UNION ALL SELECT 1, pos, stem FROM meta UNION ALL SELECT 2, pos, stem FROM files", "clips", "meta", "files")
-def union_sources(spark, d):
-    c = X.clips(spark, d).select("pos", "stem")
-    return M.union_sources(c.where("pos % 3 = 0"), X.meta(spark, d).select("pos", "stem"), X.files(spark, d).select("pos", "stem"))
-
-
 @query("SELECT 0 AS src_rank, pos, stem FROM clips UNION ALL SELECT 1, pos, stem FROM meta UNION ALL SELECT 2, pos, stem FROM files", "clips", "meta", "files")
-def union_sources_whole(spark, d):
+def union_sources(spark, d):
     return M.union_sources(*[f(spark, d).select("pos", "stem") for f in (X.clips, X.meta, X.files)])
 
 
@@ -542,18 +520,36 @@ _text_query("expand_abbrev", T.expand_abbreviations)
 _text_query("verbal_commands", T.verbal_commands)
 _text_query("verbal_commands_v1", T.verbal_commands_v1)
 _text_query("dictation_pipeline", T.dictation)
-_text_query("capitalize_sentences", lambda c: T.capitalize_sentences(F.lower(c)))
+
+
+def _raised(c: str) -> str:
+    """SQL that raises letters after ends of sentences and lines, one by one."""
+    for small in "abcdefghijklmnopqrstuvwxyzàâäéèêëîïôùûüç":
+        c = f"regexp_replace({c}, '([.?!][\\s\\x{{0b}}]+|\\n){small}', '\\1{small.upper()}', 'g')"
+    return c
+
+
+@query(f"SELECT doc_id, {_raised('upper(substr(lower(text), 1, 1)) || substr(lower(text), 2)')} AS text FROM documents")
+def capitalize_sentences(spark, d):
+    return _docs(spark, d).select("doc_id", T.capitalize_sentences(F.lower("text")).alias("text"))
 
 
 @query(f"SELECT doc_id, {_SIMPLE.replace('(t)', '(nfc_normalize(text))')} AS text FROM documents")
-def normalize_text(spark, d):
+def normalize_plain(spark, d):
     return _docs(spark, d).select("doc_id", T.normalize_text(F.col("text"), expand=False).alias("text"))
 
 
-@query("SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(replace(translate(text, '0123456789', ''), chr(9), ' '), '[.,!?;]', ' ', 'g'), '[^\\S\\n]{2,}', ' ', 'g'), '^\\s+|\\s+$', '', 'g') AS text FROM documents")
+_text_query("normalize_text", T.normalize_text)
+
+
+_DIGIT = "coalesce(c[i {}] BETWEEN '0' AND '9', FALSE)"
+
+
+@query(f"""WITH s AS (SELECT doc_id, string_split(text, '') AS c FROM documents),
+p AS (SELECT doc_id, array_to_string(list_transform(range(1, len(c) + 1), lambda i: CASE WHEN c[i] IN ('.', ',', '!', '?', ';') AND NOT (i > 1 AND {_DIGIT.format("- 1")}) AND NOT {_DIGIT.format("+ 1")} THEN ' ' ELSE c[i] END), '') AS t FROM s)
+SELECT doc_id, regexp_replace(regexp_replace(t, '[^\\S\\n]{{2,}}', ' ', 'g'), '^\\s+|\\s+$', '', 'g') AS text FROM p""")
 def strip_asr_punct(spark, d):
-    bare = F.replace(F.translate("text", "0123456789", ""), F.lit("\t"), F.lit(" "))
-    return _docs(spark, d).select("doc_id", T.strip_asr_punctuation(bare).alias("text"))
+    return _docs(spark, d).select("doc_id", T.strip_asr_punctuation(F.col("text")).alias("text"))
 
 
 @query("SELECT doc_id, round((length(text) - length(translate(text, '.,;:?!', ''))) / greatest(length(text), 1), 6) AS ratio FROM documents")
@@ -570,16 +566,7 @@ def fix_question_marks(spark, d):
 
 @query("SELECT conv_id, turn, round(CASE WHEN n = 0 THEN CASE WHEN m = 0 THEN 0.0 ELSE 1.0 END ELSE e / n END, 4) AS wer FROM edits", "utterances")
 def wer_pairs(spark, d):
-    return _wer_pairs(X.utterance_pairs(spark, d))
-
-
-@query()
-def wer_pairs_whole(spark, d):
-    return _wer_pairs(X.utterance_pairs(spark, d, None))
-
-
-def _wer_pairs(pairs: DataFrame) -> DataFrame:
-    return pairs.select("conv_id", "turn", F.round(T.word_error_rate(F.col("ref"), F.col("hyp")), 4).alias("wer"))
+    return X.utterance_pairs(spark, d).select("conv_id", "turn", F.round(T.word_error_rate(F.col("ref"), F.col("hyp")), 4).alias("wer"))
 
 
 @query("SELECT pos, printf('%03d', pos) AS three, printf('%05d', pos) AS five, printf('%.2f', round(duration_s, 2)) AS two FROM clips", "clips")
@@ -685,7 +672,9 @@ def rms_normalize_pcm(spark, d):
     return _pcm(spark, d, S.normalize_rms_pcm)
 
 
-@query()
+@query(f""", f AS (SELECT vec_id, {_FRAMES} AS l FROM signals), g AS (SELECT vec_id, list_transform(l, lambda v: v > list_max(l) * pow(10, -6.0 / 20)) AS loud FROM f),
+r AS (SELECT vec_id, len(list_filter(loud, lambda v: v)) AS many, len(list_filter(range(1, len(loud) + 1), lambda i: loud[i] AND NOT (i > 1 AND loud[i - 1]))) AS n FROM g)
+SELECT vec_id, n::INT AS n, (8 * many + 8 * n)::BIGINT AS loud FROM r""", "signals")
 def energy_vad(spark, d):
     return models.energy_vad(X.signals(spark, d), "x", 16, 8, 6.0).select("vec_id", F.size("spans").alias("n"), F.aggregate("spans", F.lit(0).cast("long"), lambda s, p: s + p["end"] - p["start"]).alias("loud"))
 
@@ -696,15 +685,6 @@ def rescale_index(spark, d):
     return table(spark, d, "events").select("event_id", F.expr("div(div(unix_micros(cast(ts as timestamp)), 1000) * 22050, 16000)").alias("i"))
 
 
-_LABELS = "list_concat([50258, 50265], list_transform(string_split(substr(text, 1, 60), ''), lambda c: unicode(c)), [50257])"
-
-
-@query(f"SELECT doc_id, array_to_string(l || list_transform(range(greatest(70 - len(l), 0)), lambda i: -100), ',') AS labels, array_to_string([50258] || (l || list_transform(range(greatest(70 - len(l), 0)), lambda i: 50257))[1:69], ',') AS decoder FROM (SELECT doc_id, {_LABELS} AS l FROM documents WHERE text <> '')")
-def label_pad_shift(spark, d):
-    ids = _label_ids(F.substring("text", 1, 60))
-    return _padded(_docs(spark, d).where("text <> ''").select("doc_id", S.padded_labels(ids, 70).alias("padded")))
-
-
 #: Rows of a training batch; its labels are padded to the longest of them.
 _BATCH = 16
 
@@ -713,7 +693,7 @@ _BATCH = 16
 i AS (SELECT doc_id, batch, list_concat([50258, 50265], list_transform(string_split(text, ''), lambda c: unicode(c)), [50257]) AS l FROM n),
 m AS (SELECT doc_id, l, max(len(l)) OVER (PARTITION BY batch) AS longest FROM i)
 SELECT doc_id, array_to_string(l || list_transform(range(longest - len(l)), lambda i: -100), ',') AS labels, array_to_string([50258] || (l || list_transform(range(longest - len(l)), lambda i: 50257))[1:longest - 1], ',') AS decoder FROM m""")
-def label_pad_shift_whole(spark, d):
+def label_pad_shift(spark, d):
     rows = ordering.number_rows(_docs(spark, d).where("text <> ''").select("doc_id", "text"), "doc_id", "_n")
     rows = rows.withColumn("_batch", F.floor((F.col("_n") - 1) / _BATCH))
     # lengths before ids: what is shuffled are texts, never padded arrays; the pad id, U+C451, is no label

@@ -81,7 +81,9 @@ def test_split_counts(spark, n, want):
     assert split.select("k").distinct().count() == n
 
 
-def test_number_rows(spark):
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_number_rows(spark, monkeypatch, few):
+    monkeypatch.setattr(ordering, "FEW", few)
     values = [random.Random(4).randint(-50, 50) for _ in range(500)]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)] + [(500, None)], "i int, v long").repartition(7)
     got = [(r.v, r.i) for r in ordering.number_rows(df, "v", "n", ["i"]).orderBy("n").collect()]
@@ -108,6 +110,7 @@ def test_small_manifest_rules(spark):
 def test_numbers_over_many_cuts(spark, monkeypatch):
     from glotta.operators import ordering
 
+    monkeypatch.setattr(ordering, "FEW", 0)
     monkeypatch.setattr(ordering, "ROWS", 10)
     keys = [(i * 37 % 1009, i) for i in range(1000)] + [(5, -1), (5, -2), (None, -3)]
     got = ordering.number_rows(spark.createDataFrame(keys, "k long, id long"), "k", "n", ["id"]).collect()

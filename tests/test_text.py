@@ -255,8 +255,8 @@ def test_wer_of_whole_turns(spark):
     turns = {(r.conv_id, r.turn): r.text.lower().split() for r in spark.read.parquet(d + "/conversations.parquet").collect()}
     pairs = {k: (r, turns[k[0], k[1] + 1]) for k, r in turns.items() if (k[0], k[1] + 1) in turns}
     edits = {k: T.edit_distance(r, h) for k, (r, h) in pairs.items()}
-    got = {(r.conv_id, r.turn): r.wer for r in queries.wer_pairs_whole(spark, d).collect()}
+    got = {(r.conv_id, r.turn): r.wer for r in queries.wer_pairs(spark, d).collect()}
     assert got == pytest.approx({k: edits[k] / len(r) if r else float(bool(h)) for k, (r, h) in pairs.items()}, abs=6e-5)
-    total = queries.corpus_wer_whole(spark, d).first()
+    total = queries.corpus_wer(spark, d).first()
     assert (total.edits, total.words) == (sum(edits.values()), sum(len(r) for r, _ in pairs.values()))
     assert any(len(r) > 40 for r, _ in pairs.values())
