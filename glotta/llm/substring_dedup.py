@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, Words, batch, blob, flat_bytes, materialize, mix, plain, ship, sliding_min, text_bytes, text_slices
+from .common import Rolling, Words, batch, blob, by_membership, flat_bytes, materialize, mix, plain, ship, sliding_min, text_bytes, text_slices
 
 WINDOW = 50
 #: Cells in each of the sketch's rows, for each so many bytes of text: about
@@ -163,21 +163,22 @@ def repeated_bits(docs: DataFrame, k: int, cells: int) -> np.ndarray:
 
 def _candidates(k: int, cells: int, bits, buckets: int):
     def flush(held: list[tuple]) -> pa.RecordBatch:
-        keys, one, two, doc = (np.concatenate(c) for c in zip(*held, strict=True))
+        one, two, doc = (np.concatenate(c) for c in zip(*held, strict=True))
         order = np.lexsort((doc, two, one))
-        keys, one, two, doc = keys[order], one[order], two[order], doc[order]
+        one, two, doc = one[order], two[order], doc[order]
         new = np.ones(len(one), bool)
         new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
         least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
         pair = doc > least  # a smaller document of this task has it
         rows = [], [], []
         # the least document of each window is judged by the others' tasks
-        bucket = (mix(keys[new]) % np.uint64(buckets)).astype(np.int64)
+        # by window, not by key: the windows of a common passage share keys
+        bucket = (mix(one[new]) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         table = np.stack([one[new], two[new], doc[new].view(np.uint64)], axis=1)[order]
         _cut(rows, bucket[order], table, 0)
         if pair.any():
-            found = np.unique(np.stack([doc[pair].view(np.uint64), one[pair]], axis=1), axis=0)
+            found = np.unique(np.stack([doc[pair].view(np.uint64), one[pair], two[pair]], axis=1), axis=0)
             bucket = (mix(found[:, 0]) % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             _cut(rows, bucket[order], found[order], 1)
@@ -197,7 +198,7 @@ def _candidates(k: int, cells: int, bits, buckets: int):
                 hit &= (is_repeated[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0
             if not hit.any():
                 continue
-            held.append((keys[hit], w.one()[hit], w.two()[hit], ids[w.doc[hit]]))
+            held.append((w.one()[hit], w.two()[hit], ids[w.doc[hit]]))
             n += int(hit.sum())
             if n >= HELD:
                 yield flush(held)
@@ -229,8 +230,8 @@ def _judge(table: pa.Table) -> pa.Table:
         new = np.ones(len(one), bool)
         new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
         later = doc > doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-        found.append(np.stack([doc[later].view(np.uint64), one[later]], axis=1))
-    found += [np.frombuffer(p, np.uint64).reshape(-1, 2) for k, p in zip(kind, payload, strict=True) if k == 1]
+        found.append(np.stack([doc[later].view(np.uint64), one[later], two[later]], axis=1))
+    found += [np.frombuffer(p, np.uint64).reshape(-1, 3) for k, p in zip(kind, payload, strict=True) if k == 1]
     ids, blobs = [], []
     if found:
         t = np.concatenate(found)
@@ -238,7 +239,7 @@ def _judge(table: pa.Table) -> pa.Table:
         head = np.flatnonzero(np.diff(t[:, 0], prepend=t[:1, 0] + np.uint64(1))) if len(t) else []
         for a, b in zip(head, np.append(head[1:], len(t)) if len(t) else [], strict=True):
             ids.append(int(t[a, 0].view(np.int64)))
-            blobs.append(blob(t[a:b, 1]))
+            blobs.append(blob(t[a:b, 1:]))
     return pa.Table.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], schema=_FLAGS)
 
 
@@ -248,11 +249,13 @@ def _lost(texts: pa.Array, flags: list, k: int) -> dict[int, np.ndarray]:
     lost = {}
     if marked:
         w = _Windows(texts.take(pa.array(marked)), k)
-        one = w.one()
+        both = np.stack([w.one(), w.two()], axis=1).view("V16").ravel()
         edge = np.searchsorted(w.doc, np.arange(len(marked) + 1))
         for j, i in enumerate(marked):
             s = slice(edge[j], edge[j + 1])
-            hit = w.at[s][np.isin(one[s], np.frombuffer(b"".join(flags[i]), np.uint64))] - w.words.first[j]
+            mine, which = np.unique(both[s], return_inverse=True)
+            gone = np.intersect1d(mine, np.frombuffer(b"".join(flags[i]), "V16"), return_indices=True)[1]
+            hit = w.at[s][np.isin(which, gone)] - w.words.first[j]
             n = w.words.first[j + 1] - w.words.first[j]
             d = np.zeros(n + 1, np.int64)
             np.add.at(d, hit, 1)
@@ -299,8 +302,16 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, cells: int | None = None) -
     one space) for every row."""
     flags = _repeats(docs, k, cells)
     docs = plain(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    joined = docs.join(flags, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", "_hashes")
-    return joined.mapInArrow(_digest(k), "row_id long, n_words long, n_removed long, kept_sha256 string").withColumnRenamed("row_id", "doc_id")
+    return _with_flags(docs, flags).mapInArrow(_digest(k), "row_id long, n_words long, n_removed long, kept_sha256 string").withColumnRenamed("row_id", "doc_id")
+
+
+def _with_flags(docs: DataFrame, flags: DataFrame) -> DataFrame:
+    """``docs`` with their flags as a last column; texts without any stay out of
+    the shuffle."""
+    names, last = docs.columns, F.lit(None).cast("array<binary>")
+    some, others = by_membership(docs, "doc_id", flags.select("_id"))
+    joined = some.join(flags, some["doc_id"] == flags["_id"], "left").select(*[some[c] for c in names], flags["_hashes"])
+    return joined.unionAll(others.select(*[F.col(f"`{c}`") for c in names], last))
 
 
 def without_repeats(docs: DataFrame, k: int = WINDOW, cells: int | None = None) -> DataFrame:
@@ -323,8 +334,7 @@ def without_repeats(docs: DataFrame, k: int = WINDOW, cells: int | None = None)
                 col = pa.array(values, col.type)
             yield pa.RecordBatch.from_arrays([col if i == text else b.column(i) for i in range(len(names))], names=names)
 
-    joined = docs.join(flags, docs["doc_id"] == flags["_id"], "left").select(*[docs[c] for c in names], flags["_hashes"])
-    out = joined.mapInArrow(run, docs.schema)
+    out = _with_flags(docs, flags).mapInArrow(run, docs.schema)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out
