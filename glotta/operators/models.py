@@ -101,3 +101,24 @@ def trimmed(df: DataFrame, samples: str, rate: int, levels: tuple[float, ...] =
         return s.map(one)
 
     return df.withColumn(samples, cut(samples))
+
+
+def denoised(df: DataFrame, samples: str, reduce: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    """``samples`` through a noise reduction; without one, or where it fails,
+    they stay as they are."""
+    if reduce is None:
+        return df
+
+    def one(x):
+        if x is None:
+            return None
+        try:
+            return np.asarray(reduce(np.asarray(x, float)), float)
+        except Exception:
+            return np.asarray(x, float)
+
+    @F.pandas_udf("array<double>")
+    def clean(s: pd.Series) -> pd.Series:
+        return s.map(one)
+
+    return df.withColumn(samples, clean(samples))

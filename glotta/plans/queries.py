@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..config import SegmentConfig
 from ..functions import signal as S
 from ..functions import text as T
 from ..operators import manifest as M
@@ -346,6 +347,21 @@ def pack_fixed4(spark, d):
     return _packed(spark, d).select("group", "source", F.col("n_terms").cast("long").alias("n_terms"), F.round("duration", 3).alias("duration"), "text")
 
 
+@query("""WITH RECURSIVE n AS (SELECT row_number() OVER (ORDER BY doc_id) AS i, round(n_chars / 150.0, 3) + 0.4::DOUBLE AS d FROM documents),
+f(i, d, placed, grp, n, used) AS (
+  SELECT 0::BIGINT, 0::DOUBLE, -1::BIGINT, 0::BIGINT, 0::BIGINT, 0::DOUBLE
+  UNION ALL
+  SELECT n.i, n.d, CASE WHEN f.n < 4 AND f.used + n.d <= 28 THEN f.grp WHEN f.n < 2 OR n.d > 28 THEN -1 ELSE f.grp + 1 END,
+    CASE WHEN f.n < 4 AND f.used + n.d <= 28 THEN f.grp ELSE f.grp + 1 END, CASE WHEN f.n < 4 AND f.used + n.d <= 28 THEN f.n + 1 WHEN f.n < 2 OR n.d > 28 THEN 0 ELSE 1 END,
+    CASE WHEN f.n < 4 AND f.used + n.d <= 28 THEN f.used + n.d WHEN f.n < 2 OR n.d > 28 THEN 0 ELSE n.d END
+  FROM f JOIN n ON n.i = f.i + 1),
+g AS (SELECT placed AS "group", count(*) AS n_terms, sum(d - 0.4::DOUBLE) + CASE WHEN count(*) >= 2 THEN (count(*) - 1) * 0.4 ELSE 0 END AS duration FROM f WHERE i > 0 AND placed >= 0 GROUP BY placed)
+SELECT "group", CASE WHEN n_terms >= 2 THEN 'concatenated' ELSE 'short_kept' END AS source, n_terms, round(duration, 3) AS duration FROM g WHERE n_terms >= 2 OR duration >= 1.5""")
+def pack_by_duration(spark, d):
+    c = X.clips(spark, d).select("pos", "duration_s", "transcription")
+    return G.pack_by_fold(c, "pos", "duration_s", "transcription").select("group", "source", F.col("n_terms").cast("long").alias("n_terms"), F.round("duration", 3).alias("duration"))
+
+
 @query(_PACKED + ", u AS (SELECT source, duration, text FROM k UNION ALL SELECT 'long_original', duration_s, transcription FROM clips WHERE audio_err IS NULL AND duration_s >= 4) SELECT count(*) AS total, count(*) FILTER (source = 'long_original') AS long_original, count(*) FILTER (source = 'concatenated') AS concatenated, count(*) FILTER (source = 'short_kept') AS short_kept, round(avg(duration), 3) AS mean_s, round(min(duration), 3) AS min_s, round(max(duration), 3) AS max_s, round(avg(len(regexp_extract_all(text, '\\S+'))), 4) AS mean_words FROM u", "clips")
 def concat_stats(spark, d):
     short = _packed(spark, d).select("source", "duration", F.col("text").alias("transcription"))
@@ -734,3 +750,28 @@ def dictation_sessions(spark, d):
 @query(_SESSIONS + "SELECT session, n_chunks, round(n_chunks * 800 / 16000, 3) AS duration_s FROM r WHERE ended", "mic")
 def session_duration(spark, d):
     return dictation.session_durations(X.mic(spark, d), 16000, 800)
+
+
+@query("SELECT idx, voice FROM (VALUES " + ", ".join(str((i, v)) for i, (v, _) in enumerate(M.VOICES)) + ") AS v(idx, voice) WHERE voice LIKE 'fr-C%'")
+def locale_voices(spark, d):
+    return M.voices_of(spark.createDataFrame([(i, v) for i, (v, _) in enumerate(M.VOICES)], "idx int, voice string"), locale="fr-C")
+
+
+@query("SELECT doc_id FROM documents WHERE length(text) + 3 >= 40")
+def trainable_labels(spark, d):
+    rows = _docs(spark, d).select("doc_id", _label_ids(F.col("text")).alias("labels"))
+    return M.trainable(rows, least=40).select("doc_id")
+
+
+@query()
+def segment_audio(spark, d):
+    """Speech found by energy, merged, cut at silences; tests hold it against plain Python."""
+    config = SegmentConfig(rate=64, gap_ms=100, min_s=0.1, max_s=0.5)
+    return G.segment_audio(X.signals(spark, d), "vec_id", "x", config, 6.0, 16, 8)
+
+
+@query()
+def trim_cascade(spark, d):
+    """What the first of three levels leaves; tests hold it against plain Python."""
+    rows = models.trimmed(X.signals(spark, d), "x", 64, (6.0, 4.0, 2.0), 0.5, 16, 8)
+    return rows.select("vec_id", F.size("x").alias("n"), F.round(F.aggregate("x", F.lit(0.0), lambda s, v: s + v), 6).alias("total"))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import io
+import re
 import struct
 import wave
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +15,7 @@ from pyspark.sql import types as Y
 
 from ..functions import text as T
 from ..operators.manifest import last_wins, metadata_rows, with_columns
+from ..operators.ordering import number_rows
 
 AUDIO = ("wav", "mp3", "m4a", "flac", "ogg")
 
@@ -44,7 +47,7 @@ def metadata(spark: SparkSession, path: str) -> DataFrame:
 def texts(spark: SparkSession, path: str) -> DataFrame:
     """(line, text): the ``text`` column of a CSV, else a text a line."""
     if path.lower().endswith(".csv"):
-        df = spark.read.option("header", True).option("sep", sniff(spark, path)).csv(path)
+        df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("sep", sniff(spark, path)).csv(path)
         column = next((c for c in df.columns if c.strip().lower() == "text"), None)
         if column is None:
             raise ValueError(f"{path} has no column named text")
@@ -61,6 +64,88 @@ def text_files(spark: SparkSession, folder: str) -> DataFrame:
     return rows.where("text <> ''")
 
 
+_RTF = re.compile(r"\\'([0-9a-fA-F]{2})|\\u(-?\d+) ?\??|\\([a-zA-Z]+)(-?\d+)? ?|\\(.)|([{}])|([^\\{}]+)", re.S)
+_RTF_SIGNS = {"par": "\n", "line": "\n", "tab": "\t", "emdash": "—", "endash": "–", "bullet": "•", "lquote": "‘", "rquote": "’", "ldblquote": "“", "rdblquote": "”"}
+_RTF_SILENT = frozenset("fonttbl colortbl stylesheet info pict header footer generator themedata listtable listoverridetable".split())
+
+
+def rtf_text(raw: bytes) -> str:
+    """Text of an RTF file: groups of tables and pictures are silent, and so are
+    those marked as ignorable."""
+    out, silent = [], [False]
+    for m in _RTF.finditer(raw.decode("latin-1")):
+        byte, code, word, _, sign, brace, text = m.groups()
+        if brace == "{":
+            silent.append(silent[-1])
+        elif brace == "}":
+            if len(silent) > 1:
+                silent.pop()
+        elif word in _RTF_SILENT or sign == "*":
+            silent[-1] = True
+        elif silent[-1]:
+            continue
+        elif byte:
+            out.append(bytes([int(byte, 16)]).decode("cp1252", "replace"))
+        elif code:
+            out.append(chr(int(code) % 65536))
+        elif word:
+            out.append(_RTF_SIGNS.get(word, ""))
+        elif sign:
+            out.append({"~": "\u00a0", "\n": "\n", "\r": "\n"}.get(sign, sign if sign in "\\{}" else ""))
+        elif text:
+            out.append(re.sub(r"[\r\n]", "", text))
+    return "".join(out)
+
+
+def document_lines(spark: SparkSession, path: str, pages: Callable[[bytes], list[str]], keep: Callable[[Column], Column]) -> DataFrame:
+    """(path, page, line, text) of files in any format: ``pages`` gives a file's
+    page texts (none, if it fails), ``keep`` the lines of a page to keep."""
+
+    def one(raw) -> list[str]:
+        try:
+            return list(pages(bytes(raw)))
+        except Exception:
+            return []
+
+    @F.pandas_udf("array<string>")
+    def texts_of(content: pd.Series) -> pd.Series:
+        return content.map(one)
+
+    files = spark.read.format("binaryFile").load(path).select("path", F.posexplode(texts_of("content")).alias("page", "text"))
+    return files.select("path", "page", F.posexplode(keep(F.coalesce("text", F.lit("")))).alias("line", "text"))
+
+
+def rtf_lines(spark: SparkSession, path: str, least: int = 6) -> DataFrame:
+    """Lines of RTF files without their bullets, of ``least`` characters or more."""
+    return document_lines(spark, path, lambda raw: [rtf_text(raw)], lambda c: F.filter(F.transform(T.lines(c), T.bullet_strip), lambda x: F.length(x) >= least))
+
+
+def pdf_lines(spark: SparkSession, path: str, pages: Callable[[bytes], list[str]], least: int = 5) -> DataFrame:
+    """Lines of PDF files without page headers; ``pages`` is the decoder."""
+    return document_lines(spark, path, pages, lambda c: T.page_lines(c, least))
+
+
+def read_splits(spark: SparkSession, path: str, split: str = "split") -> dict[str, DataFrame]:
+    """The splits of a dataset that ``sinks.write_dataset`` wrote."""
+    df = spark.read.parquet(path)
+    names = [r[0] for r in df.select(split).distinct().orderBy(split).collect()]  # a few folders
+    return {n: df.where(F.col(split) == n).drop(split) for n in names}
+
+
+def clip_list(spark: SparkSession, folder: str, manifest: str | None = None) -> DataFrame:
+    """(line, path) of a folder's clips: those of the manifest that exist, in its
+    order; without a manifest, or if it is missing, all WAV files by name."""
+    found = audio_listing(spark, folder).where(F.lower("path").endswith(".wav")).withColumn("name", F.regexp_extract("path", "[^/]*$", 0))
+    if manifest and _exists(spark, manifest):
+        return manifest_order(numbered_lines(spark, manifest), found).join(found, "name").select("line", "path")
+    return number_rows(found, "name", "line").select((F.col("line") - 1).alias("line"), "path")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def is_audio(path: Column) -> Column:
     return F.lower(path).rlike(r"\.(" + "|".join(AUDIO) + r")$")
 
@@ -79,13 +164,32 @@ def audio_listing(spark: SparkSession, folder: str, recursive: bool = False) ->
     return df.select("path", T.stem(F.col("path")).alias("stem"), "size")
 
 
+#: Bytes at the beginning of a file that hold its header.
+HEAD = 64 << 10
+
+
+def _heads(batches):
+    """(path, size) -> what the file's header says; only its beginning is read."""
+    from pyarrow import fs
+
+    for b in batches:
+        rows = []
+        for path, size in zip(b["path"], b["size"], strict=True):
+            try:
+                system, at = fs.FileSystem.from_uri(path if "://" in path else path.replace("file:/", "file:///", 1))
+                with system.open_input_stream(at) as f:
+                    rows.append(probe_wav(f.read(HEAD)))
+            except OSError as e:
+                rows.append((None, None, None, f"illisible : {e}"))
+        yield b.join(pd.DataFrame(rows, columns=["duration_s", "sample_rate", "channels", "audio_err"], index=b.index))
+
+
 def probed(spark: SparkSession, folder: str, recursive: bool = False) -> DataFrame:
     """The listing with duration_s, sample_rate, channels and audio_err."""
     listing = audio_listing(spark, folder, recursive)
-    data = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(folder).select("path", "content")
-    headers = data.where(is_audio(F.col("path"))).select("path", wav_probe("content").alias("p"))
-    nothing = F.when(F.col("size") == 0, "fichier vide (0 octets)")
-    return listing.join(headers, "path", "left").select("path", "stem", "size", "p.duration_s", "p.sample_rate", "p.channels", F.coalesce("p.audio_err", nothing).alias("audio_err"))
+    tasks = max(1, min(listing.count() // 64, 4 * spark.sparkContext.defaultParallelism))
+    schema = "path string, stem string, size long, duration_s double, sample_rate int, channels int, audio_err string"
+    return listing.select("path", "stem", "size").repartition(tasks).mapInPandas(_heads, schema)
 
 
 def manifest_order(lines: DataFrame, files: DataFrame, value: str = "value", on: str = "name") -> DataFrame:
@@ -114,24 +218,79 @@ def wav_probe(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([probe_wav(None if c is None else bytes(c)) for c in content], columns=["duration_s", "sample_rate", "channels", "audio_err"])
 
 
+def _pcm16(data: bytes):
+    """Mono samples of a 16-bit WAV file; None for other widths."""
+    import numpy as np
+
+    with wave.open(io.BytesIO(data)) as w:
+        if w.getsampwidth() != 2:
+            return None
+        x = np.frombuffer(w.readframes(w.getnframes()), "<i2").reshape(-1, w.getnchannels())
+    return (x.mean(axis=1) / 32768).astype("float32")
+
+
 @F.pandas_udf(Y.ArrayType(Y.FloatType()))
 def wav_samples(content: pd.Series) -> pd.Series:
     """Mono samples of 16-bit WAV files in [-1, 1]; null where unreadable."""
-    import numpy as np
 
     def one(data):
         try:
-            with wave.open(io.BytesIO(bytes(data))) as w:
-                if w.getsampwidth() != 2:
-                    return None
-                x = np.frombuffer(w.readframes(w.getnframes()), "<i2").reshape(-1, w.getnchannels())
+            return _pcm16(bytes(data))
         except (wave.Error, EOFError, struct.error, TypeError):
             return None
-        return (x.mean(axis=1) / 32768).astype("float32")
 
     return content.map(one)
 
 
+def resample(x, rate: int, to: int, width: int = 16):
+    """Samples at another rate, by a windowed sinc that also cuts what the lower
+    of both rates can't hold."""
+    import numpy as np
+
+    x = np.asarray(x, "float64")
+    if rate == to or not len(x):
+        return x.astype("float32")
+    scale = min(1.0, to / rate)
+    reach = int(np.ceil(width / scale))
+    padded, out = np.pad(x, reach + 1), np.empty(int(np.ceil(len(x) * to / rate)))
+    for a in range(0, len(out), 1 << 16):
+        at = np.arange(a, min(len(out), a + (1 << 16))) * rate / to
+        near = np.floor(at).astype(np.int64)[:, None] + np.arange(-reach, reach + 1)[None, :]
+        off = at[:, None] - near
+        weight = scale * np.sinc(scale * off) * np.where(np.abs(off) < reach, 0.5 + 0.5 * np.cos(np.pi * off / reach), 0.0)
+        out[a : a + len(at)] = (padded[near + reach + 1] * weight).sum(axis=1)
+    return out.astype("float32")
+
+
+def audio_samples(df: DataFrame, content: str = "content", rate: int = 22050, decode: Callable[[bytes], tuple] | None = None, name: str = "samples") -> DataFrame:
+    """Mono samples at ``rate``; null where unreadable.  16-bit WAV is read here;
+    ``decode`` (bytes to samples and their rate) is the boundary to codecs, for
+    what isn't."""
+
+    def one(raw):
+        try:
+            raw = bytes(raw)
+            try:
+                with wave.open(io.BytesIO(raw)) as w:
+                    own = w.getframerate()
+                x = _pcm16(raw)
+            except (wave.Error, EOFError, struct.error):
+                x = None
+            if x is None:
+                if decode is None:
+                    return None
+                x, own = decode(raw)
+            return resample(x, own, rate)
+        except Exception:
+            return None
+
+    @F.pandas_udf(Y.ArrayType(Y.FloatType()))
+    def samples(s: pd.Series) -> pd.Series:
+        return s.map(one)
+
+    return df.withColumn(name, samples(content))
+
+
 def wav_bytes(samples, rate: int) -> bytes:
     """Samples in [-1, 1], clipped, as a 16-bit mono WAV file."""
     import numpy as np

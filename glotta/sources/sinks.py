@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import logging
+import sys
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,3 +44,47 @@ def write_rejected(stats: DataFrame, path: str) -> bool:
         return False
     bad.write.mode("overwrite").text(path)
     return True
+
+
+def write_errors(df: DataFrame, path: str, error: str = "error") -> DataFrame:
+    """Rows with an error go to ``path``; the others come back, without it."""
+    df.where(F.col(error).isNotNull()).write.mode("append").json(path)
+    return df.where(F.col(error).isNull()).drop(error)
+
+
+def place_files(df: DataFrame, folder: str, path: str = "path", link: bool = False) -> None:
+    """Files copied or linked into a folder that all executors share; what is
+    there already stays.  Links are relative where the file lies below."""
+
+    def run(rows) -> None:
+        import os
+        import shutil
+
+        os.makedirs(folder, exist_ok=True)
+        for r in rows:
+            source = os.path.realpath(r[path].removeprefix("file://"))
+            target = os.path.join(folder, os.path.basename(source))
+            if os.path.lexists(target):
+                continue
+            if link:
+                below = os.path.commonpath([source, os.path.realpath(folder)]) == os.path.realpath(folder)
+                os.symlink(os.path.relpath(source, folder) if below else source, target)
+            else:
+                part = f"{target}.{os.getpid()}"
+                shutil.copy2(source, part)
+                os.replace(part, target)
+
+    df.select(path).foreachPartition(run)
+
+
+def logger(name: str, path: str | None = None, level: int = logging.INFO) -> logging.Logger:
+    """The driver's log, to standard output and to a file, set up once a name."""
+    log = logging.getLogger(name)
+    if not log.handlers:
+        log.setLevel(level)
+        log.propagate = False
+        shape = logging.Formatter("%(asctime)s %(levelname)-8s %(name)s: %(message)s")
+        for h in [logging.StreamHandler(sys.stdout), *([logging.FileHandler(path, encoding="utf-8")] if path else [])]:
+            h.setFormatter(shape)
+            log.addHandler(h)
+    return log

@@ -4,7 +4,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from glotta.functions import signal as S
-from glotta.operators import models, reports, validate
+from glotta.operators import manifest, models, reports, validate
+from glotta.plans import stages
 from glotta.sources import readers, sinks
 
 
@@ -116,3 +117,95 @@ def test_models(spark):
     assert got == {"a": ("A", None), "bad": (None, "no"), "c": ("C", None)}
     x = np.concatenate([np.zeros(100), np.ones(100), np.zeros(100), np.ones(50)])
     assert [(a // 10, b // 10) for a, b in models.speech_spans(x, 10, 10)] == [(10, 20), (30, 35)]
+
+
+def test_documents(spark, tmp_path):
+    rtf = r"{\rtf1\ansi{\fonttbl{\f0 Arial;}}{\*\generator x;}\f0\fs24 - Premi\'e8re ligne\par \u8226? Deuxi\u232?me ligne\par abc\par a \{b\} \\ c d\par}"
+    (tmp_path / "a.rtf").write_text(rtf)
+    assert [r.text for r in readers.rtf_lines(spark, str(tmp_path / "*.rtf")).orderBy("line").collect()] == ["Première ligne", "Deuxième ligne", "a {b} \\ c d"]
+    (tmp_path / "a.pdf").write_bytes(b"-- 1 of 2\nune ligne\nab\fseconde page")
+    (tmp_path / "b.pdf").write_bytes(b"\xff")
+    pages = lambda raw: raw.decode().split("\f")
+    got = [(r.page, r.text) for r in readers.pdf_lines(spark, str(tmp_path / "*.pdf"), pages).orderBy("page").collect()]
+    assert got == [(0, "une ligne"), (1, "seconde page")]
+
+
+def test_clip_lists(spark, tmp_path):
+    for name in ("b.wav", "a.wav", "c.WAV", "d.mp3"):
+        wav(tmp_path / name, 0.1)
+    (tmp_path / "order.txt").write_text("# first\nb.wav\n\nmissing.wav\na.wav\n")
+    names = lambda df: [r.path.rsplit("/", 1)[1] for r in df.orderBy("line").collect()]
+    assert names(readers.clip_list(spark, str(tmp_path), str(tmp_path / "order.txt"))) == ["b.wav", "a.wav"]
+    assert names(readers.clip_list(spark, str(tmp_path), str(tmp_path / "none.txt"))) == ["a.wav", "b.wav", "c.WAV"]
+
+
+def test_samples_at_a_rate(spark, tmp_path):
+    t = np.arange(16000) / 16000
+    (tmp_path / "x.wav").write_bytes(readers.wav_bytes(0.5 * np.sin(2 * np.pi * 440 * t), 16000))
+    (tmp_path / "y.raw").write_bytes(b"codec")
+    (tmp_path / "z.raw").write_bytes(b"junk")
+    df = spark.read.format("binaryFile").load(str(tmp_path))
+
+    def decode(raw):
+        if raw != b"codec":
+            raise ValueError("no")
+        return np.ones(100), 22050
+
+    got = {r.path[-5]: r.samples for r in readers.audio_samples(df, decode=decode).select("path", "samples").collect()}
+    want = 0.5 * np.sin(2 * np.pi * 440 * np.arange(22050) / 22050)
+    assert len(got["x"]) == 22050 and np.abs(np.array(got["x"]) - want)[200:-200].max() < 2e-3
+    assert len(got["y"]) == 100 and got["z"] is None
+    assert {r.path[-5]: r.samples for r in readers.audio_samples(df).collect()}["y"] is None
+
+
+def test_splits_errors_and_files(spark, tmp_path):
+    df = spark.createDataFrame([(1, "train", None), (2, "val", "boom")], "i int, split string, error string")
+    assert [r.i for r in sinks.write_errors(df, str(tmp_path / "errors")).collect()] == [1]
+    assert spark.read.json(str(tmp_path / "errors")).first().error == "boom"
+    sinks.write_dataset(df, str(tmp_path / "ds"))
+    parts = readers.read_splits(spark, str(tmp_path / "ds"))
+    assert list(parts) == ["train", "val"] and [r.i for r in parts["val"].collect()] == [2]
+    (tmp_path / "s.txt").write_text("new")
+    (tmp_path / "t.txt").write_text("t")
+    paths = spark.createDataFrame([(str(tmp_path / "s.txt"),), (f"file://{tmp_path}/t.txt",)], "path string")
+    (tmp_path / "to").mkdir()
+    (tmp_path / "to" / "t.txt").write_text("old")
+    sinks.place_files(paths, str(tmp_path / "to"))
+    assert ((tmp_path / "to/s.txt").read_text(), (tmp_path / "to/t.txt").read_text()) == ("new", "old")
+    sinks.place_files(paths, str(tmp_path / "links"), link=True)
+    assert (tmp_path / "links/s.txt").is_symlink() and (tmp_path / "links/s.txt").read_text() == "new"
+    log = sinks.logger("glotta-test", str(tmp_path / "log.txt"))
+    assert sinks.logger("glotta-test") is log
+    log.info("hello")
+    assert "hello" in (tmp_path / "log.txt").read_text()
+
+
+def test_stages(spark):
+    seen, said = [], []
+
+    def fail():
+        raise RuntimeError("no")
+
+    steps = [("a", lambda: seen.append("a")), ("b", fail), ("c", lambda: seen.append("c"))]
+    assert [(r.name, r.status) for r in stages.run(steps, tell=said.append)] == [("a", "done"), ("b", "failed"), ("c", "skipped")] and seen == ["a"]
+    assert [r.status for r in stages.run(steps, {"a", "c"}, tell=said.append)] == ["done", "skipped", "done"]
+    assert {r.status for r in stages.run(steps, dry=True, tell=said.append)} == {"planned"} and seen == ["a", "a", "c"]
+    df, counts = stages.observed(spark.range(10).repartition(3), "id > 6")
+    df.collect()
+    assert counts.get == {"rows": 10, "failed": 3}
+
+
+def test_plugins_and_filters(spark):
+    df = spark.createDataFrame([([1.0, 3.0],), (None,), ([-1.0],)], "x array<double>")
+    assert models.denoised(df, "x") is df
+
+    def halve(x):
+        if len(x) == 1:
+            raise ValueError("short")
+        return x / 2
+
+    assert [r.x for r in models.denoised(df, "x", halve).collect()] == [[0.5, 1.5], None, [-1.0]]
+    labels = spark.createDataFrame([([1, 2],), ([1, 2, 3],)], "labels array<int>")
+    assert manifest.trainable(labels).count() == 1
+    voices = spark.createDataFrame(manifest.VOICES, "voice string, rate string")
+    assert manifest.voices_of(voices).count() == 8 and manifest.voices_of(voices, locale="fr-BE").count() == 2
