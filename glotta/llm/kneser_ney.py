@@ -28,7 +28,6 @@ rows every token has the uniform probability 1.
 from __future__ import annotations
 
 import os
-import tempfile
 from typing import NamedTuple
 
 import numpy as np
@@ -46,10 +45,12 @@ ADD_BYTES = 24 << 20
 PART_BYTES = 32 << 20
 #: Arrays that a worker keeps mapped; others are mapped again when needed.
 MAPS = 800
+#: Bytes of arrays that a worker holds where the folder isn't mounted.
+HELD_BYTES = 256 << 20
 
 _START = np.uint64(0xA5A5A5A55A5A5A5A)
 _END = np.uint64(0x0F1E2D3C4B5A6978)
-#: kind: 0 contexts, 1 words, 2 and 4 counts of counts of bigrams and longer, 3 n-grams
+#: kind: 0 contexts, 1 words, 2 and 4 counts of counts of bigrams and longer, 3 n-grams, 9 a part by itself
 _SUMS = pa.schema([("part", pa.int32()), ("kind", pa.int8()), ("sums", pa.binary())])
 
 
@@ -147,32 +148,78 @@ def _count(parts: int, n_order: int):
     return run
 
 
+def _as_bytes(n: np.ndarray) -> list[np.ndarray]:
+    """Numbers in one byte each; where those of 255 and more are, and what."""
+    wide = np.flatnonzero(n > 254)
+    return [np.minimum(n, 255).astype(np.uint8), wide.astype(np.uint32), n[wide].astype(np.uint64)]
+
+
+def _from_bytes(small: np.ndarray, wide: np.ndarray, values: np.ndarray) -> np.ndarray:
+    out = small.astype(np.int64)
+    out[wide] = values.astype(np.int64)
+    return out
+
+
+def _planes(a: np.ndarray) -> np.ndarray:
+    """All first bytes of the numbers, then all second ones, so that the
+    shuffle's codec finds the zeros of small ones."""
+    return np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T).ravel()
+
+
+def _numbers(planes: np.ndarray, kind) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).ravel().view(kind)
+
+
+def _joined(*arrays: np.ndarray) -> bytes:
+    return blob(np.array([len(arrays), *(a.nbytes for a in arrays)], np.uint64)) + b"".join(blob(a) for a in arrays)
+
+
+def _parted(raw: bytes, *kinds) -> list[np.ndarray]:
+    sizes = np.frombuffer(raw, np.uint64, len(kinds), 8).tolist()
+    at, out = 8 * (len(kinds) + 1), []
+    for n, kind in zip(sizes, kinds, strict=True):
+        out.append(np.frombuffer(raw, kind, n // np.dtype(kind).itemsize, at))
+        at += n
+    return out
+
+
 def _packed(table: np.ndarray) -> bytes:
-    """Rows (context, token, count, shorter contexts) as distinct contexts, their
-    numbers of tokens, the tokens, counts in one byte with wider ones apart, and
-    the shorter contexts of each context."""
+    """Rows (context, token, count, shorter contexts): steps between the distinct
+    contexts, their numbers of tokens, the distinct words, and tokens and shorter
+    contexts as places among these, with counts."""
     table = table[np.argsort(table[:, 0], kind="stable")]
     head = _heads(table[:, 0])
-    n = table[:, 2]
-    wide = np.flatnonzero(n > 255)
-    parts = [table[head, 0], np.diff(head, append=len(table)).astype(np.uint32), np.ascontiguousarray(table[:, 1]), np.minimum(n, 255).astype(np.uint8), wide.astype(np.uint32), n[wide], np.ascontiguousarray(table[head, 3:]).ravel()]
-    return blob(np.array([len(p) for p in parts], np.uint64)) + b"".join(blob(p) for p in parts)
+    word, at = np.unique(np.concatenate([table[:, 1], table[head, 3:].ravel()]), return_inverse=True)
+    at = at.astype(np.uint32)
+    steps = np.diff(table[head, 0], prepend=np.uint64(0))
+    return _joined(_planes(steps), *_as_bytes(np.diff(head, append=len(table))), word, _planes(at[: len(table)]), _planes(at[len(table) :]), *_as_bytes(table[:, 2]))
 
 
 def _unpacked(raw: bytes) -> tuple[np.ndarray, ...]:
-    sizes, at, out = np.frombuffer(raw, np.uint64, 7), 56, []
-    for n, kind in zip(sizes.tolist(), (np.uint64, np.uint32, np.uint64, np.uint8, np.uint32, np.uint64, np.uint64), strict=True):
-        out.append(np.frombuffer(raw, kind, n, at))
-        at += n * np.dtype(kind).itemsize
-    count = out[3].astype(np.int64)
-    count[out[4]] = out[5].astype(np.int64)
-    shorter = out[6].reshape(len(out[0]), -1).T if len(out[6]) else []
-    return np.repeat(out[0], out[1]), out[2], count, *(np.repeat(c, out[1]) for c in shorter)
+    steps, a, b, c, word, tokens, shorter, *count = _parted(raw, np.uint8, np.uint8, np.uint32, np.uint64, np.uint64, np.uint8, np.uint8, np.uint8, np.uint32, np.uint64)
+    context, times = np.cumsum(_numbers(steps, np.uint64), dtype=np.uint64), _from_bytes(a, b, c)
+    below = word[_numbers(shorter, np.uint32)].reshape(len(context), -1).T if len(shorter) else []
+    return np.repeat(context, times), word[_numbers(tokens, np.uint32)], _from_bytes(*count), *(np.repeat(x, times) for x in below)
+
+
+def _packed_sums(keys: np.ndarray, sums: np.ndarray) -> bytes:
+    """Sorted keys and rows of sums."""
+    return _joined(_planes(np.diff(keys, prepend=np.uint64(0))), *_as_bytes(sums.ravel()))
+
+
+def _added(packed: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys, each once, and the sums of their rows."""
+    keys, sums = [np.zeros(0, np.uint64)], [np.zeros((0, width), np.int64)]
+    for raw in packed:
+        steps, *small = _parted(raw, np.uint8, np.uint8, np.uint32, np.uint64)
+        keys.append(np.cumsum(_numbers(steps, np.uint64), dtype=np.uint64))
+        sums.append(_from_bytes(*small).reshape(-1, width))
+    return _sum_by(np.concatenate(keys), np.concatenate(sums))
 
 
 class Folder:
-    """Arrays in the shared folder, by path where it is mounted and else by the
-    Arrow filesystem of its URI."""
+    """Arrays in the shared folder: mapped where it is mounted, else read through
+    the Arrow filesystem of its URI.  One that is missing is an error."""
 
     def __init__(self, uri: str):
         self.uri = uri
@@ -196,20 +243,19 @@ class Folder:
             f.write(blob(a))
         os.replace(part, f"{self.path}/{name}")  # a repeated task writes the same
 
+    def save_bytes(self, name: str, part: int, n: np.ndarray) -> None:
+        """Numbers in a byte each, and the few of 255 and more apart."""
+        small, wide, values = _as_bytes(n)
+        self.save(f"{name}-{part}", small)
+        self.save(f"{name}_wide-{part}", np.stack([wide.astype(np.uint64), values], axis=1))
+
     def map(self, name: str, kind) -> np.ndarray:
         if self.path is not None:
             path = f"{self.path}/{name}"
-            return np.memmap(path, kind, "r") if os.path.exists(path) and os.path.getsize(path) else np.zeros(0, kind)
+            return np.memmap(path, kind, "r") if os.path.getsize(path) else np.zeros(0, kind)
         system, root = self._fs()
-        from pyarrow import fs
-
-        if system.get_file_info(f"{root}/{name}").type != fs.FileType.File:
-            return np.zeros(0, kind)
-        with tempfile.TemporaryFile() as local, system.open_input_stream(f"{root}/{name}") as f:
-            while data := f.read(1 << 20):
-                local.write(data)
-            local.flush()
-            return np.memmap(local, kind, "r") if local.tell() else np.zeros(0, kind)
+        with system.open_input_file(f"{root}/{name}") as f:
+            return np.frombuffer(f.read(), kind)
 
 
 def _sum_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -224,10 +270,9 @@ def _of_level(name: str, level: int) -> str:
 
 
 def _save_contexts(folder: Folder, level: int, part: int, sums: list[bytes]) -> None:
-    raw = np.concatenate([np.frombuffer(s, np.int64).reshape(-1, 5) for s in sums] or [np.zeros((0, 5), np.int64)])
-    key, c = _sum_by(raw[:, 0].view(np.uint64), raw[:, 1:])
+    key, c = _added(sums, 4)
     folder.save(f"{_of_level('context', level)}-{part}", key)
-    folder.save(f"{_of_level('context_sums', level)}-{part}", c)
+    folder.save_bytes(_of_level("context_sums", level), part, c.ravel())
 
 
 def _merge(folder: Folder, parts: int, level: int, top: int):
@@ -247,41 +292,40 @@ def _merge(folder: Folder, parts: int, level: int, top: int):
         for k, s in zip(kinds, blobs, strict=True):
             if k in (1, 2, 4):
                 add(part, k, s)
-        held = [_unpacked(r) for k, r in zip(kinds, blobs, strict=True) if k == 3]
-        if held:
-            context, token, n, *shorter = (np.concatenate(c) for c in zip(*held, strict=True))
-            del held, blobs
-            g = gram(context, token)
-            order = np.argsort(g, kind="stable")
-            g, context, token, n, *shorter = (c[order] for c in (g, context, token, n, *shorter))
-            head = _heads(g, context, token)
-            g, context, token, n, *shorter = g[head], context[head], token[head], np.add.reduceat(n, head), *(c[head] for c in shorter)
-            folder.save(f"{_of_level('gram', level)}-{part}", g)
-            # one byte a count; the few of 255 and more are listed apart
-            wide = np.flatnonzero(n >= 255)
-            folder.save(f"{_of_level('count', level)}-{part}", np.minimum(n, 255).astype(np.uint8))
-            folder.save(f"{_of_level('wide', level)}-{part}", np.stack([wide, n[wide]], axis=1).astype(np.uint64))
-            own = np.stack([n, n == 1, n == 2, n > 2], axis=1).astype(np.int64)
-            # a word's count is that of the longest n-grams, its contexts are those of bigrams
-            last = np.stack([n if level == top else np.zeros_like(n), np.full_like(n, level == 2)], axis=1).astype(np.int64)
-            kept = [(0, context, own)] + ([(1, token, last)] if level in (2, top) else [])
-            for kind, keys, sums in ((k, *_sum_by(keys, sums)) for k, keys, sums in kept):
-                to = (mix(keys) % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(to, kind="stable")
-                head = _heads(to[order])
-                for a, b in zip(head, np.append(head[1:], len(order)), strict=True):
-                    i = order[a:b]
-                    add(int(to[i[0]]), kind, blob(np.concatenate([keys[i].view(np.int64)[:, None], sums[i]], axis=1)))
-            totals = [int((n == k).sum()) for k in (1, 2, 3, 4)]
-            add(part, 2 if level == 2 else 4, blob(np.array(totals if level == 2 else [level, *totals], np.int64)))
-            if level > 2:
-                lower, *shorter = shorter
-                order = np.argsort(gram(lower, token), kind="stable")
-                lower, token, *shorter = (c[order] for c in (lower, token, *shorter))
-                head = _heads(lower, token)
-                times = np.diff(head, append=len(lower))
-                for to, raw in zip(*_dealt(lower[head], token[head], times, [c[head] for c in shorter], parts), strict=True):
-                    add(to, 3, raw)
+        add(part, 9, b"")
+        # context, token, count and level - 2 shorter contexts
+        held = [_unpacked(r) for k, r in zip(kinds, blobs, strict=True) if k == 3] or [(np.zeros(0, np.uint64),) * (level + 1)]
+        context, token, n, *shorter = (np.concatenate(c) for c in zip(*held, strict=True))
+        n = n.astype(np.int64)
+        del held, blobs
+        g = gram(context, token)
+        order = np.argsort(g, kind="stable")
+        g, context, token, n, *shorter = (c[order] for c in (g, context, token, n, *shorter))
+        head = _heads(g, context, token)
+        g, context, token, n, *shorter = g[head], context[head], token[head], np.add.reduceat(n, head) if len(head) else n, *(c[head] for c in shorter)
+        folder.save(f"{_of_level('gram', level)}-{part}", g)
+        folder.save_bytes(_of_level("count", level), part, n)
+        own = np.stack([n, n == 1, n == 2, n > 2], axis=1).astype(np.int64)
+        # a word's count is that of the longest n-grams, its contexts are those of bigrams
+        last = np.stack([n if level == top else np.zeros_like(n), np.full_like(n, level == 2)], axis=1).astype(np.int64)
+        kept = [(0, context, own)] + ([(1, token, last)] if level in (2, top) else [])
+        for kind, keys, sums in ((k, *_sum_by(keys, sums)) for k, keys, sums in kept if len(keys)):
+            to = (mix(keys) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            head = _heads(to[order])
+            for a, b in zip(head, np.append(head[1:], len(order)), strict=True):
+                i = order[a:b]
+                add(int(to[i[0]]), kind, _packed_sums(keys[i], sums[i]))
+        totals = [int((n == k).sum()) for k in (1, 2, 3, 4)]
+        add(part, 2 if level == 2 else 4, blob(np.array(totals if level == 2 else [level, *totals], np.int64)))
+        if level > 2 and len(n):
+            lower, *shorter = shorter
+            order = np.argsort(gram(lower, token), kind="stable")
+            lower, token, *shorter = (c[order] for c in (lower, token, *shorter))
+            head = _heads(lower, token)
+            times = np.diff(head, append=len(lower))
+            for to, raw in zip(*_dealt(lower[head], token[head], times, [c[head] for c in shorter], parts), strict=True):
+                add(to, 3, raw)
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _SUMS, strict=True)], schema=_SUMS)
 
     return run
@@ -296,8 +340,7 @@ def _words(folder: Folder, order: int):
     def run(table: pa.Table) -> pa.Table:
         part, kinds, sums = table.column("part")[0].as_py(), table.column("kind").to_numpy(), table.column("sums").to_pylist()
         _save_contexts(folder, 2, part, [s for k, s in zip(kinds, sums, strict=True) if k == 0])
-        raw = np.concatenate([np.frombuffer(s, np.int64).reshape(-1, 3) for k, s in zip(kinds, sums, strict=True) if k == 1] or [np.zeros((0, 3), np.int64)])
-        w_key, w = _sum_by(raw[:, 0].view(np.uint64), raw[:, 1:])
+        w_key, w = _added([s for k, s in zip(kinds, sums, strict=True) if k == 1], 2)
         for name, a in (("word", w_key), ("word_sums", w)):
             folder.save(f"{name}-{part}", a)
         seen = w[:, 1] if len(w) else np.zeros(0, np.int64)
@@ -344,6 +387,8 @@ def train(docs: DataFrame, parts: int | None = None, order: int = 2) -> Model:
     parts = parts or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")), text_bytes(docs) * (order - 1) // PART_BYTES)
     texts = plain(docs, "text").select(F.col("text").cast("string"))
     sums = texts.mapInArrow(_count(parts, order), "part int, kind byte, sums binary")
+    # every part runs at every level, and so has all of its files
+    sums = sums.unionAll(spark.range(parts).select(F.col("id").cast("int"), F.lit(9).cast("byte"), F.lit(b"")))
     for level in range(order, 1, -1):
         sums = sums.groupBy("part").applyInArrow(_merge(folder, parts, level, order), "part int, kind byte, sums binary")
     words = sums.groupBy("part").applyInArrow(_words(folder, order), "totals array<long>")
@@ -357,16 +402,19 @@ class Reader:
     """A worker's view of the memory-mapped arrays."""
 
     def __init__(self, model: Model):
-        self.m, self.folder, self.maps = model, Folder(model.folder), {}
+        self.m, self.folder, self.maps, self.held = model, Folder(model.folder), {}, 0
 
     def _map(self, name: str, part: int, kind, width: int = 1) -> np.ndarray:
         key = f"{name}-{part}"
         if key not in self.maps:
             a = self.folder.map(key, kind)
-            if len(self.maps) >= MAPS:
-                self.maps.pop(next(iter(self.maps)))  # the oldest: parts are read in turn
-            self.maps[key] = a.reshape(-1, width) if width > 1 else a
-        return self.maps[key]
+            own = 0 if isinstance(a, np.memmap) else a.nbytes
+            while self.maps and (len(self.maps) >= MAPS or own and self.held + own > HELD_BYTES):
+                _, old = self.maps.pop(next(iter(self.maps)))  # the oldest: parts are read in turn
+                self.held -= old
+            self.held += own
+            self.maps[key] = (a.reshape(-1, width) if width > 1 else a), own
+        return self.maps[key][0]
 
     def _look(self, part: np.ndarray, key: np.ndarray, names: tuple[str, str], kind, width: int) -> np.ndarray:
         """Values of distinct keys, each in its part's arrays; zero if absent."""
@@ -375,15 +423,18 @@ class Reader:
         head = _heads(part[order])
         for a, b in zip(head, np.append(head[1:], len(order)), strict=True):
             i = order[a:b]
-            have, values = self._map(names[0], int(part[i[0]]), np.uint64), self._map(names[1], int(part[i[0]]), kind, width)
+            p = int(part[i[0]])
+            have, values = self._map(names[0], p, np.uint64), self._map(names[1], p, kind, width)
             if not len(have):
                 continue
             at = np.minimum(np.searchsorted(have, key[i]), len(have) - 1)
             hit = have[at] == key[i]
             found = np.asarray(values[at[hit]]).reshape(-1, width).astype(np.int64)
-            if kind is np.uint8 and (full := found[:, 0] == 255).any():
-                wide = self._map(names[1].replace("count", "wide"), int(part[i[0]]), np.uint64, 2)
-                found[full, 0] = wide[np.searchsorted(wide[:, 0], at[hit][full].astype(np.uint64)), 1]
+            if kind is np.uint8 and (full := found == 255).any():
+                wide = self._map(f"{names[1]}_wide", p, np.uint64, 2)
+                row, column = np.nonzero(full)
+                place = at[hit][row].astype(np.uint64) * np.uint64(width) + column.astype(np.uint64)
+                found[full] = wide[np.searchsorted(wide[:, 0], place), 1]
             out[i[hit]] = found
         return out
 
@@ -408,7 +459,7 @@ class Reader:
             g, at, of_gram = np.unique(gram(context, token), return_index=True, return_inverse=True)
             own = self._look(part_of(context[at], token[at], m.parts), g, (_of_level("gram", level), _of_level("count", level)), np.uint8, 1)[:, 0]
             before, of_before = np.unique(context[at], return_inverse=True)
-            c = self._look((mix(before) % np.uint64(m.parts)).astype(np.int64), before, (_of_level("context", level), _of_level("context_sums", level)), np.int64, 4)[of_before]
+            c = self._look((mix(before) % np.uint64(m.parts)).astype(np.int64), before, (_of_level("context", level), _of_level("context_sums", level)), np.uint8, 4)[of_before]
             total = np.maximum(c[:, 0], 1)
             back = np.where(c[:, 0] > 0, (c[:, 1:] @ d[1:]) / total, 1.0)
             p = (np.maximum(own - d[np.minimum(own, 3)], 0) / total)[of_gram] + back[of_gram] * p

@@ -327,3 +327,40 @@ def test_kneser_ney_trigrams(spark):
     for d, w in tokens.items():
         assert math.isclose(got[d].score, sum(math.log10(p(g)) for g in zip(["<s>", "<s>", *w], ["<s>", *w], w)), abs_tol=1e-9)
         assert got[d].train_tokens == sum(grams.values())
+
+
+def test_kneser_ney_missing_part(spark):
+    """A part that is gone is an error, not an empty one."""
+    import os
+
+    df = frame(spark, ["a b c", "a b d", "b c"])
+    model = kneser_ney.train(df, 4, order=3)
+    folder = kneser_ney.Folder(model.folder)
+    assert sum(len(folder.map(f"gram3-{p}", np.uint64)) for p in range(4)) > 0
+    os.remove(f"{folder.path}/gram3-1")
+    with pytest.raises(FileNotFoundError):
+        folder.map("gram3-1", np.uint64)
+    with pytest.raises(Exception, match="gram3-1"):
+        [kneser_ney.Reader(model)._map("gram3", p, np.uint64) for p in range(4)]
+
+
+def test_kneser_ney_of_common_words(spark):
+    """Counts and sums far above a byte."""
+    texts = ["the cat"] * 300 + ["the dog"] * 3 + [None] * 300 + [f"the w{i} cat" for i in range(400)]
+    got = {r.doc_id: r.score for r in kneser_ney.score(frame(spark, texts), 5, 2).collect()}
+    held = [zlib.crc32(str(d).encode()) % 7 == 2 for d in range(len(texts))]
+    bi = collections.Counter()
+    for t, h in zip(texts, held, strict=True):
+        w = [*(t or "").split(), "</s>"]
+        bi.update([] if h else zip(["<s>", *w], w))
+    seen = collections.Counter(w for _, w in bi)
+    d2, d1 = (kneser_ney.discounts(*[sum(x == k for x in c.values()) for k in (1, 2, 3, 4)]) for c in (bi, seen))
+    free = sum(d1[min(x, 3)] for x in seen.values()) / len(bi)
+
+    def p(c, w):
+        lower = max(seen[w] - d1[min(seen[w], 3)], 0) / len(bi) + free / (len(seen) + 1)
+        after = [k for (a, _), k in bi.items() if a == c]
+        return (max(bi[c, w] - d2[min(bi[c, w], 3)], 0) + sum(d2[min(k, 3)] for k in after) * lower) / sum(after)
+
+    assert math.isclose(got[0], sum(math.log10(p(c, w)) for c, w in [("<s>", "the"), ("the", "cat"), ("cat", "</s>")]), abs_tol=1e-9)
+    assert math.isclose(got[400], math.log10(p("<s>", "</s>")), abs_tol=1e-9)
