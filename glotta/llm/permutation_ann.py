@@ -4,13 +4,16 @@ Each vector is represented by its ``PREFIX`` nearest of ``PIVOTS`` pivots in
 order.  Every vector is posted, with the pivot's place, to the inverted files of
 its pivots; as a prefix names half of the pivots, a file is a dense row of
 places.  A query walks the files of its own pivots and adds up the footrule
-distance (a missing pivot counts as place ``PREFIX``); the nearest ``SHARE`` of
-a block's vectors by footrule (but no fewer than an answer needs) are reranked
-by true distance.
+distance (a missing pivot counts as place ``PREFIX``).  A block has two sets of
+pivots, and so two indexes: vectors as they come, many of them from where the
+vectors are dense, and vectors apart from each other, so that a crowd doesn't
+take the first places of all permutations.  The nearest by each footrule, half
+of ``SHARE`` of the block's vectors (but no fewer than an answer needs), are
+reranked by true distance.
 
 Vectors of one length are dealt into blocks of ``BLOCK_VALUES`` numbers by a hash
 of vec_id, so no cluster or group of copies meets in one block; a block's pivots
-are those of its vectors whose ids hash least.  Each block answers with its ``k``
+are chosen among its vectors by a hash of their ids.  Each block answers with its ``k``
 best and a small top-k per query joins them.  Equal vectors fold into one within
 a block, so copies crowd nothing out.  Neither vectors nor pivots leave the
 executors, and the result doesn't depend on how many there are.
@@ -83,14 +86,40 @@ class Index:
                 some[:] = 0
         return out + some - sum(2 * self.prefix - q for q in range(len(near)))
 
-    def nearest(self, query: np.ndarray, near: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-        """The ``count`` first by footrule, and their true distances."""
-        foot = self.footrule(near)
-        if count < len(foot):
-            cut = np.partition(foot, count - 1)[count - 1]
-            at = np.flatnonzero(foot <= cut)  # ties at the cut stay
-        else:
-            at = np.arange(len(foot))
+    def candidates(self, query: np.ndarray, count: int) -> np.ndarray:
+        """The ``count`` first by footrule, with ties."""
+        if count >= len(self.vectors):
+            return np.arange(len(self.vectors))
+        foot = self.footrule(_places(query[None, :], self.pivots, self.prefix)[0])
+        return np.flatnonzero(foot <= np.partition(foot, count - 1)[count - 1])
+
+
+def _apart(x: np.ndarray, n: int) -> np.ndarray:
+    """Up to ``n`` of the vectors, in order, each at least half of the median
+    distance from those before."""
+    d = np.sqrt(np.maximum((x**2).sum(1)[:, None] + (x**2).sum(1)[None, :] - 2 * x @ x.T, 0))
+    least, near, out = np.median(d) / 2, np.zeros(len(x), bool), []
+    for i in range(len(x)):
+        if not near[i]:
+            out.append(i)
+            near |= d[i] < least
+            if len(out) == n:
+                break
+    return x[out]
+
+
+class Indexes:
+    """A block's two indexes."""
+
+    def __init__(self, vectors: np.ndarray, ids: np.ndarray, pivots: int, prefix: int):
+        self.vectors = vectors
+        some = vectors[np.argsort(mix(ids.view(np.uint64)), kind="stable")[: 5 * pivots]]
+        apart = _apart(some[pivots:] if len(some) > 2 * pivots else some, pivots)
+        self.both = [Index(vectors, p, prefix) for p in (some[:pivots], apart)]
+
+    def nearest(self, query: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """Candidates, ``count`` by each index, and their true distances."""
+        at = np.union1d(*(i.candidates(query, count) for i in self.both))
         return at, np.sqrt(((self.vectors[at] - query) ** 2).sum(axis=1))
 
 
@@ -108,13 +137,11 @@ def _search(k: int, pivots: int, prefix: int, share: float):
         _, head, which = np.unique((x + 0.0).view(f"V{8 * x.shape[1]}").ravel(), return_index=True, return_inverse=True)
         by = np.argsort(which, kind="stable")
         edge = np.searchsorted(which[by], np.arange(len(head) + 1))
-        chosen = head[np.argsort(mix(ids[head].view(np.uint64)), kind="stable")[:pivots]]
-        index = Index(x[head], x[chosen], prefix)
-        near = _places(q, index.pivots, index.prefix)
-        count = max(k + 1, int(np.ceil(share * len(head))))
+        indexes = Indexes(x[head], ids[head], pivots, prefix)
+        count = max(k + 1, int(np.ceil(share / 2 * len(head))))
         out = [], [], []
         for i in range(len(qid)):
-            at, d = index.nearest(q[i], near[i], count)
+            at, d = indexes.nearest(q[i], count)
             if len(at) > k + 1:
                 best = d <= np.partition(d, k)[k]
                 at, d = at[best], d[best]

@@ -346,15 +346,25 @@ def test_wrapper_with_a_stub(spark):
 
 def recall(x, queries, share=permutation_ann.SHARE):
     """Share of the true ten nearest among those reranked, and reranked share."""
-    index = permutation_ann.Index(x, x[: permutation_ann.PIVOTS], permutation_ann.PREFIX)
+    index = permutation_ann.Indexes(x, np.arange(len(x)), permutation_ann.PIVOTS, permutation_ann.PREFIX)
     hits, seen = 0, 0
     for q in queries:
-        at, _ = index.nearest(x[q], permutation_ann._places(x[q : q + 1], index.pivots, index.prefix)[0], int(np.ceil(share * len(x))))
+        at, _ = index.nearest(x[q], int(np.ceil(share / 2 * len(x))))
         best = np.argsort(((x - x[q]) ** 2).sum(axis=1))[1:11]
         hits, seen = hits + len(set(best) & set(at)), seen + len(at)
     return hits / 10 / len(queries), seen / len(x) / len(queries)
 
 
+def test_recall_beside_a_crowd():
+    """A fifth of all vectors in one spot crowds nothing out, and is searched."""
+    rnd = np.random.default_rng(5)
+    x = rnd.normal(size=(10_000, 64))
+    x[::5] = x[0] + 0.1 * rnd.normal(size=(2000, 64))
+    for queries in (range(1, 200, 5), range(5, 200, 5)):
+        found, seen = recall(x, queries)
+        assert found >= 0.9 and seen <= 0.105
+
+
 def test_recall_of_a_full_block():
     """The index by itself prunes, and still finds."""
     x = np.random.default_rng(3).normal(size=(permutation_ann.BLOCK_VALUES // 64, 64))
