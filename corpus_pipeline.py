@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from glotta.llm import minhash_dedup, packing, pii, substring_dedup, toxicity
-from glotta.llm.common import materialize, read_table
+from glotta.llm.common import made, read_table, settled
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    """The stages in order; what a stage wrote goes when the next one is done."""
+    docs, since = read_table(spark, sf_dir, "documents"), made()
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        docs = settled(lambda: stage(spark, docs, sf_dir), name, since)  # noqa: B023
     return STAGES[-1][1](spark, docs, sf_dir)

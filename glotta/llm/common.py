@@ -13,7 +13,7 @@ import shutil
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import spread, table
 
+# Workers live on between tasks: what a batch held goes back to the system.
+pa.set_memory_pool(pa.system_memory_pool())
+
 #: Bytes of text that one numpy pass handles at a time.
 CHUNK_BYTES = 4 << 20
 
@@ -51,14 +54,35 @@ def _test_dir() -> str:
     return f"file://{_TEST_DIR[0]}"
 
 
+#: Tables that ``materialize`` made and nobody has deleted.
+_MADE: list[str] = []
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends
     there, and a lost executor costs no recomputation."""
     path = f"{shared_dir(df.sparkSession)}/{name}"
     df.write.parquet(path)
+    _MADE.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def made() -> int:
+    return len(_MADE)
+
+
+def settled(make: Callable[[], DataFrame], name: str, since: int | None = None) -> DataFrame:
+    """``make()`` written and read back; the tables made on its way, or since
+    ``made()`` was ``since``, are deleted."""
+    since = len(_MADE) if since is None else since
+    df = materialize(make(), name)
+    for path in _MADE[since:-1]:
+        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder.getParent(), True)
+    del _MADE[since:-1]
+    return df
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -286,10 +310,11 @@ def membership(ids: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return out
 
 
-def by_membership(df: DataFrame, column: str, ids: DataFrame, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``df`` whose ``column`` may be in ``ids``, and the others, which
-    surely aren't; a join for the former then keeps most wide rows out of the
-    shuffle."""
+def by_membership(df: DataFrame, column: str, ids: DataFrame, bits: int = FILTER_BITS):
+    """Two filters of ``df``'s batches for ``mapInArrow``: rows whose ``column``
+    may be in ``ids``, and the others, which surely aren't.  A join for the
+    former then keeps most wide rows out of the shuffle.  What else a task does
+    to a batch goes into the same function, as each has a worker of its own."""
     sent = df.sparkSession.sparkContext.broadcast(membership(ids, bits))
     k = df.columns.index(column)
 
@@ -306,11 +331,11 @@ def by_membership(df: DataFrame, column: str, ids: DataFrame, bits: int = FILTER
 
         return run
 
-    return df.mapInArrow(only(True), df.schema), df.mapInArrow(only(False), df.schema)
+    return only(True), only(False)
 
 
 def only_members(df: DataFrame, column: str, ids: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    return by_membership(df, column, ids, bits)[0]
+    return df.mapInArrow(by_membership(df, column, ids, bits)[0], df.schema)
 
 
 # ---------------------------------------------------------------- heavy keys

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import Words, batch, blob, by_membership, join_counted, materialize, mix, only_members, plain, ship, text_slices
+from .common import Words, batch, blob, by_membership, join_counted, materialize, mix, only_members, plain, settled, ship, text_slices
 from .components import connected_components
 
 SHINGLE = 3
@@ -49,8 +49,9 @@ LEAST = 0.68
 #: Members, and about how many shingles, that make one side of a comparison.
 BLOCK = 512
 BLOCK_SHINGLES = 1 << 20
-#: Text bytes whose groups are decided at a time; one group may have more.
-DECIDE_BYTES = 8 << 20
+#: Text bytes that are shingled at a time, and whose groups are decided at a
+#: time; one group may have more.
+SIGN_BYTES, DECIDE_BYTES = 3 << 19, 2 << 20
 
 _VALUES = 2 * PERMUTATIONS
 _SIGNED = pa.schema([("row_id", pa.int64()), ("n_shingles", pa.int64()), ("one", pa.int64()), ("two", pa.int64()), ("signature", pa.binary())])
@@ -118,18 +119,18 @@ def _digests(value: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _sign(batches, shingle: int = SHINGLE):
-    for b in text_slices(batches, 1, 3 << 20):
+    for b in text_slices(batches, 1, SIGN_BYTES):
         value, offs = shingles(b.column(1), shingle)
         n = np.diff(offs)
         yield batch(_SIGNED, b.column(0), n, *_digests(value, offs), [blob(r) if m else None for r, m in zip(signatures(value, offs), n, strict=True)])
 
 
-def _with_set(docs: DataFrame, names: list[str], shingle: int) -> DataFrame:
-    """``docs`` with the digests of their sets."""
+def _with_set(docs: DataFrame, some, names: list[str], shingle: int) -> DataFrame:
+    """``some`` of the documents with the digests of their sets."""
     text = docs.columns.index("text")
 
     def run(batches):
-        for b in text_slices(batches, text, 3 << 20):
+        for b in text_slices(some(batches), text, SIGN_BYTES):
             digests = _digests(*shingles(b.column(text).cast(pa.string()), shingle))
             yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, digests)], names=[*b.schema.names, *names])
 
@@ -298,21 +299,28 @@ def _classes(docs: DataFrame, share: int, block: int, shingle: int) -> DataFrame
     width = 2 * size_of_band
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("signature", 1 + i * width, width)) for i in range(_VALUES // size_of_band)])
     bands = reps.select("rep", F.explode(keys).alias("key"))
-    counts = materialize(bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "bands")
-    met = _in_blocks(join_counted(bands, counts, ["key"], "size", _total(counts, "size")), "key", F.ceil(F.col("size") / block))
-    met = met.join(reps.select("rep", "signature"), "rep").select("group", "i", "j", "rep", "signature")
-    near = met.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "rep").mapInArrow(partial(_compare, least=least), "u long, v long")
-    candidates = connected_components(near).join(reps.groupBy(F.col("rep").alias("node")).agg(F.max("shingles").alias("shingles")), "node")
-    candidates = materialize(candidates, "candidates")
-
-    sizes = materialize(candidates.groupBy("component").agg(F.count("*").alias("size"), F.sum("shingles").alias("shingles_")), "sizes")
-    members = join_counted(candidates.select(F.col("node").alias("rep"), "component"), sizes, ["component"], "size", _total(sizes, "size"))
-    blocks = F.greatest(F.ceil(F.col("size") / block), F.least("size", F.ceil(F.col("shingles_") / BLOCK_SHINGLES)))
-    members = _in_blocks(members, "component", blocks)
-    some = only_members(docs, "doc_id", candidates.select("node"))
-    texts = members.join(some, members.rep == some.doc_id).select("group", "i", "j", "rep", "text")
-    links = texts.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "rep").mapInArrow(_verify(share, shingle), "u long, v long")
-    components = connected_components(links)
+
+    def candidates_() -> DataFrame:
+        counts = materialize(bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "bands")
+        met = _in_blocks(join_counted(bands, counts, ["key"], "size", _total(counts, "size")), "key", F.ceil(F.col("size") / block))
+        met = met.join(reps.select("rep", "signature"), "rep").select("group", "i", "j", "rep", "signature")
+        near = met.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "rep").mapInArrow(partial(_compare, least=least), "u long, v long")
+        sized = reps.groupBy(F.col("rep").alias("node")).agg(F.max("shingles").alias("shingles"))
+        return connected_components(near).join(sized, "node")
+
+    candidates = settled(candidates_, "candidates")
+
+    def components_() -> DataFrame:
+        sizes = materialize(candidates.groupBy("component").agg(F.count("*").alias("size"), F.sum("shingles").alias("shingles_")), "sizes")
+        members = join_counted(candidates.select(F.col("node").alias("rep"), "component"), sizes, ["component"], "size", _total(sizes, "size"))
+        blocks = F.greatest(F.ceil(F.col("size") / block), F.least("size", F.ceil(F.col("shingles_") / BLOCK_SHINGLES)))
+        members = _in_blocks(members, "component", blocks)
+        some = only_members(docs, "doc_id", candidates.select("node"))
+        texts = members.join(some, members.rep == some.doc_id).select("group", "i", "j", "rep", "text")
+        links = texts.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "rep").mapInArrow(_verify(share, shingle), "u long, v long")
+        return connected_components(links)
+
+    components = settled(components_, "components")
 
     named = reps.select("one", "two", "rep", "copies").join(components, F.col("rep") == F.col("node"), "left")
     named = named.select("one", "two", "copies", F.coalesce("component", "rep").alias("component"))
@@ -340,5 +348,5 @@ def keep_one(docs: DataFrame, share: int = SHARE, shingle: int = SHINGLE) -> Dat
     typed = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     some, others = by_membership(typed, "doc_id", gone.select("doc_id"))
     names = [next(n for n in (f"_{k}{'_' * i}" for i in range(len(docs.columns) + 1)) if n not in docs.columns) for k in ("one", "two")]
-    kept = _with_set(some, names, shingle).join(gone.toDF("doc_id", *names), ["doc_id", *names], "left_anti")
-    return others.unionAll(kept.select(*docs.columns)).select(*[F.col(f"`{c}`").cast(docs.schema[c].dataType) for c in docs.columns])
+    kept = _with_set(typed, some, names, shingle).join(gone.toDF("doc_id", *names), ["doc_id", *names], "left_anti")
+    return typed.mapInArrow(others, typed.schema).unionAll(kept.select(*docs.columns)).select(*[F.col(f"`{c}`").cast(docs.schema[c].dataType) for c in docs.columns])

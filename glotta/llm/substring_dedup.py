@@ -163,17 +163,17 @@ def repeated_bits(docs: DataFrame, k: int, cells: int) -> np.ndarray:
 
 def _candidates(k: int, cells: int, bits, buckets: int):
     def flush(held: list[tuple]) -> pa.RecordBatch:
-        one, two, doc = (np.concatenate(c) for c in zip(*held, strict=True))
+        keys, one, two, doc = (np.concatenate(c) for c in zip(*held, strict=True))
         order = np.lexsort((doc, two, one))
-        one, two, doc = one[order], two[order], doc[order]
+        keys, one, two, doc = keys[order], one[order], two[order], doc[order]
         new = np.ones(len(one), bool)
         new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
         least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
         pair = doc > least  # a smaller document of this task has it
         rows = [], [], []
         # the least document of each window is judged by the others' tasks
-        # by window, not by key: the windows of a common passage share keys
-        bucket = (mix(one[new]) % np.uint64(buckets)).astype(np.int64)
+        # the windows of a common passage share keys: they are dealt to four buckets each
+        bucket = (mix(keys[new] + (one[new] & np.uint64(3))) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         table = np.stack([one[new], two[new], doc[new].view(np.uint64)], axis=1)[order]
         _cut(rows, bucket[order], table, 0)
@@ -198,7 +198,7 @@ def _candidates(k: int, cells: int, bits, buckets: int):
                 hit &= (is_repeated[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 > 0
             if not hit.any():
                 continue
-            held.append((w.one()[hit], w.two()[hit], ids[w.doc[hit]]))
+            held.append((keys[hit], w.one()[hit], w.two()[hit], ids[w.doc[hit]]))
             n += int(hit.sum())
             if n >= HELD:
                 yield flush(held)
@@ -302,16 +302,23 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, cells: int | None = None) -
     one space) for every row."""
     flags = _repeats(docs, k, cells)
     docs = plain(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return _with_flags(docs, flags).mapInArrow(_digest(k), "row_id long, n_words long, n_removed long, kept_sha256 string").withColumnRenamed("row_id", "doc_id")
+    return _flagged(docs, flags, _digest(k), "row_id long, n_words long, n_removed long, kept_sha256 string").withColumnRenamed("row_id", "doc_id")
 
 
-def _with_flags(docs: DataFrame, flags: DataFrame) -> DataFrame:
-    """``docs`` with their flags as a last column; texts without any stay out of
-    the shuffle."""
-    names, last = docs.columns, F.lit(None).cast("array<binary>")
+def _flagged(docs: DataFrame, flags: DataFrame, run, schema) -> DataFrame:
+    """``run`` over ``docs`` with their flags as a last column; texts without any
+    stay out of the shuffle."""
+    names = docs.columns
     some, others = by_membership(docs, "doc_id", flags.select("_id"))
-    joined = some.join(flags, some["doc_id"] == flags["_id"], "left").select(*[some[c] for c in names], flags["_hashes"])
-    return joined.unionAll(others.select(*[F.col(f"`{c}`") for c in names], last))
+
+    def plain_ones(batches):
+        for b in others(batches):
+            none = pa.nulls(b.num_rows, pa.list_(pa.binary()))
+            yield from run(iter([pa.RecordBatch.from_arrays([*b.columns, none], names=[*b.schema.names, "_hashes"])]))
+
+    members = docs.mapInArrow(some, docs.schema)
+    joined = members.join(flags, members["doc_id"] == flags["_id"], "left").select(*[members[c] for c in names], flags["_hashes"])
+    return joined.mapInArrow(run, schema).unionAll(docs.mapInArrow(plain_ones, schema))
 
 
 def without_repeats(docs: DataFrame, k: int = WINDOW, cells: int | None = None) -> DataFrame:
@@ -334,7 +341,7 @@ def without_repeats(docs: DataFrame, k: int = WINDOW, cells: int | None = None)
                 col = pa.array(values, col.type)
             yield pa.RecordBatch.from_arrays([col if i == text else b.column(i) for i in range(len(names))], names=names)
 
-    out = _with_flags(docs, flags).mapInArrow(run, docs.schema)
+    out = _flagged(docs, flags, run, docs.schema)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out

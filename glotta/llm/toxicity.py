@@ -49,7 +49,7 @@ PRIORS = (0.005, 0.02)
 THRESHOLDS = (3.0, 4.0, 5.0, 6.0, 8.0)
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 4
 #: Text bytes whose features a task holds at a time.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _GAP = np.ones(256, bool)
 _GAP[97:123] = False
@@ -76,7 +76,7 @@ _COUNTS = pa.schema([("feature", pa.int64()), ("toxic", pa.int64()), ("clean", p
 
 def _count(batches):
     # each token has up to six features, so slices are small
-    for b in text_slices(batches, 0, SLICE_BYTES // 2):
+    for b in text_slices(batches, 0, SLICE_BYTES):
         label = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
         w, kinds = _features(b.column(0))
         doc = w.doc()

@@ -618,6 +618,7 @@ def _streamed(batches, known: dict | None):
     """Slices of pages, and a function that gives a host's wrappers: of the
     broadcast ones, or those that came just before."""
     trees: dict[str, list[Wrapper]] = {}
+    last = ROW
 
     def wrappers(host: str | None) -> list[Wrapper]:
         if known is not None and host is not None and host not in trees and host in known:
@@ -635,9 +636,10 @@ def _streamed(batches, known: dict | None):
                     yield rows[at:k], wrappers
                 at = k + 1
                 if k < len(rows):
-                    _, host, _, _, page, fixed, region = rows[k]
-                    if host not in trees:
+                    which, host, _, _, page, fixed, region = rows[k]
+                    if host not in trees or which <= last:  # a host or a share of it begins
                         trees.clear()
+                    last = which
                     trees.setdefault(host, []).append(Wrapper(page, fixed or [], -1 if region is None else region))
 
 

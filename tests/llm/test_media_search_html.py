@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -477,3 +478,15 @@ def test_marks_only_break_ties(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     on, off = ({r.page_id: r.text for r in wrapper_induction.main_text(pages, marks).collect()} for marks in (True, False))
     assert len(on) == pages.count() and sum(on[i] == off[i] for i in on) >= 0.99 * len(on)
+
+
+def test_streamed_wrappers():
+    """Each share of a host's pages goes by the wrappers that came before it."""
+    schema = pa.schema([("which", pa.int32()), ("host", pa.string()), ("page_id", pa.int64()), ("url", pa.string()), ("html", pa.string()), ("fixed", pa.list_(pa.int32())), ("region", pa.int32())])
+    wrapper = lambda which, host, html: (which, host, None, None, html, [], 0)
+    page = lambda host, i: (wrapper_induction.ROW, host, i, "u", "<p>x", None, None)
+    both = [wrapper(0, "h", "<p>a"), wrapper(1, "h", "<p>b")]
+    rows = [*both, page("h", 1), *both, *both, page("h", 2), wrapper(1, "g", "<p>c"), page("g", 3), page("g", 4), wrapper(1, "g", "<p>c"), page("g", 5), page(None, 6)]
+    b = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+    got = {r[2]: [w.page for w in wrappers(r[1])] for some, wrappers in wrapper_induction._streamed([b], None) for r in some}
+    assert got == {1: ["<p>a", "<p>b"], 2: ["<p>a", "<p>b"], 3: ["<p>c"], 4: ["<p>c"], 5: ["<p>c"], 6: []}

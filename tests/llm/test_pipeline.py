@@ -56,3 +56,20 @@ def test_stages(spark, tmp_path):
     tokenizer = word_bpe._library(word_bpe.default_path())
     assert sum(r.length for r in packed) == sum(len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for t in masked.values())
     assert sorted(map(tuple, packed)) == sorted(map(tuple, corpus_pipeline.run(spark, DATA).collect()))
+
+
+def test_stages_on_few_and_repeated_rows(spark):
+    """No rows, null texts and ids, repeated rows, and one id with two texts."""
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    texts = [(1, "a b c d"), (1, "a b c d"), (2, "a b c d"), (2, "x y z"), (3, None), (None, "q r s"), (None, None), (4, "")]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in texts], columns)
+    want = [texts[i] for i in (0, 1, 3, 4, 5, 6, 7)]
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), DATA).count() == 0, name
+        out = stage(spark, docs, DATA)
+        if name == "packing":
+            assert out.count() == len(texts)
+        else:
+            kept = want if name == "near_dedup" else texts
+            assert out.columns == docs.columns
+            assert sorted(((r.doc_id, r.text) for r in out.collect()), key=repr) == sorted(kept, key=repr), name
