@@ -27,7 +27,7 @@ from ..sources.tables import spread, table
 pa.set_memory_pool(pa.system_memory_pool())
 
 #: Bytes of text that one numpy pass handles at a time.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
