@@ -7,8 +7,8 @@ task ends with exact counts of its n-grams, writes them as sorted hash arrays
 to the shared folder, and passes on partial sums per context and last word.
 Those are added up per word into one more family of sorted arrays.
 
-Scoring: workers memory-map the arrays, look up each slice's distinct n-grams
-in sorted order, and interpolate
+Scoring by that model, ``score_by``: workers memory-map the arrays, look up
+each slice's distinct n-grams in sorted order, and interpolate
 
     p(w | h) = max(c(hw) - D, 0) / c(h) + g(h) p(w | h without its first word)
     p1(w)    = max(N1+(.w) - D', 0) / N1+(..) + g' / (V + 1)
@@ -16,6 +16,9 @@ in sorted order, and interpolate
 with the three discounts D estimated from counts of counts, g(h) what they
 free, and the last term shared by all V known words and one unknown.
 
+``score`` does the same for the corpus that the model is of, in
+``kneser_ney_scores``, by one exchange of its n-grams and without a model on disk.
+
 ``order`` is the n-grams' length.  Those shorter than ``order`` count the
 distinct n-grams that end in them.  Texts get order - 1 starts before them and
 one end token.  A hash has 64 bits.
@@ -483,8 +486,14 @@ def _apply(model: Model):
 def score(docs: DataFrame, parts: int | None = None, order: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and
     perplexity of every row, by a model of the rows that aren't held out."""
+    from .kneser_ney_scores import scores
+
+    return scores(plain(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string")), parts, order)
+
+
+def score_by(model: Model, docs: DataFrame) -> DataFrame:
+    """What ``score`` returns, by a model that ``train`` has left in the folder."""
     docs = plain(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    model = train(docs.where(~held_out()), parts, order)
     out = docs.mapInArrow(_apply(model), "row_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")
     out = out.withColumnRenamed("row_id", "doc_id").withColumn("held_out", held_out())
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")

@@ -364,3 +364,67 @@ def test_kneser_ney_of_common_words(spark):
 
     assert math.isclose(got[0], sum(math.log10(p(c, w)) for c, w in [("<s>", "the"), ("the", "cat"), ("cat", "</s>")]), abs_tol=1e-9)
     assert math.isclose(got[400], math.log10(p("<s>", "</s>")), abs_tol=1e-9)
+
+
+def test_kneser_ney_scores_as_by_a_model(spark):
+    """Any order, words in many parts, frequent ones in shares, rows without ids."""
+    from glotta.llm import kneser_ney_scores
+
+    rnd = random.Random(11)
+    vocabulary = ["the", "The", "é"] + [f"w{i}" for i in range(40)]
+    texts = [None, "", " the "] + [" ".join(rnd.choices(vocabulary, weights=range(len(vocabulary), 0, -1), k=rnd.randint(0, 30))) for _ in range(150)]
+    rows = [(i, t, i) for i, t in enumerate(texts)] + [(None, "the w1 w2 w3", 0), (7, "w1 w1 w1 new", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(3)
+    frequent, salts = kneser_ney_scores._frequent(df, 10**4, 60)
+    assert len(frequent) > 5 and salts == kneser_ney_scores.SALTS
+    flat = lambda out: sorted(map(tuple, out.collect()), key=str)
+    for order in (2, 3, 4):
+        want = flat(kneser_ney.score_by(kneser_ney.train(df.where(~kneser_ney.held_out()), 5, order), df))
+        for parts in (1, 60):
+            got = flat(kneser_ney.score(df, parts, order))
+            assert len(got) == len(rows) and [r[:5] for r in got] == [r[:5] for r in want]
+            assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9, atol=1e-9)
+
+
+def test_kneser_ney_scores_keys():
+    from glotta.llm import kneser_ney_scores
+
+    rng = np.random.default_rng(3)
+    columns = [rng.integers(0, 5, 2000) for _ in range(4)]
+    order = np.lexsort(columns[::-1])
+    for size in (5, 1 << 40):
+        key = kneser_ney_scores._key(columns, [size] * 4)
+        assert (np.sort(key) == key[order]).all()
+        assert len(np.unique(key)) == len(set(zip(*columns)))
+
+
+def test_kneser_ney_scores_missing_totals(spark, tmp_path):
+    from glotta.llm import kneser_ney_scores
+
+    plan = kneser_ney_scores.Plan(f"file://{tmp_path}", 2, 3, np.zeros(0, np.uint64), 16)
+    kneser_ney_scores._save_totals(plan, 0, np.zeros((4, 4), np.int64), np.zeros(9, np.int64), np.zeros((0, 8), np.uint64))
+    with pytest.raises(FileNotFoundError):
+        kneser_ney_scores.Totals(plan)
+
+
+def test_kneser_ney_trigrams_in_little_disk(spark, tmp_path, monkeypatch):
+    """Shuffle files and the folder take less than 12 bytes a token: 4 times the
+    input are 15 where a token takes 3.7, as in the tool's documents."""
+    import os
+
+    from glotta.llm import kneser_ney_scores
+
+    monkeypatch.setattr(kneser_ney_scores, "shared_dir", lambda _: f"file://{tmp_path}")
+    rnd = random.Random(12)
+    weights = [1 / (i + 10) for i in range(60_000)]
+    texts = [" ".join(map("w{}".format, rnd.choices(range(60_000), weights, k=1000))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2).cache()
+    df.count()
+    written = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(True).apply(0).totalShuffleWrite()
+    kept = lambda: sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(tmp_path) for f in names)
+    before = written()
+    tokens = sum(r.n_tokens for r in kneser_ney.score(df, 16, order=3).collect())
+    df.unpersist()
+    assert tokens == 400 * 1001
+    assert kept() > 0
+    assert written() - before + kept() < 12 * tokens
