@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batch, blob, mix, shared_dir, ship, text_bytes, text_slices
-from .kneser_ney import _END, _START, PART_BYTES, Folder, _as_bytes, _from_bytes, _heads, _joined, _numbers, _parted, _planes, _tokens, discounts, held_out
+from .kneser_ney import _END, _START, PART_BYTES, Folder, _joined, _numbers, _parted, _planes, _tokens, discounts, held_out
 
 #: Text bytes of a slice, whose windows are sent together.
 SLICE_BYTES = 12 << 20
@@ -38,8 +38,6 @@ SAMPLE_BYTES = 8 << 20
 #: Sub-parts of a frequent word, at least.
 SALTS = 16
 
-_SMALL = (np.uint8, np.uint32, np.uint64)
-
 
 class Plan(NamedTuple):
     folder: str
@@ -61,6 +59,16 @@ def _full(raw: bytes) -> bytes:
     return pa.decompress(raw[8:], int(np.frombuffer(raw, np.uint64, 1)[0]), codec="zstd", asbytes=True)
 
 
+def _lean(n: np.ndarray) -> np.ndarray:
+    """Counts in the fewest bytes that hold the largest, and before them how many that are."""
+    kind = np.min_scalar_type(n.max(initial=0))
+    return np.concatenate([np.array([kind.itemsize], np.uint8), _planes(n.astype(kind))])
+
+
+def _counts(lean: np.ndarray) -> np.ndarray:
+    return _numbers(lean[1:], f"u{lean[0]}").astype(np.int64)
+
+
 def _key(columns: list[np.ndarray], sizes: list[int]) -> np.ndarray:
     """A number for each row; they sort as the rows do."""
     key, size = columns[0].astype(np.uint64), sizes[0]
@@ -168,18 +176,18 @@ class Slice:
         group = group[runs[0]]
         *earlier, last = (c[new] for c, new in zip(inner, runs[1:], strict=True))
         steps = [_planes(np.diff(x, prepend=np.uint32(0))) for x in (self.of_group[group], *earlier)]
-        within = [x for outer, deeper in zip(runs, runs[1:]) for x in _as_bytes(_within(outer, deeper))]
-        return _squeezed(_joined(*_as_bytes(self.salt[group]), *steps, _planes(last), *within, *_as_bytes(count[a:b])))
+        within = [_lean(_within(outer, deeper)) for outer, deeper in zip(runs, runs[1:])]
+        return _squeezed(_joined(_lean(self.salt[group]), *steps, _planes(last), *within, _lean(count[a:b])))
 
 
 def _unpacked(raw: bytes, word: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray], np.ndarray]:
     """The words' hashes, the groups' salts, the runs' words, their lengths, and counts."""
-    rest = _parted(_full(raw), *_SMALL, *[np.uint8] * size, *_SMALL * size)
-    small = [_from_bytes(*rest[i : i + 3]) for i in (0, *range(3 + size, len(rest), 3))]
-    *steps, last = (_numbers(x, np.uint32) for x in rest[3 : 3 + size])
+    salt, *rest = _parted(_full(raw), *[np.uint8] * (1 + 2 * size))
+    *steps, last = (_numbers(x, np.uint32) for x in rest[:size])
+    *within, count = map(_counts, rest[size:])
     values = [*(np.cumsum(x, dtype=np.uint32) for x in steps), last]
     have, at = np.unique(np.concatenate(values), return_inverse=True)
-    return word[have], small[0], np.split(at.astype(np.uint32), np.cumsum([*map(len, values)])[:-1]), small[1:-1], small[-1]
+    return word[have], _counts(salt), np.split(at.astype(np.uint32), np.cumsum([*map(len, values)])[:-1]), within, count
 
 
 _ASKED = pa.schema([("part", pa.int32()), ("slice", pa.string()), ("windows", pa.binary())])
@@ -314,12 +322,12 @@ def _answer(plan: Plan):
         for size_, within, salt in zip(sizes, shapes, salts, strict=True):
             rows, groups = row[a : a + size_], place[g : g + len(salt)]
             a, g = a + size_, g + len(salt)
-            small = [*_as_bytes(own[groups]), *_as_bytes(n_before[groups])]
+            small = [_lean(own[groups]), _lean(n_before[groups])]
             for level in range(2, top + 1):
                 # the runs of a context begin where those of all inner columns do
                 lengths = _lengths(within, level - 2)
                 heads = rows[np.cumsum(lengths) - lengths]
-                small += [*_as_bytes(sums[level][:, places[level - 2][heads]].ravel()), *_as_bytes(counts[level][rows])]
+                small += [*map(_lean, sums[level][:, places[level - 2][heads]]), _lean(counts[level][rows])]
             answers.append(_squeezed(_joined(*small)))
         return pa.Table.from_arrays([pa.array(slices, pa.string()), pa.array([part] * len(slices), pa.int32()), pa.array(answers, pa.binary())], schema=_ANSWERED)
 
@@ -400,12 +408,12 @@ def _score(plan: Plan):
             raise ValueError(f"slice {name} lacks answers: it has those of {sorted(by_part)}")
         answers = []
         for p, _, _ in asked.parts:
-            raw = _parted(_full(by_part.pop(p)), *_SMALL * (2 + 2 * (top - 1)))
-            answers.append([_from_bytes(*raw[i : i + 3]) for i in range(0, len(raw), 3)])
-        # per group, then for each level per context and per window
-        own, before = (np.concatenate([a[i] for a in answers]) for i in (0, 1))
-        sums = {level: np.concatenate([a[2 * level - 2].reshape(4, -1) for a in answers], axis=1) for level in range(2, top + 1)}
-        counts = {level: np.concatenate([a[2 * level - 1] for a in answers]) for level in range(2, top + 1)}
+            answers.append([_counts(x) for x in _parted(_full(by_part.pop(p)), *[np.uint8] * (2 + 5 * (top - 1)))])
+        # per group, then for each level four sums per context and a count per window
+        own, before, *levels = (np.concatenate(c) for c in zip(*answers, strict=True))
+        sums = {level: np.stack(levels[5 * level - 10 : 5 * level - 6]) for level in range(2, top + 1)}
+        counts = {level: levels[5 * level - 6] for level in range(2, top + 1)}
+        del answers
         runs = _runs(asked.columns)
         places = _places(runs)
         groups = asked.columns[0][runs[0]]
