@@ -1,12 +1,14 @@
 """Queries on odd texts, and what grows with their input."""
 
+import unicodedata
+
 import duckdb
 import pytest
 
 from glotta.functions import text as T
 from glotta.plans.queries import ORACLES, QUERIES
 
-from .test_oracle import rows
+from .test_oracle import DATA, rows
 
 
 def against_sql(spark, tmp_path, name, **tables):
@@ -35,3 +37,14 @@ def test_sentences_begin_as_in_sql(spark, tmp_path, first):
 def test_sentences_begin_as_in_python(spark):
     got = spark.createDataFrame([("ß. a.\u00a0b",)], "t string").select(T.capitalize_sentences(T.F.col("t"))).first()[0]
     assert got == "SS. A.\u00a0B"
+
+
+@pytest.mark.parametrize("name", ["normalize_text", "normalize_plain"])
+def test_normalizing_needs_no_python(spark, name):
+    assert "Python" not in QUERIES[name](spark, DATA)._jdf.queryExecution().toString()
+
+
+def test_composition_as_in_python(spark):
+    texts = ["é", "ÅΩ", "각", "q̣̇", "क़", "\U0001d15e", "à́b", "豈", "", None]
+    got = [r.t for r in spark.createDataFrame([(t,) for t in texts], "t string").select(T.nfc(T.F.col("t")).alias("t")).collect()]
+    assert got == [t and unicodedata.normalize("NFC", t) for t in texts]
