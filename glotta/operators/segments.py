@@ -106,14 +106,25 @@ def pack_short(df: DataFrame, order: str, duration: str, text: str, config: Pack
     return _grouped(rows, duration, text, config)
 
 
-def pack_by_fold(df: DataFrame, order: str, duration: str, text: str, config: PackConfig = PackConfig()) -> DataFrame:
+#: Rows of a block that one task folds.
+BLOCK = 1 << 16
+
+
+def pack_by_fold(df: DataFrame, order: str, duration: str, text: str, config: PackConfig = PackConfig(), block: int = BLOCK) -> DataFrame:
     """As ``pack_short`` for any bounds.  A group that is full by duration with
     fewer than ``min_terms`` clips also loses the clip that did not fit, as in
-    the reference.  Each group depends on the one before: one task streams all
-    rows."""
+    the reference.
+
+    Each group depends on the one before, but what a block of rows takes over is
+    an open group of the last clips before it, ``max_terms`` at most.  So each
+    block tells how it would end after each number of them, the driver goes
+    through these few rows a block, and the blocks are folded from where they
+    begin.  Only numbers and durations are folded; texts follow their groups.
+    """
+    block = max(block, config.max_terms)
 
     def step(state, d):
-        _, group, n, used = state or (0, 0, 0, 0.0)
+        _, group, n, used = state
         d = (d if d and d == d else 0.0) + config.pause_s  # no duration counts as none
         if n < config.max_terms and used + d <= config.max_s:
             return group, group, n + 1, used + d
@@ -121,18 +132,53 @@ def pack_by_fold(df: DataFrame, order: str, duration: str, text: str, config: Pa
             return -1, group + 1, 0, 0.0
         return group + 1, group + 1, 1, d
 
-    rows = number_rows(df, order, "_n").withColumn("_all", F.lit(0))
-    return _grouped(_folded(rows, "_all", ["_n"], duration, step, "group").where("group >= 0"), duration, text, config)
+    def ends(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("_n")
+        before = int((rows["_n"] <= rows["_block"] * block).sum())
+        d = rows["_d"].tolist()
+        out = []
+        for taken in range(before + 1):
+            state = (0, 0, 0, 0.0)
+            for x in d[before - taken : before]:
+                state = step(state, x)
+            if state[1:3] == (0, taken):  # else these clips aren't one group
+                for x in d[before:]:
+                    state = step(state, x)
+                out.append((rows["_block"].iloc[0], taken, *state[1:]))
+        return pd.DataFrame(out, columns=["block", "taken", "groups", "n", "used"])
+
+    def folded(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, out = rows.sort_values("_n"), []
+        state = (0, *starts[rows["_block"].iloc[0]])
+        for x in rows["_d"].tolist():
+            state = step(state, x)
+            out.append(state[0])
+        return pd.DataFrame({"_n": rows["_n"], "group": pd.Series(out, dtype="int64", index=rows.index)})
+
+    rows = number_rows(df, order, "_n", [duration])
+    own = F.floor((F.col("_n") - 1) / block)
+    slim = rows.select("_n", F.col(duration).cast("double").alias("_d"))
+    both = F.when((F.col("_n") - 1) % block >= block - config.max_terms, F.array(own, own + 1)).otherwise(F.array(own))
+    last = slim.select("_n", "_d", F.explode(both).alias("_block")).groupBy("_block").applyInPandas(ends, "block long, taken int, groups long, n int, used double")
+    table = {(r.block, r.taken): (r.groups, r.n, r.used) for r in last.collect()}  # a few rows a block
+    starts, at = {}, (0, 0, 0.0)
+    for i in range(len({b for b, _ in table})):
+        starts[i] = at
+        groups, n, used = table[i, at[1]]
+        at = (at[0] + groups, n, used)
+    assigned = slim.withColumn("_block", own).groupBy("_block").applyInPandas(folded, "_n long, group long").where("group >= 0")
+    return _grouped(rows.join(assigned, "_n"), duration, text, config)
 
 
 def _grouped(rows: DataFrame, duration: str, text: str, config: PackConfig) -> DataFrame:
-    clips = F.sort_array(F.collect_list(F.struct("_n", F.col(duration).alias("d"), F.col(text).alias("t"))))
-    groups = rows.groupBy("group").agg(clips.alias("clips")).withColumn("n_terms", F.size("clips"))
+    # texts apart from durations: a query without them then leaves them where they are
+    listed = lambda c, name: F.sort_array(F.collect_list(F.struct("_n", F.col(c).alias(name))))
+    groups = rows.groupBy("group").agg(listed(duration, "d").alias("clips"), listed(text, "t").alias("said")).withColumn("n_terms", F.size("clips"))
     total = F.aggregate("clips", F.lit(0.0), lambda s, c: s + c["d"])
     kept = F.col("n_terms") >= config.min_terms
     groups = groups.withColumn("duration", total + F.when(kept, (F.col("n_terms") - 1) * config.pause_s).otherwise(0.0))
     groups = groups.where(kept | (F.col("duration") >= config.single_s))
-    return groups.select("group", F.when(kept, "concatenated").otherwise("short_kept").alias("source"), "n_terms", "duration", F.transform("clips", lambda c: c["t"]).alias("texts"))
+    return groups.select("group", F.when(kept, "concatenated").otherwise("short_kept").alias("source"), "n_terms", "duration", F.transform("said", lambda c: c["t"]).alias("texts"))
 
 
 def _folded(df: DataFrame, key: str, order: list[str], duration: str, step, name: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """Queries on odd texts, and what grows with their input."""
 
+import random
 import unicodedata
 
 import duckdb
 import pytest
 
 from glotta.functions import text as T
+from glotta.operators import segments as G
 from glotta.plans.queries import ORACLES, QUERIES
 
 from .test_oracle import DATA, rows
@@ -48,3 +50,30 @@ def test_composition_as_in_python(spark):
     texts = ["é", "ÅΩ", "각", "q̣̇", "क़", "\U0001d15e", "à́b", "豈", "", None]
     got = [r.t for r in spark.createDataFrame([(t,) for t in texts], "t string").select(T.nfc(T.F.col("t")).alias("t")).collect()]
     assert got == [t and unicodedata.normalize("NFC", t) for t in texts]
+
+
+@pytest.mark.parametrize("block", [4, 5, 7, 64])
+def test_blocks_fold_as_one(spark, block):
+    rng = random.Random(block)
+    data = [(i * 3, rng.choice([None, float("nan"), 0.0, 1.0, 5.5, 9.2, 13.7, 20.1, 27.6, 28.0, 40.0, rng.random() * 16]), f"t{i}") for i in range(500)]
+    got = {r.group: r for r in G.pack_by_fold(spark.createDataFrame(data, "pos long, d double, t string"), "pos", "d", "t", block=block).collect()}
+    group, n, used, members = 0, 0, 0.0, {}
+    for _, d, t in data:
+        x = (d if d and d == d else 0.0) + 0.4
+        if n < 4 and used + x <= 28.0:
+            n, used = n + 1, used + x
+        elif n < 2 or x > 28.0:
+            group, n, used = group + 1, 0, 0.0
+            continue
+        else:
+            group, n, used = group + 1, 1, x
+        members.setdefault(group, []).append((d, t))
+    lengths = {g: None if any(d is None for d, _ in m) else sum((d for d, _ in m), 0.0) + (len(m) - 1) * 0.4 for g, m in members.items()}
+    kept = {g: m for g, m in members.items() if len(m) >= 2 or (lengths[g] is not None and not lengths[g] < 1.5)}
+    assert {g: r.texts for g, r in got.items()} == {g: [t for _, t in m] for g, m in kept.items()}
+    assert len(kept) > 100
+
+
+def test_a_fold_moves_no_texts(spark):
+    plan = QUERIES["pack_by_duration"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in plan.split("Relation")[0] and "_all" not in plan
