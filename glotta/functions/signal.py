@@ -173,3 +173,14 @@ def decoder_input(padded: Column, start: int, pad: int, fill: int = -100) -> Col
     """Shifted right behind a start token, with padding put back."""
     back = F.transform(padded, lambda t: F.when(t == fill, F.lit(pad)).otherwise(t))
     return F.concat(F.array(F.lit(start)).cast("array<int>"), F.slice(back, 1, F.greatest(F.size(back) - 1, F.lit(0))))
+
+
+def joined_labels(ids: Column, n: Column, prompt: list[int], end: int, pad: int, start: int, fill: int = -100) -> list[Column]:
+    """``padded_labels`` and ``decoder_input`` as comma-separated text, with ``n``
+    labels of padding behind prompt, ``ids`` (comma-separated, may be empty) and
+    end.  Padding is text repeated, as most of a batch may be padding."""
+    said = F.concat_ws(",", *[F.lit(str(p)) for p in prompt], F.nullif(ids, F.lit("")))
+    labels = F.concat(said, F.lit(f",{end}"), F.repeat(F.lit(f",{fill}"), n))
+    # the shift drops the last of all: the end where nothing is padded, else one pad
+    tail = F.when(n > 0, F.concat(F.lit(f",{end}"), F.repeat(F.lit(f",{pad}"), n - 1))).otherwise("")
+    return [labels.alias("labels"), F.concat(F.lit(f"{start},"), said, tail).alias("decoder")]

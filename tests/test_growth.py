@@ -5,7 +5,9 @@ import unicodedata
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from glotta.functions import signal as S
 from glotta.functions import text as T
 from glotta.operators import segments as G
 from glotta.plans.queries import ORACLES, QUERIES
@@ -37,7 +39,7 @@ def test_sentences_begin_as_in_sql(spark, tmp_path, first):
 
 
 def test_sentences_begin_as_in_python(spark):
-    got = spark.createDataFrame([("ß. a.\u00a0b",)], "t string").select(T.capitalize_sentences(T.F.col("t"))).first()[0]
+    got = spark.createDataFrame([("ß. a.\u00a0b",)], "t string").select(T.capitalize_sentences(F.col("t"))).first()[0]
     assert got == "SS. A.\u00a0B"
 
 
@@ -48,7 +50,7 @@ def test_normalizing_needs_no_python(spark, name):
 
 def test_composition_as_in_python(spark):
     texts = ["é", "ÅΩ", "각", "q̣̇", "क़", "\U0001d15e", "à́b", "豈", "", None]
-    got = [r.t for r in spark.createDataFrame([(t,) for t in texts], "t string").select(T.nfc(T.F.col("t")).alias("t")).collect()]
+    got = [r.t for r in spark.createDataFrame([(t,) for t in texts], "t string").select(T.nfc(F.col("t")).alias("t")).collect()]
     assert got == [t and unicodedata.normalize("NFC", t) for t in texts]
 
 
@@ -77,3 +79,27 @@ def test_blocks_fold_as_one(spark, block):
 def test_a_fold_moves_no_texts(spark):
     plan = QUERIES["pack_by_duration"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
     assert "text" not in plan.split("Relation")[0] and "_all" not in plan
+
+
+def test_labels_of_odd_texts_as_in_sql(spark, tmp_path):
+    texts = ["", None, "😀é\u0000\n", "x" * 40, " ", *[chr(300 + i) * (i % 7) for i in range(40)]]
+    against_sql(spark, tmp_path, "label_pad_shift", documents=documents(spark, texts))
+
+
+def test_labels_are_made_in_many_tasks(spark):
+    plan = QUERIES["label_pad_shift"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan
+
+
+def test_joined_labels_are_the_arrays_joined(spark):
+    rows = spark.createDataFrame([([], 3), ([], 0), ([7], 1), ([7, 8, 9], 0), ([1] * 5, 12)], "ids array<int>, n int")
+    joined = S.joined_labels(F.array_join(F.col("ids").cast("array<string>"), ","), F.col("n"), [50258, 50265], 50257, 50257, 50258)
+    padded = S.padded_labels(S.labels([50258, 50265], F.col("ids"), 50257, 50257), F.size("ids") + 3 + F.col("n"))
+    for r in rows.select(*joined, padded.alias("p"), S.decoder_input(padded, 50258, 50257).alias("d")).collect():
+        assert r.labels == ",".join(map(str, r.p)) and r.decoder == ",".join(map(str, r.d))
+
+
+def test_the_pad_id_is_no_label(spark, tmp_path):
+    documents(spark, ["쑑", "a쑑b쑑", "c"]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.labels for r in QUERIES["label_pad_shift"](spark, str(tmp_path)).collect()}
+    assert got == {0: "50258,50265,50257,-100,-100", 1: "50258,50265,97,98,50257", 2: "50258,50265,99,50257,-100"}
