@@ -103,3 +103,8 @@ def test_the_pad_id_is_no_label(spark, tmp_path):
     documents(spark, ["쑑", "a쑑b쑑", "c"]).write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: r.labels for r in QUERIES["label_pad_shift"](spark, str(tmp_path)).collect()}
     assert got == {0: "50258,50265,50257,-100,-100", 1: "50258,50265,97,98,50257", 2: "50258,50265,99,50257,-100"}
+
+
+@pytest.mark.parametrize("name", ["dataset_summary"])
+def test_validation_needs_no_python(spark, name):
+    assert "Python" not in QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
