@@ -105,6 +105,6 @@ def test_the_pad_id_is_no_label(spark, tmp_path):
     assert got == {0: "50258,50265,50257,-100,-100", 1: "50258,50265,97,98,50257", 2: "50258,50265,99,50257,-100"}
 
 
-@pytest.mark.parametrize("name", ["dataset_summary"])
+@pytest.mark.parametrize("name", ["dataset_summary", "validate_plain"])
 def test_validation_needs_no_python(spark, name):
     assert "Python" not in QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
